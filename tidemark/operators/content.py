@@ -147,7 +147,7 @@ def receipt_document(receipt: DataFrame, **facts: str) -> DataFrame:
     """The receipt as one row: run facts and one map per section, ready to be written as JSON."""
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))
     sections = receipt.groupBy("section").agg(entries.alias("entries"))
-    body = sections.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", "entries")))).alias("sections"))
+    body = sections.agg(F.map_from_entries(F.collect_list(F.struct("section", "entries"))).alias("sections"))
     return body.select(*[F.lit(v).alias(k) for k, v in facts.items()], "sections")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.duplicates import keep_first, keep_last
+from tidemark.operators.duplicates import keep_last
 from tidemark.operators.timeline import Timeline
 
 DELETE = "DELETE"
@@ -46,7 +46,7 @@ def history_recomputed(master: DataFrame, changes: DataFrame, slice_unit: str =
     """SCD type 2 where every event is a version, ordered by effective start and then sequence.
 
     Operations are not interpreted: there are no deletes here. Unparsable effective times give a
-    NULL start, which sorts first. Equal (batch, sequence, start) events keep one row, the smallest
+    NULL start, which sorts first. Equal (batch, sequence, start) events keep one row, the largest
     by status and schema version.
     """
     carried = ["site_id", "product_id", "lot_number"]
@@ -54,17 +54,19 @@ def history_recomputed(master: DataFrame, changes: DataFrame, slice_unit: str =
     version = ["release_status", "sequence_number", start, "schema_version"]
     baseline = master.select("batch_id", *carried, *version)
     changed = changes.select("batch_id", *version).join(master.select("batch_id", *carried), "batch_id")
-    versions = keep_first(
-        baseline.unionByName(changed),
-        ["batch_id", "sequence_number", "effective_start_utc"],
-        ["release_status", "schema_version", *carried],
-    )
+    versions = baseline.unionByName(changed)
     timeline = Timeline(
         ("batch_id",),
         ("effective_start_utc", "sequence_number"),
         F.date_trunc(slice_unit, "effective_start_utc"),
     )
-    dated = timeline.with_next(versions, "_next", ["effective_start_utc"])
+    content = ["release_status", "schema_version", *carried]
+    placed = timeline.drop_ties(timeline.lay_out(versions), content)
+    # The summary needs start times only: a narrow scan, combined before its shuffle.
+    starts = timeline.mark(versions.select("batch_id", "effective_start_utc", "sequence_number"))
+    dated = timeline.restore(
+        timeline.with_neighbour(placed, "_next", ["effective_start_utc"], forward=True, edges_from=starts)
+    )
     ended = dated.withColumn("effective_end_utc", F.col("_next.effective_start_utc"))
     return with_current_flags(ended).select(
         "batch_id", *carried, "release_status", "sequence_number", "effective_start_utc",
@@ -93,22 +95,28 @@ def history_tracked(
     events = log.select(
         *keys, *sequence, *tracked, *untracked, F.coalesce(gone, F.lit(False)).alias("_gone")
     )
-    # Events with equal keys and sequence are one event; the largest by content wins.
-    events = keep_last(events, [*keys, *sequence], [*tracked, *untracked, "_gone"])
     cut = slice_by if slice_by is not None else F.floor(F.col(sequence[0]) / SEQUENCE_SLICE)
     timeline = Timeline(tuple(keys), tuple(sequence), cut)
+    state = [*tracked, *untracked, "_gone"]
+    # Events with equal keys and sequence are one event; the largest by content wins.
+    placed = timeline.drop_ties(timeline.lay_out(events), state)
 
-    seen = timeline.with_previous(events, "_before", [*tracked, *untracked, "_gone"])
+    seen = timeline.with_neighbour(placed, "_before", state, forward=False, final="_newest" if untracked else None)
     opens = seen.filter(_starts_version(tracked))
-    following = timeline.with_next(opens, "_after", [*sequence, "_before"])
-    versions = following.filter(~F.col("_gone"))
+    following = timeline.with_neighbour(opens, "_after", [*sequence, "_before"], forward=True)
+    versions = timeline.restore(following.filter(~F.col("_gone")))
 
     versions = versions.withColumns({f"start_{c}": F.col(c) for c in sequence}).withColumns(
         {f"end_{c}": F.col(f"_after.{c}") for c in sequence}
     )
     versions = versions.withColumn("is_current", F.col("_after").isNull())
-    if untracked:
-        versions = _latest_untracked(versions, events, keys, sequence, untracked)
+    # Untracked values are those of a version's last event: the key's newest event for the open
+    # version, else the event just before the next version's first.
+    last = {
+        c: F.when(F.col("is_current"), F.col(f"_newest.{c}")).otherwise(F.col(f"_after._before.{c}"))
+        for c in untracked
+    }
+    versions = versions.withColumns(last) if last else versions
     names = [f"{edge}_{c}" for edge in ("start", "end") for c in sequence]
     return versions.select(*keys, *tracked, *untracked, *names, "is_current")
 
@@ -121,23 +129,6 @@ def _starts_version(tracked: Sequence[str]) -> Column:
     return changed
 
 
-def _latest_untracked(
-    versions: DataFrame, events: DataFrame, keys: list[str], sequence: list[str], untracked: list[str]
-) -> DataFrame:
-    """Untracked values as of a version's last event.
-
-    For a closed version that is the event just before the next version's first; for the open one
-    it is the key's newest event.
-    """
-    newest = events.groupBy(*keys).agg(
-        F.max_by(F.struct(*untracked), F.struct(*sequence)).alias("_newest")
-    )
-    last = F.when(F.col("is_current"), F.struct(*[F.col(f"_newest.{c}").alias(c) for c in untracked]))
-    last = last.otherwise(F.struct(*[F.col(f"_after._before.{c}").alias(c) for c in untracked]))
-    joined = versions.join(newest, keys, "left").withColumn("_last", last)
-    return joined.withColumns({c: F.col(f"_last.{c}") for c in untracked})
-
-
 def with_current_flags(df: DataFrame, end: str = "effective_end_utc") -> DataFrame:
     """Derive ``is_current`` and its 0/1 twin from an open end."""
     return df.withColumn("is_current", F.col(end).isNull()).withColumn(

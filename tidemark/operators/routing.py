@@ -22,6 +22,7 @@ from tidemark.functions.rules import (
 from tidemark.operators.duplicates import mark_duplicates
 
 REASON = "quarantine_reason"
+DISPOSITION = "disposition"
 PARSED = "_event_instant"
 REPEATED = "_is_duplicate"
 KNOWN = "_known_"
@@ -58,13 +59,21 @@ class Routed:
     evaluated: DataFrame
     policy: Policy
 
+    @property
+    def labelled(self) -> DataFrame:
+        """The evaluated frame with ``disposition``: valid, quarantined or dropped. A table
+        partitioned by it serves both halves from one write."""
+        kept = F.lit(True)
+        for expectation in self.policy.drops:
+            kept = kept & expectation.holds
+        label = F.when(F.col(REASON).isNotNull(), "quarantined").when(kept, "valid").otherwise("dropped")
+        return self.evaluated.withColumn(DISPOSITION, label)
+
     @property
     def valid(self) -> DataFrame:
         """Accepted rows; the parsed event time takes the raw column's name."""
-        accepted = self.evaluated.filter(F.col(REASON).isNull())
-        for expectation in self.policy.drops:
-            accepted = accepted.filter(expectation.holds)
         raw = self.policy.raw_time
+        accepted = self.labelled.filter(F.col(DISPOSITION) == "valid").drop(DISPOSITION)
         return accepted.drop(REASON, raw).withColumnRenamed(PARSED, raw)
 
     @property
@@ -74,20 +83,15 @@ class Routed:
 
     def accounting(self) -> DataFrame:
         """One row: input, valid, quarantined, dropped, and whether they add up."""
-        kept = F.lit(True)
-        for expectation in self.policy.drops:
-            kept = kept & expectation.holds
-        accepted = F.col(REASON).isNull()
-        return self.evaluated.agg(
+        counted = self.labelled.agg(
             F.count(F.lit(1)).alias("input_rows"),
-            F.count_if(accepted & kept).alias("valid_rows"),
-            F.count_if(~accepted).alias("quarantined_rows"),
-            F.count_if(accepted & ~kept).alias("dropped_rows"),
-        ).withColumn(
-            "balanced",
-            F.col("valid_rows") + F.col("quarantined_rows") + F.col("dropped_rows")
-            == F.col("input_rows"),
+            *[
+                F.count_if(F.col(DISPOSITION) == label).alias(f"{label}_rows")
+                for label in ("valid", "quarantined", "dropped")
+            ],
         )
+        parts = F.col("valid_rows") + F.col("quarantined_rows") + F.col("dropped_rows")
+        return counted.withColumn("balanced", parts == F.col("input_rows"))
 
 
 def route(bronze: DataFrame, policy: Policy, known: DataFrame | None = None) -> Routed:

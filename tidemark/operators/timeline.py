@@ -3,6 +3,9 @@
 A key's ordered rows are cut into slices by a deterministic, order-preserving expression. ``lag``
 and ``lead`` run inside (key, slice); only the edge rows of each slice travel between slices, as a
 summary of one row per (key, slice). The result equals the plain window over the whole key.
+
+``lay_out`` shuffles the rows once by (key, slice). Every later step, windows, slice summaries and
+the joins back, works on that partitioning, so Spark reuses the one exchange.
 """
 
 from __future__ import annotations
@@ -12,8 +15,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+SLICE, UNSET = "_slice", "_slice_unset"
+# Stand-ins that make a nullable key non-null next to its null flag; never visible in results.
+_FILLERS = {
+    "string": "", "bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
+    "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01",
+}
+
 
-SLICE = "_slice"
+def _filler(kind: DataType) -> Column:
+    name = kind.simpleString()
+    return F.lit(_FILLERS.get(name, 0)).cast(kind)
 
 
 @dataclass(frozen=True)
@@ -21,56 +35,81 @@ class Timeline:
     """Rows of each key in a total order.
 
     ``order`` must tell the rows of a key apart. ``slice_by`` must not decrease along ``order``;
-    choose it so that one slice of the hottest key fits a task. NULL keys are refused.
+    choose it so that one slice of the hottest key fits a task.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     slice_by: Column
 
-    def with_previous(self, df: DataFrame, into: str, columns: Sequence[str]) -> DataFrame:
-        """Add struct ``into`` with ``columns`` of the row before, NULL on a key's first row."""
-        return self._neighbour(df, into, columns, forward=False)
+    @property
+    def place(self) -> list[str]:
+        return [*[f"_key_{k}" for k in self.keys], *[f"_null_{k}" for k in self.keys], UNSET, SLICE]
+
+    @property
+    def _whole_key(self) -> list[str]:
+        return self.place[: 2 * len(self.keys)]
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """Replace the keys by non-null place columns, which join and shuffle without null checks."""
+        parts = {f"_key_{k}": F.coalesce(k, _filler(df.schema[k].dataType)) for k in self.keys}
+        parts |= {f"_null_{k}": F.col(k).isNull() for k in self.keys}
+        parts |= {UNSET: self.slice_by.isNull(), SLICE: F.coalesce(self.slice_by.cast("string"), F.lit(""))}
+        return df.withColumns(parts).drop(*self.keys)
 
-    def with_next(self, df: DataFrame, into: str, columns: Sequence[str]) -> DataFrame:
-        """Add struct ``into`` with ``columns`` of the row after, NULL on a key's last row."""
-        return self._neighbour(df, into, columns, forward=True)
+    def lay_out(self, df: DataFrame) -> DataFrame:
+        """The one shuffle: rows placed by (key, slice)."""
+        return self.mark(df).repartition(*self.place)
 
-    def _neighbour(
-        self, df: DataFrame, into: str, columns: Sequence[str], forward: bool
+    def restore(self, placed: DataFrame) -> DataFrame:
+        """Keys back under their names, place columns gone."""
+        keys = {k: F.when(~F.col(f"_null_{k}"), F.col(f"_key_{k}")) for k in self.keys}
+        return placed.withColumns(keys).drop(*self.place)
+
+    def drop_ties(self, placed: DataFrame, prefer: Sequence[str]) -> DataFrame:
+        """One row per key and order value, the largest by ``prefer``. Ties share a slice."""
+        inside = Window.partitionBy(*self.place).orderBy(*self.order, *prefer)
+        following = F.lead(F.struct(*self.order)).over(inside)
+        tied = placed.withColumn("_tied", following.isNotNull() & following.eqNullSafe(F.struct(*self.order)))
+        return tied.filter(~F.col("_tied")).drop("_tied")
+
+    def with_neighbour(
+        self,
+        placed: DataFrame,
+        into: str,
+        columns: Sequence[str],
+        forward: bool,
+        final: str | None = None,
+        edges_from: DataFrame | None = None,
     ) -> DataFrame:
+        """Add struct ``into`` with ``columns`` of the row before (or after), NULL at the key's end.
+
+        ``final`` also adds the columns of the key's last row (first, going forward). ``edges_from``
+        may name a cheaper marked frame with the same rows and order values for the slice summary.
+        """
         packed = F.struct(*columns)
-        sliced = self._refuse_null_keys(df).withColumn(SLICE, self.slice_by)
-        # A NULL order value sorts first, so its slice does too; a flag keeps the join null-free.
-        sliced = sliced.withColumn("_unset", F.col(SLICE).isNull()).withColumn(
-            SLICE, F.coalesce(F.col(SLICE).cast("string"), F.lit(""))
-        )
-        place = [*self.keys, "_unset", SLICE]
-        inside = Window.partitionBy(*place).orderBy(*self.order)
+        inside = Window.partitionBy(*self.place).orderBy(*self.order)
         step = F.lead if forward else F.lag
-        pick = F.min_by if forward else F.max_by
-
-        position = F.struct(*self.order)
-        edges = sliced.groupBy(*place).agg(
-            pick(packed, position).alias("_edge"), F.min(position).alias("_from")
-        )
-        across = Window.partitionBy(*self.keys).orderBy("_from")
-        edges = (
-            edges.withColumn("_beyond", step("_edge").over(across))
-            .filter(F.col("_beyond").isNotNull())
-            .select(*place, "_beyond")
-        )
+        edges = self._slice_edges(placed if edges_from is None else edges_from, packed, forward)
+        across = Window.partitionBy(*self._whole_key).orderBy("_from")
+        edges = edges.withColumn("_beyond", step("_edge").over(across))
+        extra = []
+        if final:
+            whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            edges = edges.withColumn(final, (F.first if forward else F.last)("_edge").over(whole))
+            extra = [final]
+        else:
+            edges = edges.filter(F.col("_beyond").isNotNull())
         return (
-            sliced.withColumn(into, step(packed).over(inside))
-            .join(edges, place, "left")
+            placed.withColumn(into, step(packed).over(inside))
+            .join(edges.select(*self.place, "_beyond", *extra), self.place, "left")
             .withColumn(into, F.coalesce(into, "_beyond"))
-            .select(*df.columns, into)
+            .select(*placed.columns, into, *extra)
         )
 
-    def _refuse_null_keys(self, df: DataFrame) -> DataFrame:
-        for key in self.keys:
-            refused = F.raise_error(F.lit(f"history key {key} is NULL; quarantine such rows first"))
-            df = df.withColumn(
-                key, F.when(F.col(key).isNull(), refused.cast(df.schema[key].dataType)).otherwise(F.col(key))
-            )
-        return df
+    def _slice_edges(self, rows: DataFrame, packed: Column, forward: bool) -> DataFrame:
+        position = F.struct(*self.order)
+        pick = F.min_by if forward else F.max_by
+        return rows.groupBy(*self.place).agg(
+            pick(packed, position).alias("_edge"), F.min(position).alias("_from")
+        )

@@ -532,7 +532,7 @@ def scd2_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 FACT_SQL = """
 quality AS (
   SELECT l_orderkey * 10 + l_linenumber AS observation_id, l_suppkey % 12 AS site_id, l_partkey % 20 AS product_id,
-         l_partkey AS batch_id, l_quantity AS result_value, 5.0 AS spec_lower,
+         l_partkey AS batch_id, l_quantity AS result_value, 5.0::DOUBLE AS spec_lower,
          CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE p_size::DOUBLE END AS spec_upper,
          CAST(l_shipdate AS DATE) AS reporting_date,
          l_quantity BETWEEN 5.0 AND CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE p_size::DOUBLE END AS quality_pass
@@ -1000,7 +1000,7 @@ def cost_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT l_returnflag, count(*) AS activities, CAST(sum(l_quantity) AS BIGINT) AS rows_read,
        CAST(sum(l_quantity - CASE WHEN l_orderkey % 5000 = 0 AND l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS rows_copied,
-       sum(l_orderkey) AS bytes_written,
+       CAST(sum(l_orderkey) AS BIGINT) AS bytes_written,
        sum(CASE WHEN l_orderkey % 5000 = 0 AND l_returnflag = 'R' THEN 1 ELSE 0 END) = 0 AS reconciled
 FROM lineitem GROUP BY 1
 """)
