@@ -215,4 +215,5 @@ def test_broadcast_only_below_the_limit(spark):
 def test_duration_statistics(spark):
     df = spark.createDataFrame([("a", v) for v in [1, 2, 3, 4, 5]], "m STRING, d INT")
     assert tuple(comparison.duration_statistics(df, "m", "d").first()) == ("a", 5, 4)
-    assert comparison.run_medians(df, "m", "d").first().median_seconds == 3.0
+    assert tuple(comparison.run_medians(df, "m", "d").first()) == ("a", 3.0, 3)
+    assert tuple(comparison.run_medians(df.filter("d < 5"), "m", "d").first()) == ("a", 2.5, 3)

@@ -139,3 +139,10 @@ def test_incident_stops_and_recovery_matches(spark, run, receipt, values, tmp_pa
     compared = content.compare_receipts(spark.read.parquet(clean), lakehouse.receipt(repaired))
     verdict = content.recovery_verdict(compared).first()
     assert (verdict.entries, verdict.mismatches, verdict.validation) == (27, 0, "PASS")
+
+
+def test_stage_job_checks_the_landing(spark, source, capsys):
+    from tidemark.plans import jobs
+
+    jobs.main(["verify-landing", "--source", source])
+    assert '"rows": 30000' in capsys.readouterr().out

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import Expectation
 from tidemark.operators import expectations
-from tidemark.operators.duplicates import mark_duplicates
+from tidemark.operators.duplicates import HotKeys, mark_duplicates
 from tidemark.operators.provenance import stamp
 from tidemark.operators.routing import (
     REASON,
@@ -152,13 +152,13 @@ def test_basic_telemetry_routing(spark):
     ]
 
 
-@pytest.mark.parametrize("position", [None, ["n"]])
-def test_duplicates_equal_a_plain_ranking_on_skewed_keys(spark, position):
+@pytest.mark.parametrize(("position", "hot"), [(None, None), (["n"], None), (["n"], HotKeys(4, 50)), (["n"], HotKeys(1, 2))])
+def test_duplicates_equal_a_plain_ranking_on_skewed_keys(spark, position, hot):
     rows = spark.range(0, 6000, 1, 16).selectExpr(
-        "id AS n", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id DIV 2 END AS k", "id % 4 AS o"
+        "id AS n", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id DIV 2 END AS k", "nullif(id % 4, 3) AS o"
     )
     order = ["o", "n"] if position is None else ["o"]
-    marked = mark_duplicates(rows, ["k"], order, "dup", position)
+    marked = mark_duplicates(rows, ["k"], order, "dup", position, hot)
     expected = spark.sql(
         "SELECT *, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY o, n) > 1 AS dup FROM {rows}", rows=rows
     )

@@ -50,6 +50,13 @@ def test_manifest_is_stable_and_large_files_are_read_by_line(spark, tmp_path):
     lines(root / "two.jsonl", 200, start=1)
     changed = files.file_manifest(spark, str(root), "*.jsonl", whole_limit=1000)
     assert files.dataset_digest(changed, str(root)).first() != digest
+    kept = str(tmp_path / "kept")
+    manifest.write.parquet(kept)
+    old = files.relative_manifest(spark.read.parquet(kept), str(root))
+    lines(root / "three.jsonl", 1)
+    new = files.relative_manifest(files.file_manifest(spark, str(root), "*.jsonl"), str(root))
+    assert old.filter("path = 'a/one.jsonl'").count() == 1
+    assert [r.path for r in files.manifest_differences(old, new).orderBy("path").collect()] == ["three.jsonl", "two.jsonl"]
 
 
 def test_replay_emits_exactly_the_first_messages_in_order(spark, tmp_path):

@@ -8,27 +8,33 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Redaction patterns and their replacement text, applied in this order.
+# Redaction patterns and their replacement text, applied in this order. The third
+# entry is a character every match contains; texts without it skip the pattern.
 REDACTIONS = (
-    (r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}", "<redacted-email>"),
-    (r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "<redacted-guid>"),
+    (r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}", "<redacted-email>", "@"),
+    (r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "<redacted-guid>", "-"),
     (
         r'(?i)Endpoint=sb://[^"\s]+;SharedAccessKeyName=[^;"\s]+;SharedAccessKey=[^;"\s]+',
         "<redacted-event-hubs-connection>",
+        ";",
     ),
-    (r'(?i)(sig|se|sp|sv|sr)=[^&"\s]+', "$1=<redacted>"),
+    (r'(?i)(sig|se|sp|sv|sr)=[^&"\s]+', "$1=<redacted>", "="),
 )
 
 
-def redact(text: Column, patterns: Sequence[tuple[str, str]] = REDACTIONS) -> Column:
+def redact(text: Column, patterns: Sequence[tuple[str, str, str]] = REDACTIONS) -> Column:
     """Replace e-mail addresses, GUIDs, connection strings and signed-URL parameters."""
-    return reduce(lambda acc, p: F.regexp_replace(acc, p[0], p[1]), patterns, text)
 
+    def apply(found: Column, rule: tuple[str, str, str]) -> Column:
+        pattern, replacement, needed = rule
+        return F.when(found.contains(needed), F.regexp_replace(found, pattern, replacement)).otherwise(found)
 
-def terms_found(text: Column, terms: Sequence[str]) -> Column:
-    """The terms that occur in the text, ignoring case. A projection: no join with the term list."""
+    return reduce(apply, patterns, text)
+
+
+def terms_found(lowered: Column, terms: Sequence[str]) -> Column:
+    """The terms that occur in a lower-cased text. A projection: no join with the term list."""
     wanted = sorted({t.lower() for t in terms})
-    lowered = F.lower(text)
     return F.array_compact(F.array(*[F.when(lowered.contains(t), F.lit(t)) for t in wanted]))
 
 

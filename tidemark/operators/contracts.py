@@ -143,7 +143,8 @@ def unresolved_references(
     children: DataFrame, child_key: str, parents: DataFrame, parent_key: str
 ) -> DataFrame:
     """Child rows whose reference has no parent; a NULL reference is unresolved too."""
-    known = parents.select(F.col(parent_key).alias("_parent"))
+    # Distinct parents: repeats of one parent collapse before the shuffle.
+    known = parents.select(F.col(parent_key).alias("_parent")).distinct()
     return children.join(known, F.col(child_key) == F.col("_parent"), "left_anti")
 
 
@@ -171,7 +172,7 @@ def unexpected_types(changes: DataFrame, type_column: str, expected: DataFrame,
     """Distinct types that occur but are not expected."""
     occurring = changes.filter(F.col(type_column).isNotNull()).select(type_column).distinct()
     return occurring.join(
-        expected.select(F.col(expected_column).alias(type_column)), type_column, "left_anti"
+        expected.select(F.col(expected_column).alias(type_column)).distinct(), type_column, "left_anti"
     )
 
 

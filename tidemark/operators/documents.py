@@ -7,17 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import contains_all_filters, redact, terms_found
+from tidemark.functions.text import REDACTIONS, contains_all_filters, redact, terms_found
 
 
 def redacted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The frame with whole texts redacted."""
-    return df.withColumns({c: redact(F.col(c)) for c in columns})
+    """The frame with whole texts redacted.
+
+    Each pattern is its own projection, so a text is rewritten once per pattern and not re-evaluated
+    inside the next one.
+    """
+    for rule in REDACTIONS:
+        df = df.withColumns({c: redact(F.col(c), [rule]) for c in columns})
+    return df
 
 
 def term_hits(df: DataFrame, key: str, text: str, terms: Sequence[str]) -> DataFrame:
     """One row per (document, term) that occurs, case ignored."""
-    return df.select(key, F.explode(terms_found(F.col(text), terms)).alias("term"))
+    lowered = df.select(key, F.lower(text).alias("_text"))
+    return lowered.select(key, F.explode(terms_found(F.col("_text"), terms)).alias("term"))
 
 
 def search(df: DataFrame, status: str, wanted: str, parts: Sequence[str], query: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 ``row_number`` over a key puts every copy of a record into one task. Two exact plans avoid that:
 
-* with a row position, repeated keys are found by a map-side combined aggregate over the narrow
-  columns, and joined back; AQE splits a hot join key;
+* with a row position, rows are ranked inside their key after one shuffle, except the rows of hot
+  keys: those are spread over all tasks and compared with the key's smallest position, which a
+  map-side combined aggregate over the hot rows alone provides;
 * without one, two ``row_number`` passes: first inside (key, input slice), then over the slice
   winners, while losers are spread.
 """
@@ -11,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,18 @@ from pyspark.sql import functions as F
 LOCAL_SALTS = 256
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """When a key counts as hot: ``copies`` of its rows in a sample of one row in ``one_in``.
+
+    At most rows / (one_in * copies) keys can be hot: 10^11 rows give at most 10^5 of them, which
+    bounds what is broadcast. A key that is not hot has about one_in * copies rows, which fit a task.
+    """
+
+    one_in: int = 1000
+    copies: int = 1000
+
+
 def file_position() -> Column:
     """Stable place of a row in Parquet input, usable as the last tie-break."""
     return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
@@ -29,6 +43,7 @@ def mark_duplicates(
     order_by: Sequence[str],
     flag: str = "_is_duplicate",
     position: Sequence[str] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``flag``: TRUE on every row of a key but the first in ``order_by``.
 
@@ -36,7 +51,7 @@ def mark_duplicates(
     key apart; without it full ties are settled by an arbitrary single winner.
     """
     if position:
-        return _by_aggregate(df, list(keys), [*order_by, *position], flag)
+        return _by_rank(df, list(keys), [*order_by, *position], flag, hot or HotKeys())
     return _by_two_ranks(df, list(keys), list(order_by), flag)
 
 
@@ -47,18 +62,39 @@ def _has_key(keys: Sequence[str]) -> Column:
     return present
 
 
-def _by_aggregate(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
+def _by_rank(df: DataFrame, keys: list[str], order: list[str], flag: str, hot: HotKeys) -> DataFrame:
+    """One shuffle of the rows; hot keys are settled by their smallest order value instead of a rank.
+
+    The sample is a function of the row's order values, so every evaluation finds the same hot keys.
+    """
     rank_value = F.struct(*order)
-    repeated = (
-        df.filter(_has_key(keys))
+    spread = F.pmod(F.xxhash64(*order), F.lit(1 << 30))
+    # Hot keys are told by a hash: a collision only salts one more key, it decides nothing.
+    named = df.withColumn("_name", F.xxhash64(*keys)).withColumn("_spread", spread)
+    present = named.filter(_has_key(keys))
+    names = (
+        present.filter(F.col("_spread") % hot.one_in == 0)
+        .groupBy("_name")
+        .agg(F.count(F.lit(1)).alias("_sampled"))
+        .filter(F.col("_sampled") >= hot.copies)
+        .select("_name", F.lit(True).alias("_hot"))
+    )
+    first = (
+        present.join(F.broadcast(names), "_name")
         .groupBy(*keys)
-        .agg(F.min(rank_value).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter("_copies > 1")
-        .drop("_copies")
+        .agg(F.min(rank_value).alias("_first"))
     )
+    # Rows of hot keys, and rows without a key, go to any task; they are not ranked.
+    scattered = F.col("_hot").isNotNull() | ~_has_key(keys)
+    salt = F.when(scattered, F.col("_spread")).otherwise(F.lit(0))
+    inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    late = F.when(F.col("_first").isNotNull(), rank_value != F.col("_first")).otherwise(F.col("_rank") > 1)
     return (
-        df.join(repeated, keys, "left")
-        .withColumn(flag, F.coalesce(rank_value != F.col("_first"), F.lit(False)))
+        named.join(F.broadcast(names), "_name", "left")
+        .join(F.broadcast(first), keys, "left")
+        .withColumn("_salt", salt)
+        .withColumn("_rank", F.row_number().over(inside))
+        .withColumn(flag, _has_key(keys) & late)
         .select(*df.columns, flag)
     )
 

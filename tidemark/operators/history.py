@@ -42,6 +42,12 @@ def current_state(
     return newest.filter(~F.col("_gone")).select(*names)
 
 
+def known_batches(log: DataFrame) -> DataFrame:
+    """One row per batch that ever appeared, with its newest site and product; the lookup of routing."""
+    columns = ["batch_id", "site_id", "product_id"]
+    return current_state(log, columns=columns, deleted=F.lit(False))
+
+
 def history_recomputed(master: DataFrame, changes: DataFrame, slice_unit: str = "month") -> DataFrame:
     """SCD type 2 where every event is a version, ordered by effective start and then sequence.
 

@@ -527,6 +527,28 @@ def scd2_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tracked(_order_changes(spark, sf_dir), F.col("o_orderkey") % 13 == 0)
 
 
+@query(
+    "WITH t AS (" + _tracked_sql("false") + """)
+SELECT o_custkey, o_orderstatus, start_o_orderkey AS sequence_number,
+       strftime(TIMESTAMP '2020-01-01' + to_days(CAST(start_o_orderkey % 700 AS INTEGER)), '%Y-%m-%d') AS effective_start,
+       is_current, CAST(is_current AS INTEGER) AS is_current_int FROM t
+"""
+)
+def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("o_orderkey") % 700).cast("int"))
+    log = table(spark, sf_dir, "orders").select(
+        "o_custkey", F.col("o_orderkey").alias("sequence_number"), day.cast("string").alias("effective_at"), "o_orderstatus"
+    )
+    versions = history.history_tracked(
+        log, ["o_custkey"], tracked=["o_orderstatus"], excluded=(), deleted=F.lit(False),
+        slice_by=F.floor(F.col("sequence_number") / 4096),
+    )
+    return history.publishable_history(versions).select(
+        "o_custkey", "o_orderstatus", "sequence_number",
+        F.date_format("effective_start_utc", "yyyy-MM-dd").alias("effective_start"), "is_current", "is_current_int",
+    )
+
+
 # --- facts and KPIs ---------------------------------------------------------------------------
 
 FACT_SQL = """

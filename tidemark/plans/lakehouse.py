@@ -91,9 +91,11 @@ def bronze_stream(run: Run, stream: DataFrame | None = None, origin: str = "even
 
 
 def silver_batches(run: Run) -> None:
-    """Current batches and their history, both from the stored change log."""
+    """Current and known batches and the history, all from the stored change log."""
     log = run.spark.table("bronze.batch_change_events")
     run.publish(history.current_state(log), "silver.batch_master_current")
+    # Stored, so that the routing joins know its size when they are planned.
+    run.publish(history.known_batches(log), "silver.known_batches")
     versions = history.publishable_history(history.history_tracked(log))
     run.publish(versions, "silver.batch_history_scd2")
 
@@ -112,7 +114,7 @@ def quality_gate(run: Run) -> DataFrame:
     spark = run.spark
     observed = spark.table("bronze.batch_quality_raw")
     expectations.require(observed, expectations.hard_contract(), "observation_id")
-    known = spark.table("silver.batch_master_current").select("batch_id", "site_id", "product_id")
+    known = spark.table("silver.known_batches")
 
     routed = route(stored_rows(spark, "bronze.batch_quality_raw"), quality_policy(position=POSITION), known)
     _publish_routed(run, routed, "quality", "silver.batch_quality_valid", "silver.quarantined_quality_records")

@@ -107,12 +107,21 @@ def file_manifest(
     return whole.unionByName(large)
 
 
+def relative_manifest(manifest: DataFrame, root: str) -> DataFrame:
+    """The manifest with paths below ``root``, comparable between two places."""
+    below = F.substring_index("path", root.rstrip("/") + "/", -1)
+    return manifest.withColumn("path", below)
+
+
 def dataset_digest(manifest: DataFrame, root: str) -> DataFrame:
     """One digest for all files of a manifest, by path below ``root``, size and file digest."""
-    relative = F.regexp_replace("path", "^.*" + _literal(root.rstrip("/")) + "/", "")
-    entries = manifest.select(relative.alias("path"), "bytes", "sha256")
-    return content_digest(entries, exclude=())
+    return content_digest(relative_manifest(manifest, root).select("path", "bytes", "sha256"), exclude=())
 
 
-def _literal(text: str) -> str:
-    return "\\Q" + text + "\\E"
+def manifest_differences(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """Files that only one of two relative manifests has, or whose content differs."""
+    left = expected.select("path", F.col("sha256").alias("expected_sha256"))
+    right = found.select("path", F.col("sha256").alias("found_sha256"))
+    return left.join(right, "path", "full_outer").filter(
+        ~F.col("expected_sha256").eqNullSafe(F.col("found_sha256"))
+    )
