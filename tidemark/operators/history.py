@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.duplicates import keep_last
@@ -107,10 +107,21 @@ def history_tracked(
     # Events with equal keys and sequence are one event; the largest by content wins.
     placed = timeline.drop_ties(timeline.lay_out(events), state)
 
-    seen = timeline.with_neighbour(placed, "_before", state, forward=False, final="_newest" if untracked else None)
-    opens = seen.filter(_starts_version(tracked))
-    following = timeline.with_neighbour(opens, "_after", [*sequence, "_before"], forward=True)
-    versions = timeline.restore(following.filter(~F.col("_gone")))
+    # Inside a slice: the row before, and the next row that starts a version. A slice's first row
+    # waits for the slice before it.
+    seen = placed.withColumn("_before", F.lag(F.struct(*state)).over(timeline.inside))
+    follows = F.col("_before").isNotNull()
+    start = F.when(follows & _differs(tracked, F.col("_before")), F.struct(*sequence, "_before"))
+    slices = _slice_summary(seen, timeline, tracked, state, start)
+    rows = (
+        seen.withColumn("_start", start)
+        .withColumn("_after", F.expr("lead(_start) IGNORE NULLS").over(timeline.inside))
+        .join(slices, timeline.place, "left")
+        .withColumn("_before", F.coalesce("_before", "_earlier"))
+        .withColumn("_after", F.coalesce("_after", "_later"))
+    )
+    opens = F.col("_before").isNull() | _differs(tracked, F.col("_before"))
+    versions = timeline.restore(rows.filter(opens & ~F.col("_gone")))
 
     versions = versions.withColumns({f"start_{c}": F.col(c) for c in sequence}).withColumns(
         {f"end_{c}": F.col(f"_after.{c}") for c in sequence}
@@ -127,14 +138,41 @@ def history_tracked(
     return versions.select(*keys, *tracked, *untracked, *names, "is_current")
 
 
-def _starts_version(tracked: Sequence[str]) -> Column:
-    before = F.col("_before")
-    changed = before.isNull() | F.col("_before._gone") | F.col("_gone")
+def _differs(tracked: Sequence[str], before: Column, now: Column | None = None) -> Column:
+    """Whether an event starts a version after ``before``: a delete on either side, or a tracked change."""
+
+    def value(name: str) -> Column:
+        return F.col(name) if now is None else now[name]
+
+    changed = before["_gone"] | value("_gone")
     for name in tracked:
-        changed = changed | ~F.col(name).eqNullSafe(F.col(f"_before.{name}"))
+        changed = changed | ~value(name).eqNullSafe(before[name])
     return changed
 
 
+def _slice_summary(
+    seen: DataFrame, timeline: Timeline, tracked: Sequence[str], state: Sequence[str], start: Column
+) -> DataFrame:
+    """Per (key, slice): the row before the slice, the next version start after it, the key's last row."""
+    position = F.struct(*timeline.order)
+    first, last = F.struct(*timeline.order, *state), F.struct(*state)
+    summary = seen.groupBy(*timeline.place).agg(
+        F.min(position).alias("_from"),
+        F.min_by(first, position).alias("_first"),
+        F.max_by(last, position).alias("_last"),
+        F.min_by(start, F.when(start.isNotNull(), position)).alias("_inner"),
+    )
+    whole = timeline.across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summary = summary.withColumn("_earlier", F.lag("_last").over(timeline.across)).withColumn(
+        "_newest", F.last("_last").over(whole)
+    )
+    entry = F.struct(*[F.col("_first")[c].alias(c) for c in timeline.order], F.col("_earlier").alias("_before"))
+    opens = F.col("_earlier").isNull() | _differs(tracked, F.col("_earlier"), F.col("_first"))
+    summary = summary.withColumn("_opening", F.when(opens, entry).otherwise(F.col("_inner")))
+    later = F.expr("lead(_opening) IGNORE NULLS").over(timeline.across)
+    return summary.withColumn("_later", later).select(*timeline.place, "_earlier", "_later", "_newest")
+
+
 def with_current_flags(df: DataFrame, end: str = "effective_end_utc") -> DataFrame:
     """Derive ``is_current`` and its 0/1 twin from an open end."""
     return df.withColumn("is_current", F.col(end).isNull()).withColumn(

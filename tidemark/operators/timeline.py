@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -47,8 +47,14 @@ class Timeline:
         return [*[f"_key_{k}" for k in self.keys], *[f"_null_{k}" for k in self.keys], UNSET, SLICE]
 
     @property
-    def _whole_key(self) -> list[str]:
-        return self.place[: 2 * len(self.keys)]
+    def inside(self) -> WindowSpec:
+        """The ordered rows of one key within one slice."""
+        return Window.partitionBy(*self.place).orderBy(*self.order)
+
+    @property
+    def across(self) -> WindowSpec:
+        """The slices of one key in order, over a summary whose ``_from`` is the first position."""
+        return Window.partitionBy(*self.place[: 2 * len(self.keys)]).orderBy("_from")
 
     def mark(self, df: DataFrame) -> DataFrame:
         """Replace the keys by non-null place columns, which join and shuffle without null checks."""
@@ -79,32 +85,23 @@ class Timeline:
         into: str,
         columns: Sequence[str],
         forward: bool,
-        final: str | None = None,
         edges_from: DataFrame | None = None,
     ) -> DataFrame:
         """Add struct ``into`` with ``columns`` of the row before (or after), NULL at the key's end.
 
-        ``final`` also adds the columns of the key's last row (first, going forward). ``edges_from``
-        may name a cheaper marked frame with the same rows and order values for the slice summary.
+        ``edges_from`` may name a cheaper marked frame with the same rows and order values for the
+        slice summary.
         """
         packed = F.struct(*columns)
-        inside = Window.partitionBy(*self.place).orderBy(*self.order)
         step = F.lead if forward else F.lag
         edges = self._slice_edges(placed if edges_from is None else edges_from, packed, forward)
-        across = Window.partitionBy(*self._whole_key).orderBy("_from")
-        edges = edges.withColumn("_beyond", step("_edge").over(across))
-        extra = []
-        if final:
-            whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            edges = edges.withColumn(final, (F.first if forward else F.last)("_edge").over(whole))
-            extra = [final]
-        else:
-            edges = edges.filter(F.col("_beyond").isNotNull())
+        edges = edges.withColumn("_beyond", step("_edge").over(self.across))
+        edges = edges.filter(F.col("_beyond").isNotNull()).select(*self.place, "_beyond")
         return (
-            placed.withColumn(into, step(packed).over(inside))
-            .join(edges.select(*self.place, "_beyond", *extra), self.place, "left")
+            placed.withColumn(into, step(packed).over(self.inside))
+            .join(edges, self.place, "left")
             .withColumn(into, F.coalesce(into, "_beyond"))
-            .select(*placed.columns, into, *extra)
+            .select(*placed.columns, into)
         )
 
     def _slice_edges(self, rows: DataFrame, packed: Column, forward: bool) -> DataFrame:
