@@ -25,8 +25,12 @@ def test_wrong_typed_field_becomes_null_and_the_row_survives(spark, tmp_path):
 def test_landing_copy_and_reconciliation(spark, tmp_path):
     paths = [lines(tmp_path / f"part{i}.jsonl", 5 + i) for i in range(3)]
     landing = str(tmp_path / "landing")
-    copied = {r.file_name: (r.rows_read, r.rows_copied, r.status) for r in files.land_files(spark, paths, landing).collect()}
-    assert copied == {f"part{i}.jsonl": (5 + i, 5 + i, "Succeeded") for i in range(3)}
+    (tmp_path / "other").mkdir()
+    paths.append(lines(tmp_path / "other" / "part0.jsonl", 9))
+    landed = files.land_files(spark, paths, landing)
+    copied = {r.source_file[len("file://") :]: (r.rows_read, r.rows_copied, r.status) for r in landed.collect()}
+    assert copied == {path: (n, n, "Succeeded") for path, n in zip(paths, (5, 6, 7, 9), strict=True)}
+    paths.pop()
     scanned = spark.read.text(paths)
     assert files.verify_landing(scanned, 3, 18)["rows"] == 18
     with pytest.raises(GateFailed, match="3 files and 18 rows"):

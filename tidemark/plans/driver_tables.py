@@ -7,6 +7,7 @@ Defects are injected by arithmetic on keys so that both engines see the same row
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.operators.provenance import change_log, stamp
 from tidemark.operators.routing import KNOWN, PARSED, REASON, REPEATED, Policy, Routed, reason_counts, route
 from tidemark.schemas import contract
 from tidemark.session import workdir
-from tidemark.sources import files, messages
+from tidemark.sources import files, messages, tables
 from tidemark.streaming import bronze
 from tidemark.streaming.history import maintain_history, read_history
 
@@ -554,19 +555,17 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 FACT_SQL = """
 quality AS (
   SELECT l_orderkey * 10 + l_linenumber AS observation_id, l_suppkey % 12 AS site_id, l_partkey % 20 AS product_id,
-         l_partkey AS batch_id, l_quantity AS result_value, 5.0::DOUBLE AS spec_lower,
+         l_partkey AS batch_id, l_returnflag AS returned, l_quantity AS result_value, 5.0::DOUBLE AS spec_lower,
          CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE p_size::DOUBLE END AS spec_upper,
          CAST(l_shipdate AS DATE) AS reporting_date,
          l_quantity BETWEEN 5.0 AND CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE p_size::DOUBLE END AS quality_pass
-  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_suppkey % 40 <> 0
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 )"""
 
 
-def _quality_rows(spark: SparkSession, sf_dir: str, rejected: bool = False) -> DataFrame:
+def _quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
-    wanted = F.col("l_suppkey") % 40 == 0
-    lines = table(spark, sf_dir, "lineitem").filter(wanted if rejected else ~wanted)
-    return lines.join(part, "l_partkey", "left").select(
+    return table(spark, sf_dir, "lineitem").join(part, "l_partkey", "left").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("observation_id"),
         F.col("l_partkey").alias("batch_id"),
         (F.col("l_suppkey") % 12).alias("site_id"),
@@ -576,6 +575,7 @@ def _quality_rows(spark: SparkSession, sf_dir: str, rejected: bool = False) -> D
         F.lit(5.0).alias("spec_lower"),
         F.when(F.col("l_partkey") % 50 != 0, F.col("p_size").cast("double")).alias("spec_upper"),
         F.col("l_shipdate").alias("event_timestamp_utc"),
+        F.col("l_returnflag").alias("returned"),
     )
 
 
@@ -650,9 +650,10 @@ def excursions_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
 KPI_SQL = (
     "WITH " + FACT_SQL + "," + EXCURSION_SQL + """,
 q AS (SELECT site_id, product_id, reporting_date, count(DISTINCT batch_id) AS batches_processed,
-             count(observation_id) AS n, avg(quality_pass::INT::DOUBLE) AS quality_pass_rate FROM quality GROUP BY ALL),
+             count(observation_id) AS n, avg(quality_pass::INT::DOUBLE) AS quality_pass_rate
+      FROM quality WHERE returned <> 'R' GROUP BY ALL),
 r AS (SELECT l_suppkey % 12 AS site_id, l_partkey % 20 AS product_id, CAST(l_shipdate AS DATE) AS reporting_date,
-             count(*) AS records_quarantined FROM lineitem WHERE l_suppkey % 40 = 0 GROUP BY ALL),
+             count(*) AS records_quarantined FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
 x AS (SELECT site_id, product_id, CAST(first_ts - INTERVAL 24 YEAR AS DATE) AS reporting_date,
              count(DISTINCT batch_id) AS batches_with_excursions, avg(minutes) AS mean_minutes,
              quantile_disc(maximum_temperature_c, 0.95) AS p95 FROM excursion_fact GROUP BY ALL)
@@ -670,11 +671,12 @@ LEFT JOIN x ON q.site_id = x.site_id AND q.product_id = x.product_id AND q.repor
 
 
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = gold.batch_quality_fact(_quality_rows(spark, sf_dir))
+    # Returned items play the quarantined records, all others the accepted ones.
+    rows = _quality_rows(spark, sf_dir)
+    fact = gold.batch_quality_fact(rows.filter("returned <> 'R'"))
     back = F.col("excursion_start_utc") - F.expr("INTERVAL 24 YEARS")
     excursions = _excursions(spark, sf_dir).withColumn("excursion_start_utc", back)
-    rejected = _quality_rows(spark, sf_dir, rejected=True)
-    return gold.daily_kpis(fact, rejected, excursions, percentile_accuracy=1_000_000)
+    return gold.daily_kpis(fact, rows.filter("returned = 'R'"), excursions, percentile_accuracy=1_000_000)
 
 
 @query(KPI_SQL)
@@ -833,13 +835,11 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s.* FROM (SELECT s_suppkey, s_name FROM supplier) s
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_returnflag = 'A' AND l_quantity > 49 AND l_discount > 0.09)
+SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)
 """)
 def reference_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    lines = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A' AND l_quantity > 49 AND l_discount > 0.09")
-    return contracts.unresolved_references(suppliers, "s_suppkey", lines, "l_suppkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return contracts.unresolved_references(customers, "c_custkey", table(spark, sf_dir, "events"), "user_id")
 
 
 @query("""
@@ -1044,11 +1044,47 @@ def nearest_rank_p75(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 = 0 THEN l_extendedprice END AS l_extendedprice FROM lineitem
+SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_suppkey % 7 = 0 THEN l_extendedprice END AS l_extendedprice
+FROM lineitem
 """)
-def masked_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visible = F.when(F.col("l_suppkey") % 7 == 0, F.col("l_extendedprice"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", visible.alias("l_extendedprice"))
+def published_masked_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = workdir(spark, "published")
+    layer = place.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_layers(spark, [layer], place)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag"
+    )
+    tables.publish(lines, f"{layer}.lines", partition_by=("l_returnflag",))
+    tables.describe_tables(spark, layer, {"lines": "One line of one order."}, {"portfolio.tier": "gold"})
+    tables.masking_view(spark, f"{layer}.lines", f"{layer}.lines_masked", ["l_extendedprice"], "l_suppkey % 7 = 0")
+    return tables.read_table(spark, f"{layer}.lines_masked").drop("l_suppkey")
+
+
+# --- files ------------------------------------------------------------------------------------
+
+
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as JSON lines, one file per event type."""
+    place = workdir(spark, "json")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    events.withColumn("kind", F.col("event_type")).repartition("kind").write.partitionBy("kind").json(place)
+    return place
+
+
+@query("SELECT event_id, user_id, value, event_type, CAST(NULL AS VARCHAR) AS analyst_shift, true AS has_source FROM events")
+def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = contract("event_id BIGINT, user_id BIGINT, value DOUBLE, event_type STRING, analyst_shift STRING")
+    scanned = files.read_json_lines(spark, _event_files(spark, sf_dir), schema)
+    has_source = F.col("source_file").endswith(".json").alias("has_source")
+    return scanned.select(*schema.fieldNames(), has_source)
+
+
+@query("""
+SELECT count(DISTINCT event_type) AS activities, count(*) AS rows_read, count(*) AS rows_copied, true AS reconciled FROM events
+""")
+def landed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = files.land_files(spark, [f"{_event_files(spark, sf_dir)}/*/*.json"], workdir(spark, "landing"))
+    return ledger.copy_totals(landed).drop("bytes_written")
 
 
 # --- skewed join ------------------------------------------------------------------------------
@@ -1100,6 +1136,18 @@ def skew_join_aggregate_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_before_join(facts, suppliers, ["join_key"], _skew_measures())
 
 
+@query("""
+SELECT count(DISTINCT s_suppkey) AS row_count, 1::BIGINT AS different_results FROM supplier
+WHERE s_suppkey IN (SELECT CASE WHEN l_orderkey % 5 < 4 THEN 0 ELSE l_suppkey END FROM lineitem)
+""")
+def plans_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plans = [skew_join_broadcast, skew_join_shuffle_hash, skew_join_aggregate_first]
+    prints = [content.fingerprint(plan(spark, sf_dir), exclude=()) for plan in plans]
+    return reduce(DataFrame.unionByName, prints).agg(
+        F.max("row_count").alias("row_count"), F.countDistinct("row_count", "fingerprint").alias("different_results")
+    )
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 REPLAYED = 2_000
@@ -1143,6 +1191,19 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{place}/bronze").select("event_id", "user_id", "event_type", "value", "source_file")
 
 
+@query("SELECT 'run-1' AS run_id, CAST(count(*) AS BIGINT) AS input_rows, true AS has_offsets FROM events")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = workdir(spark, "stream-progress")
+    sent = messages.as_messages(_event_lines(spark, sf_dir).withColumn("ordinal", F.col("line")), "telemetry")
+    sent.repartitionByRange(4, "offset").write.parquet(f"{place}/messages")
+    stream = messages.message_file_stream(spark, f"{place}/messages", files_per_trigger=2)
+    ended = bronze.append_to_path(stream, f"{place}/bronze", f"{place}/checkpoint")
+    progress = bronze.progress_receipt(spark, ended, "run-1")
+    return progress.groupBy("run_id").agg(
+        F.sum("input_rows").alias("input_rows"), (F.max(F.length("end_offsets")) > 2).alias("has_offsets")
+    )
+
+
 @query(_tracked_sql("o_orderkey % 13 = 0"))
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = workdir(spark, "stream-scd2")

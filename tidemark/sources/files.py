@@ -67,20 +67,23 @@ def land_files(spark: SparkSession, paths: Sequence[str], landing: str) -> DataF
     """Copy text files to the landing folder, one folder per file, and report each copy.
 
     Reading and writing are split by file blocks, so a large file does not go through one task.
-    Rows read come from the source, rows copied and bytes from what was written.
+    Rows read come from the source, rows copied and bytes from what was written. The folder name
+    starts with a digest of the path, so files of one name in two folders stay apart.
     """
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_name").alias("file_name"))
-    lines.write.mode("overwrite").partitionBy("file_name").text(landing)
-    read = lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_read"))
-    written = spark.read.text(landing)
-    blocks = written.groupBy(
-        "file_name", F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_size").alias("size")
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    copied = blocks.groupBy("file_name").agg(
-        F.sum("rows").alias("rows_copied"), F.sum("size").alias("bytes_written")
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    folder = F.concat_ws("-", F.substring(F.sha2(path, 256), 1, 16), name).alias("copy")
+    lines = spark.read.text(list(paths)).select("value", path.alias("source_file"), folder)
+    lines.drop("source_file").write.mode("overwrite").partitionBy("copy").text(landing)
+    read = lines.groupBy("source_file", "copy").agg(F.count(F.lit(1)).alias("rows_read"))
+    # Per written part first: its size is a constant of the part and must count once.
+    parts = spark.read.text(landing).groupBy("copy", path.alias("part"), F.col("_metadata.file_size").alias("size"))
+    copied = (
+        parts.agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("copy")
+        .agg(F.sum("rows").alias("rows_copied"), F.sum("size").alias("bytes_written"))
     )
     status = F.when(F.col("rows_read") == F.col("rows_copied"), "Succeeded").otherwise("Failed")
-    return read.join(copied, "file_name", "left").fillna(0).withColumn("status", status)
+    return read.join(copied, "copy", "left").fillna(0).withColumn("status", status)
 
 
 def file_manifest(

@@ -29,8 +29,11 @@ def maintain_history(
     enough buckets that one bucket's log is cheap to read; the rebuild itself splits hot keys.
     """
 
+    # The rebuild reads stored tables in the caller's session, where adaptive execution is on; the
+    # session of a micro-batch has it switched off.
+    spark = changes.sparkSession
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         placed = batch.withColumn(BUCKET, _bucket(keys, buckets)).withColumn(BATCH, F.lit(batch_id))
         _overwrite(placed, log_path, [BUCKET, BATCH])
         stored = spark.read.schema(placed.schema).parquet(log_path)
