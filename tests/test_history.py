@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history
+from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.timeline import Timeline
 from tidemark.schemas import BATCH_MASTER, CHANGE_EVENT
 from tidemark.streaming.history import maintain_history, read_history
@@ -23,9 +24,12 @@ EVENTS = [
 ]
 
 
-def tracked(log, slice_by=None):
+ALL_HOT = HotKeys(1, 1)
+
+
+def tracked(log, slice_by=None, hot=ALL_HOT):
     return history.history_tracked(
-        log, ["k"], ["s", "at"], ["status", "site"], ["op"], F.col("op") == "DELETE", slice_by=slice_by
+        log, ["k"], ["s", "at"], ["status", "site"], ["op"], F.col("op") == "DELETE", slice_by, hot
     )
 
 
@@ -45,10 +49,10 @@ def rows(df):
     return {tuple(r) for r in df.select("k", "status", "site", "note", "start_s", "start_at", "end_s", "end_at", "is_current").collect()}
 
 
-@pytest.mark.parametrize("width", [1, 2, 1000])
-def test_tracked_history(spark, width):
+@pytest.mark.parametrize(("width", "hot"), [(1, ALL_HOT), (2, ALL_HOT), (1, HotKeys(1, 3)), (1, HotKeys())])
+def test_tracked_history(spark, width, hot):
     log = spark.createDataFrame(EVENTS, LOG)
-    assert rows(tracked(log, F.floor(F.col("s") / width))) == EXPECTED
+    assert rows(tracked(log, F.floor(F.col("s") / width), hot)) == EXPECTED
 
 
 def test_tracked_history_does_not_depend_on_arrival_order_or_repeats(spark):
@@ -84,7 +88,7 @@ def test_full_history_orders_by_time(spark):
         ],
         CHANGE_EVENT,
     )
-    built = history.history_recomputed(master(spark), changes)
+    built = history.history_recomputed(master(spark), changes, hot=ALL_HOT)
     found = built.filter("batch_id = 'B1'").orderBy("effective_start_utc").collect()
     assert [r.release_status for r in found] == ["REVIEW", "HOLD", "RELEASED"]
     assert [r.effective_end_utc for r in found] == [r.effective_start_utc for r in found[1:]] + [None]
@@ -97,7 +101,8 @@ def test_timeline_equals_plain_windows_with_null_keys_and_hot_key(spark):
         "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE id % 50 END AS k",
         "CASE WHEN id % 11 = 0 THEN NULL ELSE (id * 7919) % 4001 END AS o", "id AS n",
     )
-    line = Timeline(("k",), ("o", "n"), F.floor(F.col("o") / 100))
+    # Keys 0 to 49 have some 40 rows and stay whole, key 1 and NULL are cut.
+    line = Timeline(("k",), ("o", "n"), F.floor(F.col("o") / 100), HotKeys(4, 50))
     placed = line.lay_out(df)
     with_both = line.with_neighbour(placed, "before", ["n"], forward=False)
     with_both = line.with_neighbour(with_both, "after", ["n"], forward=True)

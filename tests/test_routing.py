@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import Expectation
 from tidemark.operators import expectations
-from tidemark.operators.duplicates import HotKeys, mark_duplicates
+from tidemark.operators.duplicates import mark_duplicates
+from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.provenance import stamp
 from tidemark.operators.routing import (
     REASON,

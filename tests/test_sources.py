@@ -28,7 +28,7 @@ def test_landing_copy_and_reconciliation(spark, tmp_path):
     (tmp_path / "other").mkdir()
     paths.append(lines(tmp_path / "other" / "part0.jsonl", 9))
     landed = files.land_files(spark, paths, landing)
-    copied = {r.source_file[len("file://") :]: (r.rows_read, r.rows_copied, r.status) for r in landed.collect()}
+    copied = {"/" + r.source_file.removeprefix("file:").lstrip("/"): (r.rows_read, r.rows_copied, r.status) for r in landed.collect()}
     assert copied == {path: (n, n, "Succeeded") for path, n in zip(paths, (5, 6, 7, 9), strict=True)}
     paths.pop()
     scanned = spark.read.text(paths)

@@ -12,25 +12,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LOCAL_SALTS = 256
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """When a key counts as hot: ``copies`` of its rows in a sample of one row in ``one_in``.
-
-    At most rows / (one_in * copies) keys can be hot: 10^11 rows give at most 10^5 of them, which
-    bounds what is broadcast. A key that is not hot has about one_in * copies rows, which fit a task.
-    """
-
-    one_in: int = 1000
-    copies: int = 1000
-
+from tidemark.operators.hotkeys import HOT, NAME, SPREAD, HotKeys, hot_names, name_rows
 
 def file_position() -> Column:
     """Stable place of a row in Parquet input, usable as the last tie-break."""
@@ -63,34 +49,20 @@ def _has_key(keys: Sequence[str]) -> Column:
 
 
 def _by_rank(df: DataFrame, keys: list[str], order: list[str], flag: str, hot: HotKeys) -> DataFrame:
-    """One shuffle of the rows; hot keys are settled by their smallest order value instead of a rank.
-
-    The sample is a function of the row's order values, so every evaluation finds the same hot keys.
-    """
+    """One shuffle of the rows; hot keys are settled by their smallest order value instead of a rank."""
     rank_value = F.struct(*order)
-    spread = F.pmod(F.xxhash64(*order), F.lit(1 << 30))
-    # Hot keys are told by a hash: a collision only salts one more key, it decides nothing.
-    named = df.withColumn("_name", F.xxhash64(*keys)).withColumn("_spread", spread)
+    named = name_rows(df, keys, order)
     present = named.filter(_has_key(keys))
-    names = (
-        present.filter(F.col("_spread") % hot.one_in == 0)
-        .groupBy("_name")
-        .agg(F.count(F.lit(1)).alias("_sampled"))
-        .filter(F.col("_sampled") >= hot.copies)
-        .select("_name", F.lit(True).alias("_hot"))
-    )
-    first = (
-        present.join(F.broadcast(names), "_name")
-        .groupBy(*keys)
-        .agg(F.min(rank_value).alias("_first"))
-    )
+    names = hot_names(present, hot)
+    # One row per hot key, from a map-side combined aggregate over the hot rows alone.
+    first = present.join(names, NAME).groupBy(*keys).agg(F.min(rank_value).alias("_first"))
     # Rows of hot keys, and rows without a key, go to any task; they are not ranked.
-    scattered = F.col("_hot").isNotNull() | ~_has_key(keys)
-    salt = F.when(scattered, F.col("_spread")).otherwise(F.lit(0))
+    scattered = F.col(HOT).isNotNull() | ~_has_key(keys)
+    salt = F.when(scattered, F.col(SPREAD)).otherwise(F.lit(0))
     inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
     late = F.when(F.col("_first").isNotNull(), rank_value != F.col("_first")).otherwise(F.col("_rank") > 1)
     return (
-        named.join(F.broadcast(names), "_name", "left")
+        named.join(names, NAME, "left")
         .join(F.broadcast(first), keys, "left")
         .withColumn("_salt", salt)
         .withColumn("_rank", F.row_number().over(inside))
@@ -100,8 +72,8 @@ def _by_rank(df: DataFrame, keys: list[str], order: list[str], flag: str, hot: H
 
 
 def _by_two_ranks(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
-    # Salt by input partition: copies arriving in different tasks meet only as slice winners.
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(LOCAL_SALTS)))
+    # Salt by input partition: copies from different tasks meet only as winners, one per task.
+    salted = df.withColumn("_salt", F.spark_partition_id())
     # NULL keys would share one group; the key's own absence spreads them by content.
     scatter = F.when(~_has_key(keys), F.xxhash64(*df.columns))
     salted = salted.withColumn("_scatter", scatter)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.duplicates import keep_last
+from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.timeline import Timeline
 
 DELETE = "DELETE"
@@ -21,7 +22,7 @@ UNVERSIONED = (
     "ingest_timestamp_utc", "pipeline_run_id", "record_hash", "schema_version",
 )
 TRACKED = ("release_status", "site_id", "product_id")
-# Sequence numbers per slice of a key's timeline.
+# Sequence numbers per slice of a hot key's timeline.
 SEQUENCE_SLICE = 1_000_000
 
 
@@ -48,7 +49,9 @@ def known_batches(log: DataFrame) -> DataFrame:
     return current_state(log, columns=columns, deleted=F.lit(False))
 
 
-def history_recomputed(master: DataFrame, changes: DataFrame, slice_unit: str = "month") -> DataFrame:
+def history_recomputed(
+    master: DataFrame, changes: DataFrame, slice_unit: str = "hour", hot: HotKeys | None = None
+) -> DataFrame:
     """SCD type 2 where every event is a version, ordered by effective start and then sequence.
 
     Operations are not interpreted: there are no deletes here. Unparsable effective times give a
@@ -65,6 +68,7 @@ def history_recomputed(master: DataFrame, changes: DataFrame, slice_unit: str =
         ("batch_id",),
         ("effective_start_utc", "sequence_number"),
         F.date_trunc(slice_unit, "effective_start_utc"),
+        hot or HotKeys(),
     )
     content = ["release_status", "schema_version", *carried]
     placed = timeline.drop_ties(timeline.lay_out(versions), content)
@@ -88,6 +92,7 @@ def history_tracked(
     excluded: Sequence[str] = UNVERSIONED,
     deleted: Column | None = None,
     slice_by: Column | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """SCD type 2 where a new version starts only when a tracked column changes.
 
@@ -102,7 +107,7 @@ def history_tracked(
         *keys, *sequence, *tracked, *untracked, F.coalesce(gone, F.lit(False)).alias("_gone")
     )
     cut = slice_by if slice_by is not None else F.floor(F.col(sequence[0]) / SEQUENCE_SLICE)
-    timeline = Timeline(tuple(keys), tuple(sequence), cut)
+    timeline = Timeline(tuple(keys), tuple(sequence), cut, hot or HotKeys())
     state = [*tracked, *untracked, "_gone"]
     # Events with equal keys and sequence are one event; the largest by content wins.
     placed = timeline.drop_ties(timeline.lay_out(events), state)

@@ -1,8 +1,9 @@
 """Previous and next row inside a key, without holding a key in one task.
 
-A key's ordered rows are cut into slices by a deterministic, order-preserving expression. ``lag``
-and ``lead`` run inside (key, slice); only the edge rows of each slice travel between slices, as a
-summary of one row per (key, slice). The result equals the plain window over the whole key.
+The ordered rows of a hot key are cut into slices by a deterministic, order-preserving expression;
+any other key is one slice. ``lag`` and ``lead`` run inside (key, slice); only the edge rows of each
+slice travel between slices, as a summary of one row per (key, slice). The result equals the plain
+window over the whole key.
 
 ``lay_out`` shuffles the rows once by (key, slice). Every later step, windows, slice summaries and
 the joins back, works on that partitioning, so Spark reuses the one exchange.
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from tidemark.operators.hotkeys import HOT, HotKeys, flag_hot
+
 SLICE, UNSET = "_slice", "_slice_unset"
 # Stand-ins that make a nullable key non-null next to its null flag; never visible in results.
 _FILLERS = {
@@ -35,12 +38,13 @@ class Timeline:
     """Rows of each key in a total order.
 
     ``order`` must tell the rows of a key apart. ``slice_by`` must not decrease along ``order``;
-    choose it so that one slice of the hottest key fits a task.
+    choose it so that one slice of the hottest key fits a task. It applies to hot keys only.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     slice_by: Column
+    hot: HotKeys = HotKeys()
 
     @property
     def place(self) -> list[str]:
@@ -58,10 +62,12 @@ class Timeline:
 
     def mark(self, df: DataFrame) -> DataFrame:
         """Replace the keys by non-null place columns, which join and shuffle without null checks."""
+        df = flag_hot(df, self.keys, self.order, self.hot)
+        cut = F.when(F.col(HOT), self.slice_by.cast("string"))
         parts = {f"_key_{k}": F.coalesce(k, _filler(df.schema[k].dataType)) for k in self.keys}
         parts |= {f"_null_{k}": F.col(k).isNull() for k in self.keys}
-        parts |= {UNSET: self.slice_by.isNull(), SLICE: F.coalesce(self.slice_by.cast("string"), F.lit(""))}
-        return df.withColumns(parts).drop(*self.keys)
+        parts |= {UNSET: cut.isNull(), SLICE: F.coalesce(cut, F.lit(""))}
+        return df.withColumns(parts).drop(*self.keys, HOT)
 
     def lay_out(self, df: DataFrame) -> DataFrame:
         """The one shuffle: rows placed by (key, slice)."""

@@ -483,7 +483,7 @@ def _full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("sequence_number"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("effective_at"), F.lit("1.0").alias("schema_version"),
     )
-    return history.history_recomputed(master, changes, slice_unit="year")
+    return history.history_recomputed(master, changes)
 
 
 @query(FULL_SQL)
