@@ -24,7 +24,7 @@ EVENTS = [
 ]
 
 
-ALL_HOT = HotKeys(1, 1)
+ALL_HOT = HotKeys(rows=1)
 
 
 def tracked(log, slice_by=None, hot=ALL_HOT):
@@ -49,7 +49,7 @@ def rows(df):
     return {tuple(r) for r in df.select("k", "status", "site", "note", "start_s", "start_at", "end_s", "end_at", "is_current").collect()}
 
 
-@pytest.mark.parametrize(("width", "hot"), [(1, ALL_HOT), (2, ALL_HOT), (1, HotKeys(1, 3)), (1, HotKeys())])
+@pytest.mark.parametrize(("width", "hot"), [(1, ALL_HOT), (2, ALL_HOT), (1, HotKeys(rows=3)), (1, HotKeys())])
 def test_tracked_history(spark, width, hot):
     log = spark.createDataFrame(EVENTS, LOG)
     assert rows(tracked(log, F.floor(F.col("s") / width), hot)) == EXPECTED
@@ -102,8 +102,8 @@ def test_timeline_equals_plain_windows_with_null_keys_and_hot_key(spark):
         "CASE WHEN id % 11 = 0 THEN NULL ELSE (id * 7919) % 4001 END AS o", "id AS n",
     )
     # Keys 0 to 49 have some 40 rows and stay whole, key 1 and NULL are cut.
-    line = Timeline(("k",), ("o", "n"), F.floor(F.col("o") / 100), HotKeys(4, 50))
-    placed = line.lay_out(df)
+    line = Timeline(("k",), ("o", "n"), F.floor(F.col("o") / 100), HotKeys(rows=200))
+    placed = line.lay_out(df, ["n"])
     with_both = line.with_neighbour(placed, "before", ["n"], forward=False)
     with_both = line.with_neighbour(with_both, "after", ["n"], forward=True)
     got = line.restore(with_both).selectExpr("k", "o", "n", "before.n AS b", "after.n AS a")
@@ -136,3 +136,11 @@ def test_streamed_history_equals_batch_and_a_repeat_changes_nothing(spark, tmp_p
     follow()
     closed = {r[:6] + (9, "t9", False) if r[0] == "A" and r[8] else r for r in EXPECTED}
     assert rows(read_history(spark, str(tmp_path / "history"))) == closed
+
+
+def test_a_third_of_all_events_being_copies_of_one(spark):
+    events = spark.createDataFrame(EVENTS, LOG)
+    copies = spark.range(2000).selectExpr(
+        "'A' AS k", "3L AS s", "'t0' AS at", "'HOLD' AS status", "'S1' AS site", "'n3' AS note", "'UPDATE' AS op"
+    )
+    assert rows(tracked(events.unionByName(copies), F.col("s"), HotKeys(rows=1000))) == EXPECTED

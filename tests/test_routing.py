@@ -153,7 +153,7 @@ def test_basic_telemetry_routing(spark):
     ]
 
 
-@pytest.mark.parametrize(("position", "hot"), [(None, None), (["n"], None), (["n"], HotKeys(4, 50)), (["n"], HotKeys(1, 2))])
+@pytest.mark.parametrize(("position", "hot"), [(None, None), (["n"], None), (["n"], HotKeys(200, 4)), (["n"], HotKeys(2, 1))])
 def test_duplicates_equal_a_plain_ranking_on_skewed_keys(spark, position, hot):
     rows = spark.range(0, 6000, 1, 16).selectExpr(
         "id AS n", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id DIV 2 END AS k", "nullif(id % 4, 3) AS o"

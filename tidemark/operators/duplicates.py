@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import HOT, NAME, SPREAD, HotKeys, hot_names, name_rows
+from tidemark.operators.hotkeys import NAME, HotKeys, hot_names, name_rows
 
 def file_position() -> Column:
     """Stable place of a row in Parquet input, usable as the last tie-break."""
@@ -37,7 +37,7 @@ def mark_duplicates(
     key apart; without it full ties are settled by an arbitrary single winner.
     """
     if position:
-        return _by_rank(df, list(keys), [*order_by, *position], flag, hot or HotKeys())
+        return _by_rank(df, list(keys), list(order_by), list(position), flag, hot or HotKeys())
     return _by_two_ranks(df, list(keys), list(order_by), flag)
 
 
@@ -48,22 +48,23 @@ def _has_key(keys: Sequence[str]) -> Column:
     return present
 
 
-def _by_rank(df: DataFrame, keys: list[str], order: list[str], flag: str, hot: HotKeys) -> DataFrame:
+def _by_rank(
+    df: DataFrame, keys: list[str], order: list[str], position: list[str], flag: str, hot: HotKeys
+) -> DataFrame:
     """One shuffle of the rows; hot keys are settled by their smallest order value instead of a rank."""
-    rank_value = F.struct(*order)
-    named = name_rows(df, keys, order)
+    rank_value = F.struct(*order, *position)
+    named = name_rows(df, keys)
     present = named.filter(_has_key(keys))
-    names = hot_names(present, hot)
+    names = hot_names(present, hot, position)
     # One row per hot key, from a map-side combined aggregate over the hot rows alone.
     first = present.join(names, NAME).groupBy(*keys).agg(F.min(rank_value).alias("_first"))
     # Rows of hot keys, and rows without a key, go to any task; they are not ranked.
-    scattered = F.col(HOT).isNotNull() | ~_has_key(keys)
-    salt = F.when(scattered, F.col(SPREAD)).otherwise(F.lit(0))
-    inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    scattered = F.col("_first").isNotNull() | ~_has_key(keys)
+    salt = F.when(scattered, F.xxhash64(*position)).otherwise(F.lit(0))
+    inside = Window.partitionBy(*keys, "_salt").orderBy(*order, *position)
     late = F.when(F.col("_first").isNotNull(), rank_value != F.col("_first")).otherwise(F.col("_rank") > 1)
     return (
-        named.join(names, NAME, "left")
-        .join(F.broadcast(first), keys, "left")
+        df.join(F.broadcast(first), keys, "left")
         .withColumn("_salt", salt)
         .withColumn("_rank", F.row_number().over(inside))
         .withColumn(flag, _has_key(keys) & late)

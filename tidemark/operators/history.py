@@ -71,7 +71,7 @@ def history_recomputed(
         hot or HotKeys(),
     )
     content = ["release_status", "schema_version", *carried]
-    placed = timeline.drop_ties(timeline.lay_out(versions), content)
+    placed = timeline.lay_out(versions, content)
     # The summary needs start times only: a narrow scan, combined before its shuffle.
     starts = timeline.mark(versions.select("batch_id", "effective_start_utc", "sequence_number"))
     dated = timeline.restore(
@@ -110,7 +110,7 @@ def history_tracked(
     timeline = Timeline(tuple(keys), tuple(sequence), cut, hot or HotKeys())
     state = [*tracked, *untracked, "_gone"]
     # Events with equal keys and sequence are one event; the largest by content wins.
-    placed = timeline.drop_ties(timeline.lay_out(events), state)
+    placed = timeline.lay_out(events, state)
 
     # Inside a slice: the row before, and the next row that starts a version. A slice's first row
     # waits for the slice before it.

@@ -8,42 +8,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NAME, HOT, SPREAD = "_name", "_hot", "_spread"
+NAME, HOT = "_name", "_hot"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot: ``copies`` of its rows in a sample of one row in ``one_in``.
+    """A key is hot from ``rows`` rows on; fewer rows fit a task.
 
-    At most rows / (one_in * copies) keys can be hot: 10^11 rows give at most 10^5 of them, which
-    bounds what is broadcast. A key that is not hot has about one_in * copies rows, which fit a task.
+    At most all rows / ``rows`` keys can be hot, 10^5 of 10^11 rows, which bounds what is broadcast.
+    Where rows have a unique position, one in ``one_in`` is counted instead of all.
     """
 
+    rows: int = 1_000_000
     one_in: int = 1000
-    copies: int = 1000
 
 
-def name_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add a hash of the key and a hash of the row's place in it.
-
-    Keys are told by their hash: a collision makes one more key hot and decides nothing else.
-    """
-    return df.withColumns({NAME: F.xxhash64(*keys), SPREAD: F.pmod(F.xxhash64(*order), F.lit(1 << 30))})
+def name_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add a hash of the key. A collision makes one more key hot and decides nothing else."""
+    return df.withColumn(NAME, F.xxhash64(*keys))
 
 
-def hot_names(named: DataFrame, hot: HotKeys) -> DataFrame:
+def hot_names(named: DataFrame, hot: HotKeys, position: Sequence[str] = ()) -> DataFrame:
     """The hot keys' hashes, ready to be broadcast.
 
-    The sample is a function of the row's values, so every evaluation finds the same keys. Only
-    sampled hashes are shuffled, after a map-side count.
+    Counts and samples follow from the rows' values alone, so every evaluation finds the same keys.
+    Only hashes and counts are shuffled, after a map-side count.
     """
-    sampled = named.filter(F.col(SPREAD) % hot.one_in == 0).groupBy(NAME).agg(F.count(F.lit(1)).alias("_sampled"))
-    names = sampled.filter(F.col("_sampled") >= hot.copies).select(NAME, F.lit(True).alias(HOT))
-    return F.broadcast(names)
+    counted, enough = named, hot.rows
+    if position:
+        counted = named.filter(F.pmod(F.xxhash64(*position), F.lit(hot.one_in)) == 0)
+        enough = max(1, hot.rows // hot.one_in)
+    sizes = counted.groupBy(NAME).agg(F.count(F.lit(1)).alias("_rows"))
+    return F.broadcast(sizes.filter(F.col("_rows") >= enough).select(NAME))
 
 
-def flag_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotKeys) -> DataFrame:
+def flag_hot(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
     """Add the boolean ``_hot``."""
-    named = name_rows(df, keys, order)
-    flagged = named.join(hot_names(named, hot), NAME, "left")
+    named = name_rows(df, keys)
+    names = hot_names(named, hot).withColumn(HOT, F.lit(True))
+    flagged = named.join(F.broadcast(names), NAME, "left")
     return flagged.withColumn(HOT, F.coalesce(HOT, F.lit(False))).select(*df.columns, HOT)

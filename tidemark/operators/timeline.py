@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidemark.operators.hotkeys import HOT, HotKeys, flag_hot
+from tidemark.operators.duplicates import keep_last
+from tidemark.operators.hotkeys import HOT, NAME, HotKeys, flag_hot, hot_names, name_rows
 
 SLICE, UNSET = "_slice", "_slice_unset"
 # Stand-ins that make a nullable key non-null next to its null flag; never visible in results.
@@ -37,7 +38,7 @@ def _filler(kind: DataType) -> Column:
 class Timeline:
     """Rows of each key in a total order.
 
-    ``order`` must tell the rows of a key apart. ``slice_by`` must not decrease along ``order``;
+    ``order`` tells the rows of a key apart once ``lay_out`` has settled ties. ``slice_by`` must not decrease along ``order``;
     choose it so that one slice of the hottest key fits a task. It applies to hot keys only.
     """
 
@@ -62,24 +63,33 @@ class Timeline:
 
     def mark(self, df: DataFrame) -> DataFrame:
         """Replace the keys by non-null place columns, which join and shuffle without null checks."""
-        df = flag_hot(df, self.keys, self.order, self.hot)
+        df = df if HOT in df.columns else flag_hot(df, self.keys, self.hot)
         cut = F.when(F.col(HOT), self.slice_by.cast("string"))
         parts = {f"_key_{k}": F.coalesce(k, _filler(df.schema[k].dataType)) for k in self.keys}
         parts |= {f"_null_{k}": F.col(k).isNull() for k in self.keys}
         parts |= {UNSET: cut.isNull(), SLICE: F.coalesce(cut, F.lit(""))}
         return df.withColumns(parts).drop(*self.keys, HOT)
 
-    def lay_out(self, df: DataFrame) -> DataFrame:
-        """The one shuffle: rows placed by (key, slice)."""
-        return self.mark(df).repartition(*self.place)
+    def lay_out(self, df: DataFrame, prefer: Sequence[str]) -> DataFrame:
+        """The one shuffle: rows placed by (key, slice), one row per key and order value.
+
+        Where order values repeat, the largest row by ``prefer`` stays. Copies of one row can only be
+        many in a hot key, so a hot key's rows are aggregated first, combining copies before they are
+        shuffled; without hot keys that branch is empty and is not run.
+        """
+        named = name_rows(df, self.keys)
+        names = hot_names(named, self.hot)
+        hot = keep_last(named.join(names, NAME).drop(NAME), [*self.keys, *self.order], prefer)
+        cold = named.join(names, NAME, "left_anti").drop(NAME)
+        rows = cold.withColumn(HOT, F.lit(False)).unionByName(hot.withColumn(HOT, F.lit(True)))
+        return self._drop_ties(self.mark(rows).repartition(*self.place), prefer)
 
     def restore(self, placed: DataFrame) -> DataFrame:
         """Keys back under their names, place columns gone."""
         keys = {k: F.when(~F.col(f"_null_{k}"), F.col(f"_key_{k}")) for k in self.keys}
         return placed.withColumns(keys).drop(*self.place)
 
-    def drop_ties(self, placed: DataFrame, prefer: Sequence[str]) -> DataFrame:
-        """One row per key and order value, the largest by ``prefer``. Ties share a slice."""
+    def _drop_ties(self, placed: DataFrame, prefer: Sequence[str]) -> DataFrame:
         inside = Window.partitionBy(*self.place).orderBy(*self.order, *prefer)
         following = F.lead(F.struct(*self.order)).over(inside)
         tied = placed.withColumn("_tied", following.isNotNull() & following.eqNullSafe(F.struct(*self.order)))
