@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,40 @@ def test_a_third_of_all_events_being_copies_of_one(spark):
         "'A' AS k", "3L AS s", "'t0' AS at", "'HOLD' AS status", "'S1' AS site", "'n3' AS note", "'UPDATE' AS op"
     )
     assert rows(tracked(events.unionByName(copies), F.col("s"), HotKeys(rows=1000))) == EXPECTED
+
+
+def brute_force(events):
+    """The tracked history by plain iteration over each key's sorted events."""
+    latest = {}
+    for k, s, at, status, site, note, op in events:
+        content = (status, site, note, op == "DELETE")
+        latest[k, s, at] = max(latest.get((k, s, at), content), content)
+    found = set()
+    for key in {k for k, _, _ in latest}:
+        version = None
+        for (_, s, at), (status, site, note, gone) in sorted(item for item in latest.items() if item[0][0] == key):
+            if version and not gone and version[1:3] == (status, site):
+                version = (*version[:3], note, *version[4:])
+                continue
+            if version:
+                found.add((*version, s, at, False))
+            version = None if gone else (key, status, site, note, s, at)
+        if version:
+            found.add((*version, None, None, True))
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_tracked_history_equals_brute_force_on_random_events(spark, seed):
+    numbers = random.Random(seed)
+    events = [
+        (
+            numbers.choice(["A", "A", "A", "B", "C", "D", "E"]), numbers.randrange(60), f"t{numbers.randrange(3)}",
+            numbers.choice("XY"), numbers.choice("pq"), f"n{n:03d}", numbers.choice(["UPDATE"] * 5 + ["DELETE"]),
+        )
+        for n in range(250)
+    ]
+    log = spark.createDataFrame(events, LOG)
+    expected = brute_force(events)
+    assert rows(tracked(log, F.floor(F.col("s") / 7), HotKeys(rows=60))) == expected
+    assert rows(tracked(log, hot=HotKeys())) == expected

@@ -46,8 +46,10 @@ class Run:
     def json(self, name: str, schema, source_file: bool = False) -> DataFrame:
         return files.read_json_lines(self.spark, f"{self.source}/{name}", schema, source_file)
 
-    def publish(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
-        tables.publish(df, table, self.table_format, partition_by)
+    def publish(
+        self, df: DataFrame, table: str, partition_by: tuple[str, ...] = (), rebalance: bool = True
+    ) -> None:
+        tables.publish(df, table, self.table_format, partition_by, rebalance)
 
 
 def bronze_batch(run: Run, incident: bool = False) -> None:
@@ -125,7 +127,8 @@ def quality_gate(run: Run) -> DataFrame:
 
 def _publish_routed(run: Run, routed: Routed, name: str, valid: str, quarantine: str) -> None:
     evaluated = f"silver.{name}_evaluated"
-    run.publish(routed.labelled.drop(*POSITION), evaluated, (DISPOSITION,))
+    # Three dispositions: each task writes at most three files, and the wide rows are not shuffled again.
+    run.publish(routed.labelled.drop(*POSITION), evaluated, (DISPOSITION,), rebalance=False)
     raw = routed.policy.raw_time
     columns = [c for c in run.spark.table(evaluated).columns if c not in (DISPOSITION, REASON, PARSED, raw)]
     listed = ", ".join(f"`{c}`" for c in columns)

@@ -33,13 +33,15 @@ def publish(
     table: str,
     source_format: str = "parquet",
     partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Replace a table with the frame, schema included.
 
     With partition columns the rows are rebalanced on them first: small partitions share a task and
-    a large one is split, so no partition's files depend on the number of upstream tasks.
+    a large one is split, so no partition's files depend on the number of upstream tasks. A column
+    of a few values needs no such shuffle; switch it off there.
     """
-    ready = df.hint("rebalance", *partition_by) if partition_by else df
+    ready = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     writer = ready.write.format(source_format).mode("overwrite").option("overwriteSchema", "true")
     # A static overwrite: a full publication must not leave old partitions behind.
     writer = writer.option("partitionOverwriteMode", "static")
