@@ -217,10 +217,8 @@ def _long_substrings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = np.append(page[LONG - 1 :], np.full(LONG - 1, -1))[: len(page)] == page
         order, rank = order[whole[order]], rank[whole[order]]
         first = np.flatnonzero(np.append(True, rank[1:] != rank[:-1])) if len(rank) else np.empty(0, dtype=np.int64)
-        if not len(first):
-            return pd.DataFrame({"host": [], "name": [], "least": [], "most": []})
         names = [window_name(tokens[i : i + LONG]) for i in order[first]]
-        return pd.DataFrame({"host": host, "name": names, "least": np.minimum.reduceat(content[order], first), "most": np.maximum.reduceat(content[order], first)})
+        return pd.DataFrame({"host": pd.Series([host] * len(first), dtype=object), "name": np.array(names, dtype=np.int64), "least": np.minimum.reduceat(content[order], first) if len(first) else content[:0], "most": np.maximum.reduceat(content[order], first) if len(first) else content[:0]})
 
     for batch in batches:
         for host, rows in batch.groupby("host", sort=False):
@@ -242,7 +240,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tokens = np.asarray(stream, dtype=np.int64)
             n = len(tokens) - LONG + 1
             if n > 0:
-                yield pd.DataFrame({"row": row, "host": host, "at": np.arange(n, dtype=np.int32), "name": [window_name(tokens[i : i + LONG]) for i in range(n)]})
+                yield pd.DataFrame({"row": row, "host": pd.Series([host] * n, dtype=object), "at": np.arange(n, dtype=np.int32), "name": [window_name(tokens[i : i + LONG]) for i in range(n)]})
 
 
 def _keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,7 +254,8 @@ def _keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 covered[i : i + LONG] = 1
             share = [covered[a : a + n].mean() for a, n in zip(begins[:-1], sizes, strict=True) if n > 0]
             texts.append("\n".join(t for t, s in zip(open_, share, strict=True) if s <= COVERED))
-        yield batch[["page_id", "url"]].assign(text=texts)
+        urls = pd.Series([None if pd.isna(u) else u for u in batch["url"]], dtype=object)
+        yield pd.DataFrame({"page_id": batch["page_id"].to_numpy(), "url": urls, "text": pd.Series(texts, dtype=object)})
 
 
 def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url", "html")) -> DataFrame:

@@ -179,7 +179,7 @@ def _judge(shared) -> object:
                 length = np.bincount(doc, chars[flat], len(each))
                 some = np.bincount(doc, lettered[flat], len(each)) > 0
                 mean = np.stack([np.bincount(doc, total[flat, j], len(each)) for j in range(total.shape[1])], axis=1)
-                mean /= np.maximum(length, 1)[:, None]
+                mean = mean / np.maximum(length, 1)[:, None]
                 best = mean.argmin(axis=1)
                 low = mean[np.arange(len(each)), best]
                 odds = np.exp(-(mean - low[:, None]) * np.minimum(length, CERTAIN_CHARS)[:, None])

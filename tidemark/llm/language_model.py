@@ -30,6 +30,8 @@ from tidemark.llm.common import crc_remainder, stored, take, words
 OWN, SHARED = 1200, 256
 HEAD = 1 << 17
 DIMENSIONS, NOISE, ROUNDS, RATE = 32, 10, 150, 0.05
+# Variance of the Gaussian prior of the vectors: it weighs little in a large corpus and much in a small one.
+PRIOR = 0.1
 HELD_WORDS = 200_000
 CLASSES = OWN + SHARED + 1
 END = OWN + SHARED
@@ -60,11 +62,12 @@ def train(counts: np.ndarray, dimensions: int = DIMENSIONS, noise: int = NOISE,
     share = (counts / total).astype(np.float32)
     push = (np.outer(rows / total, noise * q)).astype(np.float32)
     shift = np.log(noise * q).astype(np.float32)
+    held = np.float32(1 / (PRIOR * total))
     state = [(x, np.zeros_like(x), np.zeros_like(x)) for x in (left, right, bias)]
     for step in range(1, rounds + 1):
         s = 1 / (1 + np.exp(-(left @ right.T + (bias - shift))))
         slope = share * (1 - s) - push * s
-        slopes = (slope @ right, slope.T @ left, slope.sum(axis=0))
+        slopes = (slope @ right - held * left, slope.T @ left - held * right, slope.sum(axis=0))
         for (x, mean, square), g in zip(state, slopes, strict=True):
             mean += 0.1 * (g - mean)
             square += 0.01 * (g * g - square)

@@ -26,7 +26,7 @@ from tidemark.llm.common import stored, take
 QUERY_BLOCK, BLOCK, MERGED = 1024, 2048, 32
 PROJECTIONS, SEED = 64, 11
 FIRST, WIDER = 1.2, 1.12
-COLLISIONS, SHARE = 0.8, 0.15
+COLLISIONS, SHARE = 0.8, 0.2
 SUB = 128
 
 
@@ -117,7 +117,7 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _search(dim: int, longest: float, k: int):
-    base = projections(dim + 1, min(PROJECTIONS, max(8, dim + 1)))
+    base = projections(dim + 1)
     unit = longest / np.sqrt(dim + 1)
 
     def cell(query_ids, queries, ids, vectors) -> tuple[np.ndarray, np.ndarray]:
