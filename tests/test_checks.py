@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import nearest_rank
 from tidemark.functions.text import redact
 from tidemark.operators import comparison, content, contracts, documents, gold, ledger
 from tidemark.operators.joins import broadcast_if_small
@@ -217,3 +218,18 @@ def test_duration_statistics(spark):
     assert tuple(comparison.duration_statistics(df, "m", "d").first()) == ("a", 5, 4)
     assert tuple(comparison.run_medians(df, "m", "d").first()) == ("a", 3.0, 3)
     assert tuple(comparison.run_medians(df.filter("d < 5"), "m", "d").first()) == ("a", 2.5, 3)
+
+
+@pytest.mark.parametrize(
+    ("budget", "cost", "reason"),
+    [("20", "1000000000000000000", "BUDGET_EXCEEDED"), ("20", "1e40", "BUDGET_EXCEEDED"), ("10000000000000000000", "3", "WITHIN_TARGET"),
+     ("20", "-1e18", "INVALID_CURRENT_COST"), ("NaN", "1", "INVALID_BUDGET"), ("20", "Infinity", "INVALID_CURRENT_COST")],
+)
+def test_large_amounts_keep_their_meaning(spark, budget, cost, reason):
+    row = ledger.cost_gate(spark.createDataFrame([(budget, cost)], "b STRING, c STRING"), "b", "c").first()
+    assert row.reason == reason
+
+
+def test_nearest_rank_is_exact_beyond_a_million_values(spark):
+    values = spark.range(1_200_003).select((F.col("id") * 11 % 1_200_003).cast("double").alias("v"))
+    assert values.agg(nearest_rank("v", 0.75)).first()[0] == -(-3 * 1_200_003 // 4) - 1

@@ -183,3 +183,26 @@ def test_tracked_history_equals_brute_force_on_random_events(spark, seed):
     expected = brute_force(events)
     assert rows(tracked(log, F.floor(F.col("s") / 7), HotKeys(rows=60))) == expected
     assert rows(tracked(log, hot=HotKeys())) == expected
+
+
+def test_only_the_last_version_is_current_with_unparsable_times(spark):
+    master = spark.createDataFrame(
+        [("B1", "S", "P", "L", "t", "REVIEW", "2024-01-01T00:00:00Z", 1, 1)],
+        "batch_id STRING, site_id STRING, product_id STRING, lot_number STRING, manufactured_at STRING, "
+        "release_status STRING, effective_at STRING, sequence_number BIGINT, schema_version INT",
+    )
+    changes = spark.createDataFrame(
+        [("B1", "HOLD", "bad", 2, 1), ("B1", "RELEASED", "worse", 3, 1)],
+        "batch_id STRING, release_status STRING, effective_at STRING, sequence_number BIGINT, schema_version INT",
+    )
+    found = history.history_recomputed(master, changes).collect()
+    assert len(found) == 3 and [r.is_current for r in found].count(True) == 1
+
+
+def test_ties_end_the_same_in_any_input_order(spark):
+    events = [("A", 1, "t1", status, "S1", note, "INSERT") for status in ("HOLD", "RELEASED") for note in ("n1", "n2")]
+    for _ in range(4):
+        random.shuffle(events)
+        log = spark.createDataFrame(events, LOG).withColumnRenamed("status", "release_status")
+        current = history.current_state(log, ["k"], ["s", "at"], ["k", "release_status", "note"], F.col("op") == "DELETE")
+        assert [tuple(r) for r in current.collect()] == [("A", "RELEASED", "n2")]

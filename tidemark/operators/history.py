@@ -12,6 +12,7 @@ from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.timeline import Timeline
 
 DELETE = "DELETE"
+# The published columns of the current state.
 CURRENT_COLUMNS = (
     "batch_id", "site_id", "product_id", "lot_number", "manufactured_at",
     "release_status", "effective_at", "sequence_number", "schema_version",
@@ -34,12 +35,19 @@ def current_state(
     deleted: Column | None = None,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Newest event per key; keys whose newest event is a delete have no current state."""
+    """Newest event per key; keys whose newest event is a delete have no current state.
+
+    Events equal in ``order`` and ``tie_break`` are settled by their whole content, the versioned columns
+    first, as in the tracked history: the largest stays, whatever the order of the input.
+    """
     gone = deleted if deleted is not None else F.col("operation") == DELETE
     names = list(columns) if columns else log.columns
-    needed = list(dict.fromkeys([*keys, *order, *tie_break, *names]))
-    events = log.select(*needed, F.coalesce(gone, F.lit(False)).alias("_gone"))
-    newest = keep_last(events, list(keys), [*order, *tie_break])
+    settled = {*keys, *order, *tie_break}
+    versioned = [c for c in dict.fromkeys([*TRACKED, *log.columns]) if c in log.columns and c not in settled]
+    state = [c for c in versioned if c not in UNVERSIONED]
+    rest = [c for c in versioned if c in UNVERSIONED]
+    events = log.select(*dict.fromkeys([*keys, *order, *tie_break, *versioned]), F.coalesce(gone, F.lit(False)).alias("_gone"))
+    newest = keep_last(events, list(keys), [*order, *tie_break, *state, "_gone", *rest])
     return newest.filter(~F.col("_gone")).select(*names)
 
 
@@ -78,7 +86,8 @@ def history_recomputed(
         timeline.with_neighbour(placed, "_next", ["effective_start_utc"], forward=True, edges_from=starts)
     )
     ended = dated.withColumn("effective_end_utc", F.col("_next.effective_start_utc"))
-    return with_current_flags(ended).select(
+    # The last version is the one without a successor; a successor's unparsable time also gives a NULL end.
+    return with_current_flags(ended, end="_next").select(
         "batch_id", *carried, "release_status", "sequence_number", "effective_start_utc",
         "effective_end_utc", "is_current", "is_current_int", "schema_version",
     )
@@ -179,7 +188,7 @@ def _slice_summary(
 
 
 def with_current_flags(df: DataFrame, end: str = "effective_end_utc") -> DataFrame:
-    """Derive ``is_current`` and its 0/1 twin from an open end."""
+    """Derive ``is_current`` and its 0/1 twin from an open end or a missing successor."""
     return df.withColumn("is_current", F.col(end).isNull()).withColumn(
         "is_current_int", F.col("is_current").cast("int")
     )

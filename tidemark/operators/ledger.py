@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import exact_number, first_match, money
+from tidemark.functions.columns import first_match, money, sign
 
 # Thresholds in USD and what each reason allows.
 DEFAULT_BUDGET = "20.00"
@@ -32,10 +32,10 @@ def cost_gate(df: DataFrame, budget: str, cost: str, allow_default: bool = False
     Amounts are rounded half-even to cents after their sign is checked. Only a NULL budget may be
     replaced by the default, never a malformed one.
     """
-    limit = _amount(F.col(budget), exact_number(F.col(budget)) > 0)
+    limit = _amount(F.col(budget), sign(F.col(budget)) > 0)
     if allow_default:
         limit = F.when(F.col(budget).isNull(), F.lit(DEFAULT_BUDGET).cast("decimal(38,2)")).otherwise(limit)
-    spent = _amount(F.col(cost), exact_number(F.col(cost)) >= 0)
+    spent = _amount(F.col(cost), sign(F.col(cost)) >= 0)
     rated = df.withColumn("budget_amount", limit).withColumn(
         "cost_amount", F.when(F.col("budget_amount").isNotNull(), spent)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,11 +27,11 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names, else one below the warehouse, which is shared where tables are."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         context.setCheckpointDir(root)
     elif not context.getCheckpointDir():
         context.setCheckpointDir(root)
