@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.hotkeys import NAME, HotKeys, hot_names, name_rows
 
-def file_position() -> Column:
-    """Stable place of a row in Parquet input, usable as the last tie-break."""
-    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-
 
 def mark_duplicates(
     df: DataFrame,

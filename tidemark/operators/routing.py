@@ -216,8 +216,3 @@ def _telemetry_value_rules() -> list[Rule]:
         wrong_unit("metric_name", "unit", TELEMETRY_UNITS, "INCONSISTENT_UNIT", False),
         flagged(REPEATED, "DUPLICATE_EVENT_ID"),
     ]
-
-
-def known_keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct non-NULL keys of a reference table."""
-    return df.filter(F.col(key).isNotNull()).select(key).distinct()
