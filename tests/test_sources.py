@@ -37,30 +37,36 @@ def test_landing_copy_and_reconciliation(spark, tmp_path):
         files.verify_landing(scanned, 3, 19)
 
 
-def test_manifest_is_stable_and_large_files_are_read_by_line(spark, tmp_path):
+def test_manifest_has_one_formula_for_all_sizes(spark, tmp_path):
     import hashlib
 
-    root = tmp_path / "data"
+    root, other = tmp_path / "data", tmp_path / "else where"
     (root / "a").mkdir(parents=True)
-    lines(root / "a" / "one.jsonl", 3)
-    lines(root / "two.jsonl", 200)
-    manifest = files.file_manifest(spark, str(root), "*.jsonl", whole_limit=1000)
-    rows = {r.path.rsplit("/", 1)[1]: r for r in manifest.collect()}
-    whole = (root / "a" / "one.jsonl").read_bytes()
-    assert rows["one.jsonl"].sha256 == hashlib.sha256(whole).hexdigest() and rows["one.jsonl"].digest_kind == "bytes"
-    assert rows["two.jsonl"].digest_kind == "lines" and rows["two.jsonl"].bytes == (root / "two.jsonl").stat().st_size
-    digest = files.dataset_digest(manifest, str(root)).first()
-    assert digest.row_count == 2
-    lines(root / "two.jsonl", 200, start=1)
-    changed = files.file_manifest(spark, str(root), "*.jsonl", whole_limit=1000)
-    assert files.dataset_digest(changed, str(root)).first() != digest
-    kept = str(tmp_path / "kept")
-    manifest.write.parquet(kept)
-    old = files.relative_manifest(spark.read.parquet(kept), str(root))
-    lines(root / "three.jsonl", 1)
-    new = files.relative_manifest(files.file_manifest(spark, str(root), "*.jsonl"), str(root))
-    assert old.filter("path = 'a/one.jsonl'").count() == 1
-    assert [r.path for r in files.manifest_differences(old, new).orderBy("path").collect()] == ["three.jsonl", "two.jsonl"]
+    (other / "a").mkdir(parents=True)
+    for place in (root, other):
+        lines(place / "a" / "one.jsonl", 3)
+        lines(place / "two.jsonl", 200)
+        (place / "none.jsonl").write_text("")
+
+    def manifest(place):
+        found = files.file_manifest(spark, str(place), "*.jsonl", block_bytes=1000)
+        return files.relative_manifest(found, str(place))
+
+    rows = {r.path: r for r in manifest(root).collect()}
+    for path, row in rows.items():
+        content = (root / path).read_bytes()
+        blocks = [content[i : i + 1000] for i in range(0, len(content), 1000)]
+        written = "\n".join(hashlib.sha256(b).hexdigest() for b in blocks)
+        assert (row.bytes, row.blocks_sha256) == (len(content), hashlib.sha256(written.encode()).hexdigest())
+    assert set(rows) == {"a/one.jsonl", "two.jsonl"} and rows["two.jsonl"].bytes > 3000
+    # Equal files in two folders do not differ, at any size; reordered lines do.
+    assert files.manifest_differences(manifest(root), manifest(other)).count() == 0
+    assert files.dataset_digest(manifest(root), str(root)).first() == files.dataset_digest(manifest(other), str(other)).first()
+    text = (other / "two.jsonl").read_text().splitlines(keepends=True)
+    (other / "two.jsonl").write_text("".join(reversed(text)))
+    lines(other / "three.jsonl", 1)
+    changed = files.manifest_differences(manifest(root), manifest(other)).orderBy("path").collect()
+    assert [(r.path, r.expected_digest is None) for r in changed] == [("three.jsonl", True), ("two.jsonl", False)]
 
 
 def test_replay_emits_exactly_the_first_messages_in_order(spark, tmp_path):

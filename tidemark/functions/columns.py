@@ -17,9 +17,9 @@ def canonical_json(columns: Iterable[str], keep_nulls: bool = True) -> Column:
     return F.to_json(packed, {"ignoreNullFields": str(not keep_nulls).lower()})
 
 
-def joined_text(columns: Sequence[str]) -> Column:
+def joined_text(columns: Sequence[Column | str]) -> Column:
     """Columns as text joined by a bar, NULL written as a mark, for digests compared across engines."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns])
+    return F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_MARK)) for c in columns])
 
 
 def digest(text: Column | str) -> Column:

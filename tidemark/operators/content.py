@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import canonical_json, digest
 from tidemark.operators.provenance import VOLATILE
 
-LEAF_HEX = 5
+# Part of the digest's definition, not a setting: 16^9 leaves leave few rows to a leaf at any size.
+LEAF_HEX = 9
 FAN_HEX = 3
 LANES = 12
 LANE_HEX = 5
@@ -27,21 +28,20 @@ def content_digest(
     df: DataFrame,
     exclude: Sequence[str] = VOLATILE,
     text: Column | None = None,
-    leaf_hex: int = LEAF_HEX,
 ) -> DataFrame:
     """One row (row_count, content_sha256) that does not depend on row order or partitioning.
 
     Equal rows collapse to (digest, copies) before the shuffle, so copies cannot make a bucket hot,
-    and distinct SHA-256 values spread evenly over 16^leaf_hex leaves. Leaf digests are folded 16^3
-    at a time; no group grows with anything but rows / 16^leaf_hex. Compare digests only at equal
-    ``leaf_hex``; raise it by one for each 16-fold growth beyond about 10^10 distinct rows.
+    and distinct SHA-256 values spread evenly over 16^9 leaves: 15 to a leaf at 10^12 distinct rows.
+    Leaf digests are folded 16^3 at a time. Nothing in the definition is to be tuned, so digests taken
+    before and after a table has grown compare.
     """
     copies = row_digests(df, exclude, text).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     level = copies.select(
-        F.substring("h", 1, leaf_hex).alias("prefix"), F.concat_ws(":", "h", "n").alias("entry"), "n"
+        F.substring("h", 1, LEAF_HEX).alias("prefix"), F.concat_ws(":", "h", "n").alias("entry"), "n"
     )
     level = _fold(level)
-    width = leaf_hex
+    width = LEAF_HEX
     while width > 0:
         width = max(0, width - FAN_HEX)
         level = _fold(
@@ -106,9 +106,12 @@ def run_receipt(
     duplicate_groups: Mapping[str, DataFrame],
     version_violations: DataFrame | None = None,
     kpi: DataFrame | None = None,
-    leaf_hex: int = LEAF_HEX,
+    texts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """What a run produced, as rows (section, name, value): a few dozen, whatever the tables' size."""
+    """What a run produced, as rows (section, name, value): a few dozen, whatever the tables' size.
+
+    ``texts`` gives the row text of a hashed table where its digest is compared with another engine's.
+    """
     parts = [
         row_counts(counted).select(
             F.lit("row_counts").alias("section"),
@@ -118,7 +121,7 @@ def run_receipt(
     ]
     for name, df in hashed.items():
         parts.append(
-            content_digest(df, leaf_hex=leaf_hex).select(
+            content_digest(df, text=(texts or {}).get(name)).select(
                 F.lit("content_hashes").alias("section"), F.lit(name).alias("name"), F.col("content_sha256").alias("value")
             )
         )

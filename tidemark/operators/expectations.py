@@ -64,6 +64,12 @@ def require(df: DataFrame, expectation: Expectation, naming: str) -> None:
         raise ExpectationFailed(f"{expectation.name}: {found.n} violating rows, first {naming} {found.example}")
 
 
+def offenders(df: DataFrame, expectation: Expectation, naming: str) -> DataFrame:
+    """Every row that breaks the contract, by name: what is looked up after a run was stopped."""
+    broken = df.filter(~expectation.holds)
+    return broken.select(F.lit(expectation.name).alias("expectation"), F.col(naming).cast("string").alias("offender"))
+
+
 def fail_in_plan(df: DataFrame, expectation: Expectation, naming: str) -> DataFrame:
     """The same contract checked as rows stream by: the task that meets a violator raises."""
     message = F.concat(

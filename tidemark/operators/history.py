@@ -13,6 +13,7 @@ from tidemark.operators.timeline import Timeline
 
 DELETE = "DELETE"
 # The published columns of the current state.
+# The columns of the published current state.
 CURRENT_COLUMNS = (
     "batch_id", "site_id", "product_id", "lot_number", "manufactured_at",
     "release_status", "effective_at", "sequence_number", "schema_version",

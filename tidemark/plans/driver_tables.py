@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import digest, joined_text
-from tidemark.functions.rules import Expectation, Rule, differs, flagged, missing, outside, wrong_unit
+from tidemark.functions.rules import Expectation, differs, flagged, missing, outside, wrong_unit
 from tidemark.operators import comparison, content, contracts, documents, expectations, gold, history, ledger
 from tidemark.operators.duplicates import mark_duplicates
 from tidemark.operators.joins import aggregate_before_join, broadcast_if_small, salted_shuffle_hash_join
 from tidemark.operators.provenance import change_log, stamp
-from tidemark.operators.routing import KNOWN, PARSED, REASON, REPEATED, Policy, Routed, reason_counts, route
+from tidemark.operators.routing import (
+    KNOWN, PARSED, REASON, REPEATED, Policy, Routed, quality_policy, quality_policy_basic, reason_counts, route,
+    telemetry_policy_basic,
+)
 from tidemark.schemas import contract
 from tidemark.session import workdir
 from tidemark.sources import files, messages, tables
@@ -63,20 +66,28 @@ def decimal_text(column: str, precision: str = "decimal(18,2)") -> Column:
 
 # --- provenance -------------------------------------------------------------------------------
 
-LINEITEM_TEXT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+
+def _line_text() -> Column:
+    amounts = [decimal_text(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    return joined_text(
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *amounts, "l_returnflag", "l_linestatus", shipped]
+    )
 
 
 @query("""
 SELECT l_orderkey, l_linenumber, 'lineitem' AS source_file, 'run-1' AS pipeline_run_id,
        strftime(l_shipdate, '%Y-%m-%d') AS event_timestamp_utc,
-       sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus)) AS record_hash
+       sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         CAST(l_quantity AS DECIMAL(18,2)), CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_discount AS DECIMAL(18,2)),
+         CAST(l_tax AS DECIMAL(18,2)), l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))) AS record_hash
 FROM lineitem
 """)
 def bronze_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("ship_text", F.date_format("l_shipdate", "yyyy-MM-dd"))
     stamped = stamp(
         lines, source_file="lineitem", run_id="run-1", ingested_at="2026-01-01T00:00:00Z",
-        raw_time="ship_text", hash_text=joined_text(LINEITEM_TEXT),
+        raw_time="ship_text", hash_text=_line_text(),
     )
     return stamped.select(
         "l_orderkey", "l_linenumber", "source_file", "pipeline_run_id", "event_timestamp_utc", "record_hash"
@@ -391,6 +402,91 @@ def exact_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "is_duplicate")
 
 
+# The shipped policies over line items and events, with every reason present. The columns read the same in both
+# dialects, so one text serves Spark and the SQL.
+OBSERVED = [
+    "CASE WHEN l_orderkey % 101 <> 0 THEN l_orderkey * 10 + l_linenumber END AS observation_id",
+    "CASE WHEN l_orderkey % 53 = 0 THEN -1 WHEN l_orderkey % 47 <> 0 THEN l_partkey END AS batch_id",
+    "CASE WHEN l_orderkey % 59 = 0 THEN 99 WHEN l_orderkey % 43 <> 0 THEN l_partkey % 12 END AS site_id",
+    "CASE WHEN l_orderkey % 61 = 0 THEN 99 ELSE l_partkey % 20 END AS product_id",
+    "CASE WHEN l_orderkey % 71 = 0 THEN 145.0 ELSE l_quantity END AS sample_temperature_c",
+    "CASE l_returnflag WHEN 'A' THEN 'assay' WHEN 'N' THEN 'purity' ELSE 'bioburden' END AS test_type",
+    "CASE WHEN l_orderkey % 73 = 0 THEN 'degF' WHEN l_returnflag IN ('A', 'N') THEN '%' ELSE 'CFU/g' END AS unit",
+    "l_extendedprice AS result_value",
+    "5.0 AS spec_lower",
+    "CASE WHEN l_orderkey % 79 <> 0 THEN l_tax END AS spec_upper",
+    "CASE WHEN l_orderkey % 67 = 0 THEN 'not a time' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS event_timestamp_utc",
+    "concat(l_orderkey, '-', l_linenumber) AS record_hash",
+    *LINE_ORDER,
+]
+
+
+def _observed_sql(rules: str) -> str:
+    return f"""
+WITH src AS (SELECT {", ".join(OBSERVED)} FROM lineitem),
+ranked AS (
+  SELECT src.*, p_partkey, try_cast(event_timestamp_utc AS TIMESTAMP) AS event_time,
+         row_number() OVER (PARTITION BY record_hash ORDER BY {", ".join(LINE_ORDER)}) AS rk
+  FROM src LEFT JOIN part ON batch_id = p_partkey)
+SELECT record_hash, observation_id, l_partkey, CASE WHEN observation_id IS NULL THEN 'NULL_BUSINESS_KEY'
+    {rules}
+    WHEN rk > 1 THEN 'DUPLICATE_RECORD' END AS quarantine_reason
+FROM ranked
+"""
+
+
+VALUE_RULES_SQL = """WHEN event_time IS NULL THEN 'MALFORMED_TIMESTAMP'
+    WHEN NOT (sample_temperature_c BETWEEN -80 AND 80) THEN 'IMPOSSIBLE_TEMPERATURE'
+    WHEN unit <> CASE WHEN test_type = 'bioburden' THEN 'CFU/g' ELSE '%' END THEN 'INCONSISTENT_UNIT'"""
+
+
+def _observed_reasons(spark: SparkSession, sf_dir: str, policy: Policy) -> DataFrame:
+    rows = stored(spark, sf_dir, "lineitem").selectExpr(*OBSERVED, *POSITION)
+    known = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS batch_id", "p_partkey % 12 AS site_id", "p_partkey % 20 AS product_id"
+    )
+    return route(rows, policy, known).evaluated.select("record_hash", "observation_id", "l_partkey", REASON)
+
+
+@query(
+    _observed_sql(f"""WHEN p_partkey IS NULL THEN 'UNKNOWN_BATCH'
+    {VALUE_RULES_SQL}
+    WHEN result_value IS NULL OR spec_lower IS NULL OR spec_upper IS NULL THEN 'INVALID_QUALITY_RESULT'""")
+)
+def quality_policy_basic_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _observed_reasons(spark, sf_dir, quality_policy_basic(order=LINE_ORDER, position=POSITION))
+
+
+@query(
+    _observed_sql(f"""WHEN batch_id IS NULL THEN 'NULL_BATCH_ID'
+    WHEN site_id IS NULL THEN 'NULL_SITE_ID'
+    WHEN p_partkey IS NULL THEN 'UNKNOWN_BATCH'
+    WHEN site_id <> p_partkey % 12 THEN 'UNKNOWN_SITE'
+    WHEN product_id <> p_partkey % 20 THEN 'UNKNOWN_PRODUCT'
+    {VALUE_RULES_SQL}""")
+)
+def quality_policy_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _observed_reasons(spark, sf_dir, quality_policy(order=LINE_ORDER, position=POSITION))
+
+
+@query(
+    EVENTS_SQL
+    + """SELECT offset_key, event_key AS event_id, CASE WHEN event_key IS NULL THEN 'NULL_EVENT_ID'
+    WHEN batch_key IS NULL THEN 'NULL_BATCH_ID'
+    WHEN site_key IS NULL THEN 'NULL_SITE_ID'
+    WHEN event_time IS NULL THEN 'MALFORMED_TIMESTAMP'
+    WHEN metric_name = 'temperature_c' AND NOT (value BETWEEN -80 AND 80) THEN 'IMPOSSIBLE_TEMPERATURE'
+    WHEN (metric_name = 'temperature_c' AND unit <> 'C') OR (metric_name = 'vibration_mm_s' AND unit <> 'mm/s')
+      THEN 'INCONSISTENT_UNIT'
+    WHEN rk > 1 THEN 'DUPLICATE_EVENT_ID' END AS quarantine_reason FROM ranked"""
+)
+def telemetry_policy_basic_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {"event_key": "event_id", "batch_key": "batch_id", "site_key": "site_id", "raw_time": "event_timestamp_utc"}
+    readings = _telemetry_events(spark, sf_dir).withColumnsRenamed(names)
+    policy = telemetry_policy_basic(order=(), position=("offset_key",))
+    return route(readings, policy).evaluated.select("offset_key", "event_id", REASON)
+
+
 # --- expectations -----------------------------------------------------------------------------
 
 
@@ -429,6 +525,15 @@ def expect_or_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectations.fail_in_plan(table(spark, sf_dir, "events"), contract, "event_id").select("event_id", "value")
 
 
+@query("""
+SELECT 'known_version' AS expectation, CAST(event_id AS VARCHAR) AS offender FROM events
+WHERE coalesce(event_type = 'error', true)
+""")
+def expect_or_fail_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contract = Expectation("known_version", F.col("event_type") != "error")
+    return expectations.offenders(table(spark, sf_dir, "events"), contract, "event_id")
+
+
 # --- history ----------------------------------------------------------------------------------
 
 
@@ -672,11 +777,14 @@ LEFT JOIN x ON q.site_id = x.site_id AND q.product_id = x.product_id AND q.repor
 
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Returned items play the quarantined records, all others the accepted ones.
-    rows = _quality_rows(spark, sf_dir)
-    fact = gold.batch_quality_fact(rows.filter("returned <> 'R'"))
+    fact = gold.batch_quality_fact(_quality_rows(spark, sf_dir).filter("returned <> 'R'"))
+    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(
+        (F.col("l_suppkey") % 12).alias("site_id"), (F.col("l_partkey") % 20).alias("product_id"),
+        F.col("l_shipdate").alias("event_timestamp_utc"),
+    )
     back = F.col("excursion_start_utc") - F.expr("INTERVAL 24 YEARS")
     excursions = _excursions(spark, sf_dir).withColumn("excursion_start_utc", back)
-    return gold.daily_kpis(fact, rows.filter("returned = 'R'"), excursions, percentile_accuracy=1_000_000)
+    return gold.daily_kpis(fact, returned, excursions, percentile_accuracy=1_000_000)
 
 
 @query(KPI_SQL)
@@ -741,22 +849,32 @@ def validation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.gold_checks(published)
 
 
-CONTENT_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-ROW_TEXT = "concat_ws('|', o_orderkey, o_custkey, coalesce(o_orderstatus, '\\N'), coalesce(o_orderpriority, '\\N'))"
+ROW_TEXT = r"""concat_ws('|', o_orderkey, o_custkey, coalesce(o_orderstatus, '\N'),
+  coalesce(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '\N'),
+  coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '\N'), coalesce(o_orderpriority, '\N'))"""
 
 
-@query(f"""
+def _order_text() -> Column:
+    dated = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return joined_text(["o_orderkey", "o_custkey", "o_orderstatus", decimal_text("o_totalprice"), dated, "o_orderpriority"])
+
+
+def _fold_sql(source: str, width: int) -> str:
+    return f"""SELECT substr(p, 1, {width}) AS p, sum(n) AS n,
+  sha256(string_agg(p || ':' || e, chr(10) ORDER BY p || ':' || e)) AS e FROM {source} GROUP BY 1"""
+
+
+DIGEST_SQL = f"""
 WITH copies AS (SELECT sha256({ROW_TEXT}) AS h, count(*) AS n FROM orders GROUP BY 1),
-leaf AS (SELECT substr(h, 1, 5) AS p, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h || ':' || n)) AS e, sum(n) AS n
+leaf AS (SELECT substr(h, 1, 9) AS p, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h || ':' || n)) AS e, sum(n) AS n
          FROM copies GROUP BY 1),
-mid AS (SELECT substr(p, 1, 2) AS p, sha256(string_agg(p || ':' || e, chr(10) ORDER BY p || ':' || e)) AS e, sum(n) AS n
-        FROM leaf GROUP BY 1)
-SELECT CAST(sum(n) AS BIGINT) AS row_count,
-       sha256(string_agg(p || ':' || e, chr(10) ORDER BY p || ':' || e)) AS content_sha256 FROM mid
-""")
+six AS ({_fold_sql("leaf", 6)}), three AS ({_fold_sql("six", 3)}), top AS ({_fold_sql("three", 0)})
+"""
+
+
+@query(DIGEST_SQL + "SELECT CAST(n AS BIGINT) AS row_count, e AS content_sha256 FROM top")
 def content_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*CONTENT_COLUMNS)
-    return content.content_digest(orders, exclude=(), text=joined_text(CONTENT_COLUMNS))
+    return content.content_digest(table(spark, sf_dir, "orders"), exclude=(), text=_order_text())
 
 
 _LANES = " || ',' || ".join(
@@ -769,8 +887,7 @@ WITH rows AS (SELECT sha256({ROW_TEXT}) AS h FROM orders)
 SELECT count(*) AS row_count, sha256({_LANES}) AS fingerprint FROM rows
 """)
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*CONTENT_COLUMNS)
-    return content.fingerprint(orders, exclude=(), text=joined_text(CONTENT_COLUMNS))
+    return content.fingerprint(table(spark, sf_dir, "orders"), exclude=(), text=_order_text())
 
 
 COUNTED = ("customer", "orders", "lineitem", "events", "part", "supplier")
@@ -781,57 +898,120 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.row_counts({name: table(spark, sf_dir, name) for name in COUNTED})
 
 
-def _receipt(spark: SparkSession, sf_dir: str, lost: int = 0) -> DataFrame:
+def _receipt(spark: SparkSession, sf_dir: str, lost: int = 0, moved: bool = False) -> DataFrame:
+    """A run's whole receipt. ``lost`` leaves out orders below that key; ``moved`` deals them over tasks anew."""
     orders = table(spark, sf_dir, "orders")
     orders = orders.filter(F.col("o_orderkey") >= lost) if lost else orders
+    orders = orders.repartition("o_custkey") if moved else orders
     lines = table(spark, sf_dir, "lineitem")
+    kpi = lines.groupBy((F.col("l_suppkey") % 12).alias("site_id")).agg(
+        F.count_if(F.col("l_returnflag") != "R").alias("batches_processed"),
+        F.count_if(F.col("l_returnflag") == "R").alias("records_quarantined"),
+        F.avg((F.col("l_quantity") >= 5).cast("double")).alias("quality_pass_rate"),
+    )
+    versions = orders.withColumn("is_current", F.col("o_orderstatus") == "O")
     return content.run_receipt(
         {"orders": orders, "lineitem": lines},
-        {"orders": orders.select(*CONTENT_COLUMNS)},
+        {"orders": orders},
         {"lineitem": contracts.grain_violations(lines, ["l_orderkey", "l_linenumber"])},
+        contracts.current_version_violations(versions, ["o_custkey"]),
+        kpi,
+        {"orders": _order_text()},
     )
 
 
-@query("""
+VIOLATIONS_SQL = """(SELECT count(*) FROM (SELECT 1 FROM orders WHERE o_orderkey >= {lost} GROUP BY o_custkey
+  HAVING sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) <> 1))"""
+
+
+@query(
+    DIGEST_SQL
+    + f""", kpi AS (SELECT l_suppkey % 12 AS site_id, count(*) FILTER (l_returnflag <> 'R') AS processed,
+  count(*) FILTER (l_returnflag = 'R') AS quarantined, avg(CASE WHEN l_quantity >= 5 THEN 1.0::DOUBLE ELSE 0 END) AS rate
+  FROM lineitem GROUP BY 1)
 SELECT 'row_counts' AS section, 'orders' AS name, CAST(count(*) AS VARCHAR) AS value FROM orders
 UNION ALL SELECT 'row_counts', 'lineitem', CAST(count(*) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'content_hashes', 'orders', e FROM top
 UNION ALL SELECT 'duplicate_business_keys', 'lineitem', CAST(count(*) AS VARCHAR)
 FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-""")
+UNION ALL SELECT 'current_version_violations', 'current_version_violations', CAST({VIOLATIONS_SQL.format(lost=0)} AS VARCHAR)
+UNION ALL SELECT 'aggregates', 'batches_processed_sum', CAST(sum(processed) AS VARCHAR) FROM kpi
+UNION ALL SELECT 'aggregates', 'records_quarantined_sum', CAST(sum(quarantined) AS VARCHAR) FROM kpi
+UNION ALL SELECT 'aggregates', 'mean_quality_pass_rate', CAST(round(avg(rate), 12) AS VARCHAR) FROM kpi
+"""
+)
 def run_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # JSON digests have no SQL twin; content_digest checks the digest itself.
-    return _receipt(spark, sf_dir).filter("section <> 'content_hashes'")
+    return _receipt(spark, sf_dir)
 
 
-@query("""
-SELECT 'row_counts' AS section, 'orders' AS name, true AS left_present,
-       (SELECT count(*) FROM orders) = (SELECT count(*) FROM orders WHERE o_orderkey >= 1) AS matches
+LOST_SQL = "(SELECT count(*) FROM orders WHERE o_orderkey < 1)"
+SAME_VIOLATIONS_SQL = f"{VIOLATIONS_SQL.format(lost=0)} = {VIOLATIONS_SQL.format(lost=1)}"
+
+
+@query(f"""
+SELECT 'row_counts' AS section, 'orders' AS name, true AS left_present, {LOST_SQL} = 0 AS matches
 UNION ALL SELECT 'row_counts', 'lineitem', true, true
-UNION ALL SELECT 'content_hashes', 'orders', true, false
+UNION ALL SELECT 'content_hashes', 'orders', true, {LOST_SQL} = 0
 UNION ALL SELECT 'duplicate_business_keys', 'lineitem', true, true
+UNION ALL SELECT 'current_version_violations', 'current_version_violations', true, {SAME_VIOLATIONS_SQL}
+UNION ALL SELECT 'aggregates', unnest(['batches_processed_sum', 'records_quarantined_sum', 'mean_quality_pass_rate']), true, true
 """)
 def recovery_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = content.compare_receipts(_receipt(spark, sf_dir), _receipt(spark, sf_dir, lost=1))
     return compared.select("section", "name", F.col("clean_value").isNotNull().alias("left_present"), "matches")
 
 
-@query("SELECT 4::BIGINT AS entries, 0::BIGINT AS mismatches, 'PASS' AS validation")
+@query(f"""
+SELECT 'equal' AS recovered, 8::BIGINT AS entries, 0::BIGINT AS mismatches, 'PASS' AS validation
+UNION ALL SELECT 'damaged', 8, n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END
+FROM (SELECT CAST(CASE WHEN {LOST_SQL} > 0 THEN 2 ELSE 0 END + CASE WHEN {SAME_VIOLATIONS_SQL} THEN 0 ELSE 1 END AS BIGINT) AS n)
+""")
 def recovery_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content.recovery_verdict(content.compare_receipts(_receipt(spark, sf_dir), _receipt(spark, sf_dir)))
+    clean = _receipt(spark, sf_dir)
+    runs = {"equal": _receipt(spark, sf_dir, moved=True), "damaged": _receipt(spark, sf_dir, lost=1)}
+    verdicts = [
+        content.recovery_verdict(content.compare_receipts(clean, run)).select(F.lit(name).alias("recovered"), "*")
+        for name, run in runs.items()
+    ]
+    return reduce(DataFrame.unionByName, verdicts)
 
 
 @query("""
-SELECT 1::BIGINT AS files, count(*) AS rows, true AS matches FROM lineitem
+SELECT 'whole' AS landing, count(DISTINCT event_type) AS files, count(*) AS rows, true AS matches FROM events
+UNION ALL SELECT 'one kind lost', count(DISTINCT event_type) - 1, count(*) FILTER (event_type <> 'error'), false FROM events
 """)
 def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return files.reconcile_landing(lines, 1, lines.count()).select("files", "rows", "matches")
+    # What is expected comes from the source table, what is found from the landed files.
+    sent = table(spark, sf_dir, "events").agg(F.countDistinct("event_type").alias("files"), F.count(F.lit(1)).alias("rows"))
+    expected = sent.first()
+    landed = spark.read.text(_event_files(spark, sf_dir))
+    cases = {"whole": landed, "one kind lost": landed.filter("kind <> 'error'")}
+    found = [
+        files.reconcile_landing(scanned, expected.files, expected.rows).select(
+            F.lit(name).alias("landing"), "files", "rows", "matches"
+        )
+        for name, scanned in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
-@query()
+@query("""
+SELECT o_custkey // 100 AS bucket, CAST(sum(length(line) + 1) AS BIGINT) AS bytes,
+       sha256(sha256(string_agg(line || chr(10), '' ORDER BY o_orderkey))) AS blocks_sha256
+FROM (SELECT *, o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|' || o_orderpriority AS line FROM orders)
+GROUP BY ALL
+""")
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = files.file_manifest(spark, sf_dir, "*.parquet")
-    return manifest.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "bytes", "sha256", "digest_kind")
+    # One file for 100 customers, its lines in key order, so that its bytes are known to SQL.
+    place = workdir(spark, "manifest")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    lines = table(spark, sf_dir, "orders").select(
+        "o_orderkey", joined_text(columns).alias("line"), F.expr("o_custkey div 100").alias("bucket")
+    )
+    lines = lines.repartition("bucket").sortWithinPartitions("bucket", "o_orderkey")
+    lines.select("line", "bucket").write.partitionBy("bucket").text(place)
+    bucket = F.regexp_extract("path", r"bucket=(\d+)", 1).cast("bigint").alias("bucket")
+    return files.file_manifest(spark, place, "*.txt").select(bucket, "bytes", "blocks_sha256")
 
 
 @query("""

@@ -19,6 +19,7 @@ from tidemark.sources import files, messages, tables
 from tidemark.streaming import bronze
 
 POSITION = ("_file", "_row")
+# The tables that a run's receipt counts and hashes.
 COUNTED = (
     "bronze.batch_quality_raw", "bronze.batch_change_events", "bronze.sensor_telemetry_raw",
     "silver.batch_quality_valid", "silver.sensor_telemetry_valid", "silver.batch_master_current",
@@ -120,8 +121,10 @@ def quality_gate(run: Run) -> DataFrame:
 
     routed = route(stored_rows(spark, "bronze.batch_quality_raw"), quality_policy(position=POSITION), known)
     _publish_routed(run, routed, "quality", "silver.batch_quality_valid", "silver.quarantined_quality_records")
+    _account(run, "quality", "bronze.batch_quality_raw")
     telemetry = route(spark.table("bronze.sensor_telemetry_raw"), telemetry_policy(), known)
     _publish_routed(run, telemetry, "telemetry", "silver.sensor_telemetry_valid", "silver.quarantined_telemetry")
+    _account(run, "telemetry", "bronze.sensor_telemetry_raw")
     return expectations.report(observed, expectations.observed_expectations())
 
 
@@ -142,6 +145,19 @@ def _publish_routed(run: Run, routed: Routed, name: str, valid: str, quarantine:
     )
 
 
+def _account(run: Run, name: str, source: str) -> None:
+    """Every Bronze row must be valid, quarantined or dropped, once; the counts are published.
+
+    Both counts come from stored tables and a partition column, so neither reads a data column.
+    """
+    counted = run.spark.table(f"silver.{name}_evaluated").groupBy(DISPOSITION).agg(F.count(F.lit(1)).alias("records"))
+    run.publish(counted, f"silver.{name}_accounting")
+    routed = run.spark.table(f"silver.{name}_accounting").agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    given = run.spark.table(source).count()
+    if routed != given:
+        raise contracts.GateFailed(f"{source} has {given} rows but {routed} were routed")
+
+
 def publish_gold(run: Run) -> None:
     """Facts first, then the KPI from the stored facts, so no fact is computed twice."""
     spark = run.spark

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.content import content_digest, fingerprint
+from tidemark.functions.columns import digest
+from tidemark.operators.content import content_digest
 from tidemark.operators.contracts import GateFailed
 
-# One file's bytes are hashed whole up to this size; larger text files get a line digest.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# Part of a file digest's definition: digests compare only at one block size.
+BLOCK_BYTES = 64 * 1024 * 1024
 
 
 def read_json_lines(
@@ -87,27 +91,39 @@ def land_files(spark: SparkSession, paths: Sequence[str], landing: str) -> DataF
 
 
 def file_manifest(
-    spark: SparkSession, root: str, pattern: str = "*", whole_limit: int = WHOLE_FILE_BYTES
+    spark: SparkSession, root: str, pattern: str = "*", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Every file under ``root``: path, bytes and SHA-256.
+    """Every file under ``root``: path, bytes and ``blocks_sha256``.
 
-    A digest over bytes is sequential, so files above ``whole_limit`` are not loaded whole: they get
-    an order-free digest of their lines instead, and ``digest_kind`` says which one it is.
+    That is the SHA-256 of the SHA-256 digests of the file's blocks, in order, one a line: the same formula
+    for every size. Blocks, not files, are the unit of work, so a large file is read by many tasks and no
+    task holds more than a block. Empty files are not listed: Spark's scans skip them.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
-    # The length filter reaches the source, which then skips the bytes of larger files.
-    small = spark.read.format("binaryFile").options(**options).load(root).filter(F.col("length") <= whole_limit)
-    whole = small.select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.lit("bytes").alias("digest_kind")
-    )
-    lines = spark.read.options(**options).text(root).filter(F.col("_metadata.file_size") > whole_limit)
-    placed = lines.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), "value"
-    )
-    large = fingerprint(placed, by=["path", "bytes"], exclude=()).select(
-        "path", "bytes", F.col("fingerprint").alias("sha256"), F.lit("lines").alias("digest_kind")
-    )
-    return whole.unionByName(large)
+    # Without the content column the scan only lists.
+    listed = spark.read.format("binaryFile").options(**options).load(root).select("path", F.col("length").alias("bytes"))
+    last = F.greatest(F.col("bytes") - 1, F.lit(0).cast("bigint"))
+    starts = F.sequence(F.lit(0).cast("bigint"), last, F.lit(block_bytes).cast("bigint"))
+    blocks = listed.select("path", "bytes", F.explode(starts).alias("start"))
+    # A given number, since rows this narrow would be coalesced into one task that reads everything.
+    blocks = blocks.repartition(4 * spark.sparkContext.defaultParallelism, "path", "start")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield rows.assign(digest=[_block_sha256(p, s, block_bytes) for p, s in zip(rows["path"], rows["start"])])
+
+    found = blocks.mapInPandas(hashed, "path STRING, bytes BIGINT, start BIGINT, digest STRING")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("start", "digest"))), lambda block: block["digest"])
+    return found.groupBy("path", "bytes").agg(digest(F.array_join(in_order, "\n")).alias("blocks_sha256"))
+
+
+def _block_sha256(path: str, start: int, size: int) -> str:
+    if path.startswith("file:"):
+        system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        system, place = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    with system.open_input_file(place) as file:
+        return hashlib.sha256(file.read_at(size, start)).hexdigest()
 
 
 def relative_manifest(manifest: DataFrame, root: str) -> DataFrame:
@@ -118,13 +134,11 @@ def relative_manifest(manifest: DataFrame, root: str) -> DataFrame:
 
 def dataset_digest(manifest: DataFrame, root: str) -> DataFrame:
     """One digest for all files of a manifest, by path below ``root``, size and file digest."""
-    return content_digest(relative_manifest(manifest, root).select("path", "bytes", "sha256"), exclude=())
+    return content_digest(relative_manifest(manifest, root).select("path", "bytes", "blocks_sha256"), exclude=())
 
 
 def manifest_differences(expected: DataFrame, found: DataFrame) -> DataFrame:
     """Files that only one of two relative manifests has, or whose content differs."""
-    left = expected.select("path", F.col("sha256").alias("expected_sha256"))
-    right = found.select("path", F.col("sha256").alias("found_sha256"))
-    return left.join(right, "path", "full_outer").filter(
-        ~F.col("expected_sha256").eqNullSafe(F.col("found_sha256"))
-    )
+    left = expected.select("path", F.col("blocks_sha256").alias("expected_digest"))
+    right = found.select("path", F.col("blocks_sha256").alias("found_digest"))
+    return left.join(right, "path", "full_outer").filter(~F.col("expected_digest").eqNullSafe(F.col("found_digest")))
