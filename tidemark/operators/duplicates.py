@@ -2,9 +2,11 @@
 
 ``row_number`` over a key puts every copy of a record into one task. Two exact plans avoid that:
 
-* with a row position, rows are ranked inside their key after one shuffle, except the rows of hot
-  keys: those are spread over all tasks and compared with the key's smallest position, which a
-  map-side combined aggregate over the hot rows alone provides;
+* with a row position, an aggregate with map-side combine finds the keys that occur more than once and
+  each one's smallest position; rows are compared with it by a left join. Only keys and positions are
+  shuffled for the aggregate. Where few keys repeat, adaptive execution can broadcast them and the wide
+  rows stay in place; else the join shuffles, and its skew handling splits the rows of a hot key, which
+  meet a single row;
 * without one, two ``row_number`` passes: first inside (key, input slice), then over the slice
   winners, while losers are spread.
 """
@@ -16,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.hotkeys import NAME, HotKeys, hot_names, name_rows
-
 
 def mark_duplicates(
     df: DataFrame,
@@ -25,7 +25,6 @@ def mark_duplicates(
     order_by: Sequence[str],
     flag: str = "_is_duplicate",
     position: Sequence[str] | None = None,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``flag``: TRUE on every row of a key but the first in ``order_by``.
 
@@ -33,7 +32,7 @@ def mark_duplicates(
     key apart; without it full ties are settled by an arbitrary single winner.
     """
     if position:
-        return _by_rank(df, list(keys), list(order_by), list(position), flag, hot or HotKeys())
+        return _by_first(df, list(keys), list(order_by), list(position), flag)
     return _by_two_ranks(df, list(keys), list(order_by), flag)
 
 
@@ -44,28 +43,12 @@ def _has_key(keys: Sequence[str]) -> Column:
     return present
 
 
-def _by_rank(
-    df: DataFrame, keys: list[str], order: list[str], position: list[str], flag: str, hot: HotKeys
-) -> DataFrame:
-    """One shuffle of the rows; hot keys are settled by their smallest order value instead of a rank."""
-    rank_value = F.struct(*order, *position)
-    named = name_rows(df, keys)
-    present = named.filter(_has_key(keys))
-    names = hot_names(present, hot, position)
-    # One row per hot key, from a map-side combined aggregate over the hot rows alone.
-    first = present.join(names, NAME).groupBy(*keys).agg(F.min(rank_value).alias("_first"))
-    # Rows of hot keys, and rows without a key, go to any task; they are not ranked.
-    scattered = F.col("_first").isNotNull() | ~_has_key(keys)
-    salt = F.when(scattered, F.xxhash64(*position)).otherwise(F.lit(0))
-    inside = Window.partitionBy(*keys, "_salt").orderBy(*order, *position)
-    late = F.when(F.col("_first").isNotNull(), rank_value != F.col("_first")).otherwise(F.col("_rank") > 1)
-    return (
-        df.join(F.broadcast(first), keys, "left")
-        .withColumn("_salt", salt)
-        .withColumn("_rank", F.row_number().over(inside))
-        .withColumn(flag, _has_key(keys) & late)
-        .select(*df.columns, flag)
-    )
+def _by_first(df: DataFrame, keys: list[str], order: list[str], position: list[str], flag: str) -> DataFrame:
+    place = F.struct(*order, *position)
+    firsts = df.filter(_has_key(keys)).groupBy(*keys).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    repeated = firsts.filter("_copies > 1").drop("_copies")
+    late = F.col("_first").isNotNull() & (place != F.col("_first"))
+    return df.join(repeated, keys, "left").withColumn(flag, late).select(*df.columns, flag)
 
 
 def _by_two_ranks(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
