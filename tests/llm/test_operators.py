@@ -276,6 +276,34 @@ def test_repeated_blocks_of_a_host_go(spark):
     assert found[11] == found[12] == ("mirror words " * 20).strip()
 
 
+def test_lines_repeated_in_the_articles_of_a_host_go(spark):
+    line = "get the weekly letter of this paper in your box every single friday"
+    own = {i: [" ".join(f"p{i}b{b}w{j}" for j in range(30)) for b in range(2)] for i in range(40)}
+    quote = "these very words are quoted by no more than two pages of it"
+    rows = [(i, "http://n.org/p", f"<article><p>{own[i][0]}</p><p>{line}</p><p>{own[i][1]} {line} tail{i}</p><p>{quote if i < 2 else ''}</p></article>") for i in range(40)]
+    # An article under two addresses with other surroundings is one content; two versions of a text are no evidence.
+    rows += [(50 + i, "http://one.org/", f"<nav>at {i}</nav><article>{own[0][0]}</article>") for i in range(4)]
+    rows += [(60 + i, "http://two.org/", f"<article><p>{own[0][0]}</p><p>version {i}</p></article>") for i in range(2)]
+    # The next block's first word is the same by chance and stays.
+    rows += [(70 + i, "http://the.org/", f"<div>{line}</div><div>The {own[i][0]}</div>") for i in range(4)]
+    found = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert found[i] == "\n".join([own[i][0], f"{own[i][1]} tail{i}", *[quote] * (i < 2)])
+    assert {found[50 + i] for i in range(4)} == {own[0][0]} and found[61] == f"{own[0][0]}\nversion 1"
+    assert [found[70 + i] for i in range(4)] == [f"The {own[i][0]}" for i in range(4)]
+
+
+def test_substrings_of_a_host_in_many_chunks(spark, monkeypatch):
+    rng = random.Random(4)
+    line = " ".join(f"line{j}" for j in range(9))
+    rows = [(i, "http://big.org/", f"<article>{' '.join(f'w{rng.random()}' for _ in range(20))} {line if i % 10 == 0 else ''}</article>") for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = plain(html_extraction.extract(pages).select("page_id", "text"))
+    monkeypatch.setattr(html_extraction, "CHUNK_TOKENS", 300)
+    assert plain(html_extraction.extract(pages).select("page_id", "text")) == whole
+    assert not any("line0" in text for _, text in whole)
+
+
 def test_suffix_classes_match_brute_force():
     pick = np.random.default_rng(3)
     tokens, page = pick.integers(0, 3, 200), np.repeat(np.arange(4), 50)

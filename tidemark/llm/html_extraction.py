@@ -1,16 +1,15 @@
-"""Main text of pages: what markup says, and a host's suffix array where it says nothing.
-
-Pages are cut into blocks. Markup settles most: navigation, headers, footers, asides, forms, scripts and
-the like are boilerplate, an article or main element holds the text. Blocks that it leaves open, on
-pages without such an element, are judged by repetition within their host. Each host's token streams
-(everything outside articles) are concatenated, page after page, and their suffixes sorted by doubling
-prefix lengths; suffixes that share their first ``LONG`` tokens are long substrings, and those found on
-several pages of the host are its boilerplate. An open block mostly covered by such substrings is
-removed; unique runs stay.
-
-A host's pages are sorted in chunks of bounded size. A chunk yields each long substring once, with the
-least and largest content it occurs on; the cluster joins the chunks' findings, so a host with a third
-of all pages is many tasks and no list of its pages is ever gathered.
+"""Main text of pages: a host's suffix array says what its pages repeat, markup says more.
+
+Pages are cut into blocks. Each host's token streams (all blocks of a page, articles too) are
+concatenated, page after page, and their suffixes sorted by doubling prefix lengths; suffixes that share
+their first ``LONG`` tokens are long substrings, and those found on a sufficient ``SHARE`` of the host's
+pages are its boilerplate: the runs they cover are removed wherever they are, unique runs stay. Markup
+adds to this: navigation, headers, footers, asides, forms, scripts and the like go as a whole, and where
+an article or main element is, what lies outside goes too.
+
+A host's pages are sorted in chunks of bounded size. A substring frequent in a host is as frequent in at
+least one of its chunks, so chunks yield only those; a filter of fixed size picks their occurrences out of
+all pages, and the cluster counts the contents they are on. No list of a host's pages is ever gathered.
 """
 
 from __future__ import annotations
@@ -20,17 +19,21 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, stored, take
+from tidemark.llm.common import ascii_lower, sized, stored, take
+from tidemark.llm.decontamination import FILTER_BITS, probes, seed_filter
 
 LONG = 8
 CHUNK_TOKENS = 200_000
-COVERED = 0.5
+# Boilerplate is on this share of a host's contents; on two of them at least, and on three to be taken out of
+# articles: two that share a passage may be versions of one text.
+SHARE, LEAST, LEAST_IN_ARTICLES = 0.05, 2, 3
+HELD_WORDS = 200_000
+MIX = np.random.default_rng(5).integers(1, 2**63, LONG, dtype=np.uint64) | np.uint64(1)
 # Elements and names by their role.
 RAW = frozenset(("script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object"))
 CHROME = frozenset(("head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "label", "fieldset"))
@@ -149,32 +152,54 @@ def _close(stack: list[tuple[str, int]], tag: str) -> None:
             return
 
 
+class _Ids(dict):
+    """64-bit ids of words, remembered for a bounded number of them."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 1)
+        return found
+
+    def of(self, texts: Sequence[str]) -> np.ndarray:
+        """The ids of a page's blocks as one stream."""
+        if len(self) > HELD_WORDS:
+            self.clear()
+        return np.array([self[w] for t in texts for w in t.split()], dtype=np.uint64)
+
+
+def packed(texts: Sequence[str]) -> bytes:
+    """Blocks, which hold no line ends, compressed: they are written and shuffled in this form."""
+    data = "\n".join(texts).encode("utf-8", "surrogatepass")
+    return len(data).to_bytes(8) + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> list[str]:
+    text = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8]), codec="zstd", asbytes=True)
+    return text.decode("utf-8", "surrogatepass").split("\n") if text else []
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: its text if markup settles it, else its blocks; and the stream outside articles."""
+    """Per page: its blocks, how many tokens they have, and the hash of its content: of what markup leaves of it."""
     for batch in batches:
-        texts, open_, sizes, streams, contents = [], [], [], [], []
+        roles, texts, sizes, contents = [], [], [], []
         for page in batch["html"]:
             found = blocks(page.as_py() or "")
-            settled = any(role == TEXT for role, _ in found)
-            texts.append("\n".join(t for role, t in found if role == TEXT) if settled else None)
-            outside = [(role, t) for role, t in found if role != TEXT]
-            kept = [] if settled else [t for role, t in outside if role == OPEN]
-            stream, lengths = [], []
-            for role, t in outside:
-                tokens = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 1) for w in t.split()]
-                stream += tokens
-                lengths.append(len(tokens) if role == OPEN and not settled else -len(tokens))
-            open_.append(kept)
-            sizes.append(lengths)
-            streams.append(np.array(stream, dtype=np.uint64).view(np.int64))
-            contents.append(int(np.uint64(xxhash.xxh64_intdigest("\n".join(t for _, t in found).encode("utf-8", "surrogatepass"), 2)).view(np.int64)))
+            roles.append([role for role, _ in found])
+            texts.append(packed([t for _, t in found]))
+            sizes.append(sum(len(t.split()) for _, t in found))
+            kept = "\n".join(t for role, t in found if role == _wanted(roles[-1]))
+            contents.append(int(np.uint64(xxhash.xxh64_intdigest(kept.encode("utf-8", "surrogatepass"), 2)).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch["page_id"], batch["url"], batch["host"], pa.array(texts, pa.string()), pa.array(open_, pa.list_(pa.string())),
-             pa.array(sizes, pa.list_(pa.int32())), pa.array(streams, pa.list_(pa.int64())), pa.array(contents, pa.int64())],
-            ["page_id", "url", "host", "text", "open", "sizes", "stream", "content"],
+            [batch["page_id"], batch["url"], batch["host"], pa.array(roles, pa.list_(pa.int32())), pa.array(texts, pa.binary()),
+             pa.array(sizes, pa.int64()), pa.array(contents, pa.int64())],
+            ["page_id", "url", "host", "roles", "texts", "size", "content"],
         )
 
 
+def _wanted(roles: Sequence[int]) -> int:
+    """The role of the blocks that markup leaves: those of articles, or the open ones of a page without any."""
+    return TEXT if TEXT in roles else OPEN
+
+
 def suffix_classes(tokens: np.ndarray, page: np.ndarray, long: int = LONG) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array over concatenated streams, to depth ``long``: (sorted starts, class of each).
 
@@ -202,87 +227,155 @@ def suffix_classes(tokens: np.ndarray, page: np.ndarray, long: int = LONG) -> tu
     return order, rank[order]
 
 
-def window_name(tokens: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes(), 3)).view(np.int64))
+def window_names(tokens: np.ndarray, host: str) -> np.ndarray:
+    """A name for the ``LONG`` tokens from each start on, another one on each host."""
+    n = max(0, len(tokens) - LONG + 1)
+    name = np.full(n, xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"), 3), dtype=np.uint64)
+    for k in range(LONG):
+        name += tokens[k : k + n] * MIX[k]
+    name ^= name >> np.uint64(29)
+    name *= MIX[0]
+    return name ^ (name >> np.uint64(32))
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops most further pages of one content before they are shuffled."""
+    seen: set[tuple[str, int]] = set()
+    for batch in batches:
+        fresh = []
+        for page in zip(batch["host"].to_pylist(), batch["content"].to_pylist(), strict=True):
+            fresh.append(page not in seen)
+            seen.add(page)
+        if len(seen) > HELD_WORDS:
+            seen.clear()
+        yield batch.filter(pa.array(fresh, pa.bool_()))
 
 
-def _long_substrings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each long substring of a host's chunk of pages once: least and largest content."""
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Long substrings frequent in their chunk, with the number of their host's contents; rows are sorted by chunk."""
+    ids, key, streams, seen = _Ids(), None, [], set()
 
-    def chunk(host: str, streams: list[np.ndarray], contents: list[int]) -> pd.DataFrame:
+    def chunk() -> pa.RecordBatch:
+        host, _, parts, contents = key
         tokens = np.concatenate(streams)
         page = np.repeat(np.arange(len(streams)), [len(s) for s in streams])
-        content = np.array(contents, dtype=np.int64)[page]
         order, rank = suffix_classes(tokens, page)
         whole = np.append(page[LONG - 1 :], np.full(LONG - 1, -1))[: len(page)] == page
         order, rank = order[whole[order]], rank[whole[order]]
         first = np.flatnonzero(np.append(True, rank[1:] != rank[:-1])) if len(rank) else np.empty(0, dtype=np.int64)
-        names = [window_name(tokens[i : i + LONG]) for i in order[first]]
-        return pd.DataFrame({"host": pd.Series([host] * len(first), dtype=object), "name": np.array(names, dtype=np.int64), "least": np.minimum.reduceat(content[order], first) if len(first) else content[:0], "most": np.maximum.reduceat(content[order], first) if len(first) else content[:0]})
+        # Suffixes of one class are in the order of their places, so those of one page are neighbours.
+        at = page[order]
+        fresh = np.append(True, (rank[1:] != rank[:-1]) | (at[1:] != at[:-1]))[: len(rank)].astype(np.int64)
+        n = np.add.reduceat(fresh, first) if len(first) else fresh
+        least = max(LEAST, SHARE * contents) if parts == 1 else SHARE * len(streams)
+        names = window_names(tokens, host)[order[first[n >= least]]]
+        one, two = probes(names, FILTER_BITS)
+        return pa.RecordBatch.from_pydict({"name": names.view(np.int64), "contents": np.full(len(names), contents), "one": one, "two": two})
 
     for batch in batches:
-        for host, rows in batch.groupby("host", sort=False):
-            streams, contents, size = [], [], 0
-            for stream, content in zip(rows["stream"], rows["content"], strict=True):
-                streams.append(np.asarray(stream, dtype=np.int64))
-                contents.append(content)
-                size += len(stream)
-                if size >= CHUNK_TOKENS:
-                    yield chunk(host, streams, contents)
-                    streams, contents, size = [], [], 0
-            if size:
-                yield chunk(host, streams, contents)
-
-
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row, host, stream in zip(batch["row"], batch["host"], batch["stream"], strict=True):
-            tokens = np.asarray(stream, dtype=np.int64)
-            n = len(tokens) - LONG + 1
-            if n > 0:
-                yield pd.DataFrame({"row": row, "host": pd.Series([host] * n, dtype=object), "at": np.arange(n, dtype=np.int32), "name": [window_name(tokens[i : i + LONG]) for i in range(n)]})
+        for *new, content, texts in zip(*[batch[c].to_pylist() for c in ("host", "part", "parts", "contents", "content")], batch["texts"], strict=True):
+            if streams and new != key:
+                yield chunk()
+                streams.clear(), seen.clear()
+            key = new
+            if content not in seen:
+                seen.add(content)
+                streams.append(ids.of(unpacked(texts.as_py())))
+    if streams:
+        yield chunk()
+
+
+def _occurrences(bitmap_of) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, ids = bitmap_of.value, _Ids()
+        for batch in batches:
+            found = []
+            for host, roles, data in zip(batch["host"].to_pylist(), batch["roles"].to_pylist(), batch["texts"], strict=True):
+                texts = unpacked(data.as_py())
+                names = window_names(ids.of(texts), host)
+                one, two = probes(names, FILTER_BITS)
+                at = np.flatnonzero((bitmap[one >> 3] >> (one & 7).astype(np.uint8)) & (bitmap[two >> 3] >> (two & 7).astype(np.uint8)) & 1)
+                before = np.cumsum([0, *np.repeat([role == _wanted(roles) for role in roles], [len(t.split()) for t in texts])])
+                found.append((at, names[at].view(np.int64), before[at + LONG] > before[at]))
+            if not found:
+                continue
+            n = [len(at) for at, _, _ in found]
+            yield pa.RecordBatch.from_pydict({
+                "row": np.repeat(batch["row"].to_numpy(), n), "content": np.repeat(batch["content"].to_numpy(), n),
+                "at": np.concatenate([at for at, _, _ in found]).astype(np.int32), "name": np.concatenate([names for _, names, _ in found]),
+                "kept": np.concatenate([kept for _, _, kept in found]),
+            })
+
+    return run
+
 
+def unrepeated(texts: Sequence[str], kept: Sequence[bool], starts: Sequence[int]) -> list[str]:
+    """The kept blocks without the runs of tokens covered by the substrings at ``starts``.
 
-def _keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A substring that crosses blocks takes only whole blocks: the words it shares with the next block by
+    chance stay with that block.
+    """
+    words = [t.split() for t in texts]
+    of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    inside, covered = np.zeros(len(of), dtype=bool), np.zeros(len(of), dtype=bool)
+    for i in starts:
+        covered[i : i + LONG] = True
+        if of[i] == of[i + LONG - 1]:
+            inside[i : i + LONG] = True
+    out, end = [], 0
+    for t, w, wanted in zip(texts, words, kept, strict=True):
+        begin, end = end, end + len(w)
+        if wanted and not covered[begin:end].all():
+            gone = inside[begin:end]
+            out.append(" ".join(x for x, g in zip(w, gone, strict=True) if not g) if gone.any() else t)
+    return out
+
+
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for open_, sizes, at in zip(batch["open"], batch["sizes"], batch["at"], strict=True):
-            sizes = np.asarray(sizes, dtype=np.int64)
-            begins = np.concatenate([[0], np.cumsum(np.abs(sizes))])
-            covered = np.zeros(begins[-1] + 1)
-            for i in [] if at is None else at:
-                covered[i : i + LONG] = 1
-            share = [covered[a : a + n].mean() for a, n in zip(begins[:-1], sizes, strict=True) if n > 0]
-            texts.append("\n".join(t for t, s in zip(open_, share, strict=True) if s <= COVERED))
-        urls = pd.Series([None if pd.isna(u) else u for u in batch["url"]], dtype=object)
-        yield pd.DataFrame({"page_id": batch["page_id"].to_numpy(), "url": urls, "text": pd.Series(texts, dtype=object)})
+        out = []
+        for roles, texts, at, sure in zip(*[batch[c].to_pylist() for c in ("roles", "texts", "at", "sure")], strict=True):
+            texts, wanted = unpacked(texts), _wanted(roles)
+            kept, starts = [r == wanted for r in roles], sure if wanted == TEXT else at
+            out.append("\n".join(unrepeated(texts, kept, starts) if starts else [t for t, k in zip(texts, kept, strict=True) if k]))
+        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url", "html")) -> DataFrame:
     """Per page: page_id, url, text, n_chars.
 
     A NULL or empty page, and one without text, has the empty text. Pages with an article or main element
-    give that element's blocks, without the boilerplate in it. Other pages give their open blocks that
-    are not mostly covered by substrings of ``LONG`` or more tokens found on pages of different content
-    of the same host; mirrors of one page are one content. A NULL URL or one without ``://`` belongs to
-    the empty host. Repeated pages each get their row; an empty table gives none. Further columns are
-    ignored.
+    give that element's blocks, other pages their blocks that are no boilerplate by markup; of either the
+    runs covered by substrings of ``LONG`` or more tokens are removed that are found on at least ``SHARE``
+    of the host's contents, ``LEAST`` and in articles ``LEAST_IN_ARTICLES`` of them. Pages with the same
+    text by markup are one content. A NULL URL or one without ``://`` belongs to the empty host. Repeated
+    pages each get their row; an empty table gives none. Further columns are ignored.
     """
     host = ascii_lower(F.coalesce(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
     picked = take(pages, *columns).toDF("page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
     parsed = picked.select("page_id", "url", host.alias("host"), "html").mapInArrow(
-        _parse,
-        "page_id long, url string, host string, text string, open array<string>, sizes array<int>, stream array<long>, content long",
+        _parse, "page_id long, url string, host string, roles array<int>, texts binary, size long, content long"
     )
     parsed = stored(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
-    settled = parsed.filter(F.col("text").isNotNull()).select("page_id", "url", "text")
-    unsettled = parsed.filter(F.col("text").isNull())
-
-    streams = parsed.select("host", "stream", "content").mapInPandas(_long_substrings, "host string, name long, least long, most long")
-    repeated = streams.groupBy("host", "name").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    repeated = repeated.filter(F.col("least") < F.col("most")).select("host", "name")
-    windows = unsettled.select("row", "host", "stream").mapInPandas(_windows, "row long, host string, at int, name long")
-    covered = windows.join(repeated, ["host", "name"]).groupBy("row").agg(F.collect_list("at").alias("at"))
-    judged = unsettled.join(covered, "row", "left").select("page_id", "url", "open", "sizes", "at")
-    judged = judged.mapInPandas(_keep, "page_id long, url string, text string")
-    return settled.union(judged).withColumn("n_chars", F.length("text").cast("long"))
+
+    # One page of each content is sorted; hosts of one content repeat nothing.
+    each = parsed.groupBy("host", "content").agg(F.max("size").alias("size"))
+    hosts = each.groupBy("host").agg(F.count(F.lit(1)).alias("contents"), F.sum("size").alias("size")).filter(F.col("contents") > 1)
+    hosts = stored(hosts.select("host", "contents", F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK_TOKENS)).alias("parts")), "page-hosts")
+    once = parsed.select("host", "content", "texts").mapInArrow(_once, "host string, content long, texts binary").join(sized(hosts), "host")
+    dealt = once.withColumn("part", F.pmod(F.xxhash64("content"), F.col("parts"))).select("host", "part", "parts", "contents", "content", "texts")
+    dealt = dealt.repartition("host", "part").sortWithinPartitions("host", "part")
+    frequent = dealt.mapInArrow(_frequent, "name long, contents long, one long, two long")
+    frequent = stored(frequent.dropDuplicates(["name"]), "page-substrings")
+
+    bitmap = pages.sparkSession.sparkContext.broadcast(seed_filter(frequent))
+    places = parsed.select("row", "host", "content", "roles", "texts").mapInArrow(_occurrences(bitmap), "row long, content long, at int, name long, kept boolean")
+    places = stored(places.join(frequent.select("name", "contents"), "name"), "page-places")
+    on = places.select("name", "contents", "content").distinct().groupBy("name", "contents").agg(F.count(F.lit(1)).alias("n"))
+    repeated = on.filter((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("contents"))).select("name", "n")
+    sure = F.when(F.col("n") >= LEAST_IN_ARTICLES, F.col("at"))
+    # Only what touches a block that markup leaves; written, so that Spark knows its size.
+    starts = places.filter("kept").join(repeated, "name").groupBy("row").agg(F.collect_list("at").alias("at"), F.collect_list(sure).alias("sure"))
+    starts = stored(starts, "page-starts")
+    judged = parsed.select("row", "page_id", "url", "roles", "texts").join(starts, "row", "left")
+    return judged.mapInArrow(_keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
