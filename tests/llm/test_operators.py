@@ -267,6 +267,22 @@ def test_articles_by_markup(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><div style="overflow:hidden">kept words</div></article>', ["kept words"]),
+    ('<article><p>see <a href="/hidden-gems/">the gems</a> here</p></article>', ["see the gems here"]),
+    ('<div data-id="nav">kept</div>', ["kept"]), ('<div data-class="ad" title="class=ad">kept</div>', ["kept"]),
+    ('<div class="content-with-sidebar no-sidebar">kept</div>', ["kept"]),
+    ('<article class="post has-comments"><p>kept</p></article>', ["kept"]),
+    ('<article class="post comments"><p>kept</p></article>', ["kept"]),
+    ('<div class="sidebar"><div class="widget">gone</div><article>kept<div class="share">gone</div></article>gone</div>', ["kept"]),
+    ('<main>kept<ol class="comments"><li><article class="comment">gone</article></li></ol><div class="share-buttons">gone</div></main>', ["kept"]),
+    ('<div class="ad">gone</div><div id=\'cookies\'>gone</div><p hidden>gone</p><p hidden="hidden">gone</p><p aria-hidden=true>gone</p>kept', ["kept"]),
+])
+def test_names_and_attributes_are_whole(page, text):
+    found = html_extraction.blocks(page)
+    assert [t for role, t in found if role == html_extraction._wanted([role for role, _ in found])] == text
+
+
 def test_repeated_blocks_of_a_host_go(spark):
     line = "every page of this host carries the very same long line of words"
     rows = [(i, "http://h.org/p", f"<div>{line}</div><div>{' '.join(f'own{i}w{j}' for j in range(30))}</div>") for i in range(6)]

@@ -45,13 +45,17 @@ CHROME_NAMES = frozenset((
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header legal menu modal nav navbar navigation newsletter notice notification popup promo promoted related "
     "replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget").split())
+# Names that also count with more after a hyphen or underscore; other compound names are left to the suffix array.
+CHROME_PREFIX = re.compile(r"(?:ads?|advert|advertisement|breadcrumbs?|comments?|cookies?|disqus|footer|navbar|newsletter|popup|promo|"
+                           r"share|sharing|sponsor|sponsored|subscribe)[-_]")
 CHROME_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"))
 MAIN_ROLES = frozenset(("main", "article"))
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>")
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-NAME = re.compile(r"[a-z0-9]+")
+# Any attribute, its value consumed with it.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 BLANK = re.compile(r"\s+")
-OPEN, TEXT, BOILER = 0, 1, 2
+# NAMED: boilerplate by its class or id only, outside articles; an article or main element in it is none.
+OPEN, TEXT, BOILER, NAMED = 0, 1, 2, 3
 
 
 def _role(tag: str, attributes: str, inside: int) -> int | None:
@@ -60,19 +64,23 @@ def _role(tag: str, attributes: str, inside: int) -> int | None:
         return BOILER
     main = tag in MAIN
     if attributes:
+        named = False
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if name == "hidden" and m[2] is None or name == "aria-hidden" and value == "true":
+            if name == "hidden" or name == "aria-hidden" and value == "true":
                 return BOILER
             if name in ("class", "id"):
-                if tag not in ("body", "html") and any(not CHROME_NAMES.isdisjoint(NAME.findall(v)) for v in value.split()):
-                    return BOILER
+                named = named or tag not in ("body", "html") and any(v in CHROME_NAMES or CHROME_PREFIX.match(v) for v in value.split())
             elif name == "role":
                 if value in CHROME_ROLES:
                     return BOILER
                 main = main or value in MAIN_ROLES
             elif name == "itemprop":
                 main = main or value == "articlebody"
+        if named and inside == TEXT:
+            return BOILER
+        if named and not main:
+            return NAMED
     return TEXT if main else None
 
 
@@ -140,7 +148,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
             _close(stack, tag)
         elif tag not in VOID:
             inside = stack[-1][1]
-            stack.append((tag, BOILER if inside == BOILER else inside if role is None else role))
+            # Names do not override an article; an article overrides names around it.
+            stack.append((tag, BOILER if inside == BOILER else inside if role is None or inside == NAMED and role == NAMED else role))
     end_block()
     return out
 
