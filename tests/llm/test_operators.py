@@ -197,6 +197,20 @@ def test_pii_adds_only_what_is_certain(spark):
     assert pii.redacted("mail a@b.c now", [(0, 5, 10)]) == "mail [EMAIL] now" and pii.redacted(None, []) is None
 
 
+def test_pii_adds_planted_loose_forms_and_no_look_alikes(spark):
+    pick = random.Random(7)
+    n = lambda a, b: pick.randint(a, b)
+    rows = [(i, f"some words name{i}@mail{i % 9}.example.com then +1 ({n(201, 989)}) 555-{n(1000, 9999)} or +49 {n(20, 99)} {n(1000000, 9999999)} at {n(1, 254)}.{n(0, 255)}.{n(0, 255)}.{n(1, 254)} end") for i in range(300)]
+    loose = ["(202) 555-0100", "0049 30 1234567", "jane.roe (at) site (dot) org", "john[at]site.org", "172 . 16 . 254 . 31"]
+    plain = ["2024 1231 0930", "4465758382889430", "123456789", "300.12.44.7", "12, 34, 56, 78", "1,234,567", "12.05.2024"]
+    rows += [(1000 + i, f"and so we say {x} to them") for i, x in enumerate(loose)] + [(2000 + i, f"and so we say {x} to them") for i, x in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    kinds = ("phone", "phone", "email", "email", "ip")
+    assert [found[1000 + i] for i in range(len(loose))] == [f"{k}:14:{14 + len(x)}" for k, x in zip(kinds, loose, strict=True)]
+    assert not any(found[2000 + i] for i in range(len(plain)))
+
+
 def test_nearest_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(900, 24)) * rng.uniform(0.5, 2, size=(900, 1))
