@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, html_extraction, language_id, language_model, mixing, nearest, pii, quality, simhash, url_filters,
+    clustering, decontamination, html_extraction, language_id, language_model, mixing, nearest, pii, quality, repeats, simhash, url_filters,
 )
 
 
@@ -54,11 +55,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_runs(repeats.with_planted_runs(_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("_best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"),
+        (-F.col("_best.period")).alias("period"),
+        F.floor(1000 * F.col("_best.length") / -F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_url_filters, op3_decontamination, op4_quality, op5_language_model,
-        op6_language_id, op7_mixing, op8_simhash, op9_nearest, op10_pii,
+        op6_language_id, op7_mixing, op8_simhash, op9_nearest, op10_pii, op11_periodic_runs, op13_clustering,
     )
 }
-ORACLES = {"op2_url_filters": url_filters.ORACLE_SQL, "op7_mixing": mixing.oracle_sql()}
+ORACLES = {"op2_url_filters": url_filters.ORACLE_SQL, "op7_mixing": mixing.oracle_sql(), "op13_clustering": clustering.oracle_sql()}
