@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    clustering, decontamination, html_extraction, language_id, language_model, mixing, nearest, pii, quality, repeats, simhash, url_filters,
+    clustering, decontamination, html_extraction, language_id, language_model, minhash, mixing, nearest, pii, quality, repeats, simhash, url_filters,
 )
 
 
@@ -72,6 +72,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clustering.cluster(_table(spark, sf_dir, "embeddings"))
     return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
@@ -81,7 +85,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_url_filters, op3_decontamination, op4_quality, op5_language_model,
-        op6_language_id, op7_mixing, op8_simhash, op9_nearest, op10_pii, op11_periodic_runs, op13_clustering,
+        op6_language_id, op7_mixing, op8_simhash, op9_nearest, op10_pii, op11_periodic_runs, op12_minhash, op13_clustering,
     )
 }
 ORACLES = {"op2_url_filters": url_filters.ORACLE_SQL, "op7_mixing": mixing.oracle_sql(), "op13_clustering": clustering.oracle_sql()}
