@@ -117,6 +117,35 @@ def test_timeline_equals_plain_windows_with_null_keys_and_hot_key(spark):
     assert got.exceptAll(plain).count() == 0 and got.count() == 4000
 
 
+@pytest.mark.parametrize("spread", ["sparse", "burst", "lopsided", "one_first_value"])
+def test_slices_follow_the_rows(spark, spread):
+    """Numbers far apart, times within an hour, half of the rows at one end, one value in the first order column."""
+    first = {
+        "sparse": "id * 1000000", "burst": "CAST(3600 * (id / 20000) AS BIGINT)", "one_first_value": "7",
+        "lopsided": "CASE WHEN id < 10000 THEN id ELSE id * 1000003 END",
+    }[spread]
+    df = spark.range(20_000).selectExpr("1 AS k", f"{first} AS o", "id AS n", "CAST(id % 5 AS STRING) AS v")
+    df = df.unionByName(df.filter("n < 900")).unionByName(df.filter("n < 300").withColumn("k", F.lit(2)))
+    line = Timeline(("k",), ("o", "n"), hot=HotKeys(rows=1000, slice_rows=500))
+    placed = line.lay_out(df, ["v"])
+    sizes = [r["count"] for r in placed.groupBy(*line.place).count().collect() if r._key_k == 1]
+    assert sum(sizes) == 20_000 and 28 <= len(sizes) <= 55 and max(sizes) < 1500
+    assert placed.filter("_key_k = 2").select("_slice").distinct().count() == 1
+    got = line.restore(line.with_neighbour(line.with_neighbour(placed, "before", ["n"], False), "after", ["n"], True))
+    plain = spark.sql("SELECT k, o, n, lag(n) OVER w AS b, lead(n) OVER w AS a FROM {df} WINDOW w AS (PARTITION BY k ORDER BY o, n)", df=df.distinct())
+    assert got.selectExpr("k", "o", "n", "before.n AS b", "after.n AS a").exceptAll(plain).count() == 0
+
+
+def test_cuts_hold_null_positions_and_few_rows(spark):
+    df = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, 5, None), (1, 5, 3), (None, 1, 1)], "k INT, o INT, n INT")
+    for rows in (1, 2, 3, 10):
+        line = Timeline(("k",), ("o", "n"), hot=HotKeys(rows=1, slice_rows=rows))
+        got = line.restore(line.with_neighbour(line.lay_out(df, ["n"]), "after", ["o", "n"], True))
+        assert {(r.k, r.o, r.n, r.after and tuple(r.after)) for r in got.collect()} == {
+            (1, None, 1, (None, 2)), (1, None, 2, (5, None)), (1, 5, None, (5, 3)), (1, 5, 3, None), (None, 1, 1, None)
+        }
+
+
 def test_streamed_history_equals_batch_and_a_repeat_changes_nothing(spark, tmp_path):
     schema = spark.createDataFrame([], LOG).schema
     arrivals = str(tmp_path / "arrivals")
@@ -182,6 +211,7 @@ def test_tracked_history_equals_brute_force_on_random_events(spark, seed):
     log = spark.createDataFrame(events, LOG)
     expected = brute_force(events)
     assert rows(tracked(log, F.floor(F.col("s") / 7), HotKeys(rows=60))) == expected
+    assert rows(tracked(log, hot=HotKeys(rows=30, slice_rows=8))) == expected
     assert rows(tracked(log, hot=HotKeys())) == expected
 
 

@@ -12,7 +12,6 @@ from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.timeline import Timeline
 
 DELETE = "DELETE"
-# The published columns of the current state.
 # The columns of the published current state.
 CURRENT_COLUMNS = (
     "batch_id", "site_id", "product_id", "lot_number", "manufactured_at",
@@ -24,8 +23,6 @@ UNVERSIONED = (
     "ingest_timestamp_utc", "pipeline_run_id", "record_hash", "schema_version",
 )
 TRACKED = ("release_status", "site_id", "product_id")
-# Sequence numbers per slice of a hot key's timeline.
-SEQUENCE_SLICE = 1_000_000
 
 
 def current_state(
@@ -59,7 +56,7 @@ def known_batches(log: DataFrame) -> DataFrame:
 
 
 def history_recomputed(
-    master: DataFrame, changes: DataFrame, slice_unit: str = "hour", hot: HotKeys | None = None
+    master: DataFrame, changes: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """SCD type 2 where every event is a version, ordered by effective start and then sequence.
 
@@ -73,16 +70,13 @@ def history_recomputed(
     baseline = master.select("batch_id", *carried, *version)
     changed = changes.select("batch_id", *version).join(master.select("batch_id", *carried), "batch_id")
     versions = baseline.unionByName(changed)
-    timeline = Timeline(
-        ("batch_id",),
-        ("effective_start_utc", "sequence_number"),
-        F.date_trunc(slice_unit, "effective_start_utc"),
-        hot or HotKeys(),
-    )
+    timeline = Timeline(("batch_id",), ("effective_start_utc", "sequence_number"), hot=hot or HotKeys())
     content = ["release_status", "schema_version", *carried]
-    placed = timeline.lay_out(versions, content)
-    # The summary needs start times only: a narrow scan, combined before its shuffle.
-    starts = timeline.mark(versions.select("batch_id", "effective_start_utc", "sequence_number"))
+    # Cuts and summary need keys and positions only: narrow scans, combined before their shuffle.
+    positions = versions.select("batch_id", "effective_start_utc", "sequence_number")
+    cuts = timeline.cuts(positions)
+    placed = timeline.lay_out(versions, content, cuts)
+    starts = timeline.mark(positions, cuts)
     dated = timeline.restore(
         timeline.with_neighbour(placed, "_next", ["effective_start_utc"], forward=True, edges_from=starts)
     )
@@ -116,11 +110,10 @@ def history_tracked(
     events = log.select(
         *keys, *sequence, *tracked, *untracked, F.coalesce(gone, F.lit(False)).alias("_gone")
     )
-    cut = slice_by if slice_by is not None else F.floor(F.col(sequence[0]) / SEQUENCE_SLICE)
-    timeline = Timeline(tuple(keys), tuple(sequence), cut, hot or HotKeys())
+    timeline = Timeline(tuple(keys), tuple(sequence), slice_by, hot or HotKeys())
     state = [*tracked, *untracked, "_gone"]
     # Events with equal keys and sequence are one event; the largest by content wins.
-    placed = timeline.lay_out(events, state)
+    placed = timeline.lay_out(events, state, timeline.cuts(log.select(*keys, *sequence)))
 
     # Inside a slice: the row before, and the next row that starts a version. A slice's first row
     # waits for the slice before it.

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NAME, HOT = "_name", "_hot"
+NAME = "_name"
 
 
 @dataclass(frozen=True)
@@ -16,11 +16,13 @@ class HotKeys:
     """A key is hot from ``rows`` rows on; fewer rows fit a task.
 
     At most all rows / ``rows`` keys can be hot, 10^5 of 10^11 rows, which bounds what is broadcast.
-    Where rows have a unique position, one in ``one_in`` is counted instead of all.
+    Where rows have a unique position, one in ``one_in`` is counted instead of all. A hot key's timeline is
+    cut into slices of about ``slice_rows`` rows.
     """
 
     rows: int = 1_000_000
     one_in: int = 1000
+    slice_rows: int = 1_000_000
 
 
 def name_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,11 +42,3 @@ def hot_names(named: DataFrame, hot: HotKeys, position: Sequence[str] = ()) -> D
         enough = max(1, hot.rows // hot.one_in)
     sizes = counted.groupBy(NAME).agg(F.count(F.lit(1)).alias("_rows"))
     return F.broadcast(sizes.filter(F.col("_rows") >= enough).select(NAME))
-
-
-def flag_hot(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    """Add the boolean ``_hot``."""
-    named = name_rows(df, keys)
-    names = hot_names(named, hot).withColumn(HOT, F.lit(True))
-    flagged = named.join(F.broadcast(names), NAME, "left")
-    return flagged.withColumn(HOT, F.coalesce(HOT, F.lit(False))).select(*df.columns, HOT)

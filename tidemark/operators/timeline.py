@@ -1,7 +1,9 @@
 """Previous and next row inside a key, without holding a key in one task.
 
-The ordered rows of a hot key are cut into slices by a deterministic, order-preserving expression;
-any other key is one slice. ``lag`` and ``lead`` run inside (key, slice); only the edge rows of each
+The ordered rows of a hot key are cut into slices of about equal numbers of rows: a sample of the key's
+positions, drawn by their hash, is a quantile sketch, and every so many-th of it starts a slice. Rows find
+their slice by binary search, so the cut follows the rows however their order values are spread. Any
+other key is one slice. ``lag`` and ``lead`` run inside (key, slice); only the edge rows of each
 slice travel between slices, as a summary of one row per (key, slice). The result equals the plain
 window over the whole key.
 
@@ -19,9 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidemark.operators.duplicates import keep_last
-from tidemark.operators.hotkeys import HOT, NAME, HotKeys, flag_hot, hot_names, name_rows
+from tidemark.operators.hotkeys import NAME, HotKeys, hot_names, name_rows
 
-SLICE, UNSET = "_slice", "_slice_unset"
+SLICE, CUTS = "_slice", "_cuts"
+# Sampled positions per slice: a slice's size is off by about a quarter of itself, twice that at times.
+SAMPLED = 16
+# Up to 2^21 cuts of one key are searched: with a million rows a slice, 2 * 10^12 rows of one key.
+LARGEST_SEARCH = 20
 # Stand-ins that make a nullable key non-null next to its null flag; never visible in results.
 _FILLERS = {
     "string": "", "bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
@@ -38,18 +44,18 @@ def _filler(kind: DataType) -> Column:
 class Timeline:
     """Rows of each key in a total order.
 
-    ``order`` tells the rows of a key apart once ``lay_out`` has settled ties. ``slice_by`` must not decrease along ``order``;
-    choose it so that one slice of the hottest key fits a task. It applies to hot keys only.
+    ``order`` tells the rows of a key apart once ``lay_out`` has settled ties. Hot keys are cut where their quantiles
+    lie, or by ``slice_by`` if given, which must not decrease along ``order``.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    slice_by: Column
+    slice_by: Column | None = None
     hot: HotKeys = HotKeys()
 
     @property
     def place(self) -> list[str]:
-        return [*[f"_key_{k}" for k in self.keys], *[f"_null_{k}" for k in self.keys], UNSET, SLICE]
+        return [*[f"_key_{k}" for k in self.keys], *[f"_null_{k}" for k in self.keys], SLICE]
 
     @property
     def inside(self) -> WindowSpec:
@@ -61,28 +67,63 @@ class Timeline:
         """The slices of one key in order, over a summary whose ``_from`` is the first position."""
         return Window.partitionBy(*self.place[: 2 * len(self.keys)]).orderBy("_from")
 
-    def mark(self, df: DataFrame) -> DataFrame:
+    def cuts(self, df: DataFrame) -> DataFrame:
+        """One row per hot key: its hash and the positions at which its slices start, the first slice's left out.
+
+        The sample follows from positions alone and holds each once, so copies of an event and the order of the input
+        don't move a cut, and every evaluation finds the same ones. Per key about rows / slice_rows * SAMPLED
+        positions meet in one task, and rows / slice_rows are kept.
+        """
+        named = name_rows(df, self.keys)
+        names = hot_names(named, self.hot)
+        if self.slice_by is not None:
+            return names.withColumn(CUTS, F.array().cast("array<int>"))
+        one_in = max(1, self.hot.slice_rows // SAMPLED)
+        step = max(1, self.hot.slice_rows // one_in)
+        drawn = named.filter(F.pmod(F.xxhash64(*self.keys, *self.order), F.lit(one_in)) == 0)
+        positions = drawn.join(names, NAME).select(NAME, F.struct(*self.order).alias("_at")).distinct()
+        sampled = positions.groupBy(NAME).agg(F.sort_array(F.collect_list("_at")).alias("_all"))
+        last = F.floor((F.size("_all") - 1) / step).cast("int")
+        every = F.transform(F.sequence(F.lit(1), last), lambda i: F.element_at("_all", i * step + 1))
+        sampled = sampled.select(NAME, F.when(last > 0, every).otherwise(F.slice("_all", 1, 0)).alias(CUTS))
+        return names.join(sampled, NAME, "left")
+
+    def mark(self, df: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
         """Replace the keys by non-null place columns, which join and shuffle without null checks."""
-        df = df if HOT in df.columns else flag_hot(df, self.keys, self.hot)
-        cut = F.when(F.col(HOT), self.slice_by.cast("string"))
+        cuts = self.cuts(df) if cuts is None else cuts
+        named = name_rows(df, self.keys).join(F.broadcast(cuts), NAME, "left")
         parts = {f"_key_{k}": F.coalesce(k, _filler(df.schema[k].dataType)) for k in self.keys}
         parts |= {f"_null_{k}": F.col(k).isNull() for k in self.keys}
-        parts |= {UNSET: cut.isNull(), SLICE: F.coalesce(cut, F.lit(""))}
-        return df.withColumns(parts).drop(*self.keys, HOT)
+        parts |= {SLICE: self._slice()}
+        return named.withColumns(parts).drop(*self.keys, NAME, CUTS)
+
+    def _slice(self) -> Column:
+        if self.slice_by is not None:
+            # As text, so that any type will do; slices are ordered by the positions in them.
+            return F.when(F.col(CUTS).isNotNull(), F.coalesce(F.concat(F.lit("="), self.slice_by.cast("string")), F.lit(""))).otherwise(F.lit(""))
+        # How many cuts are not after the row: binary search by falling powers of two.
+        position, cuts = F.struct(*self.order), F.col(CUTS)
 
-    def lay_out(self, df: DataFrame, prefer: Sequence[str]) -> DataFrame:
+        def step(low: Column, power: Column) -> Column:
+            further = low + power
+            return F.when((further <= F.size(cuts)) & (F.get(cuts, further - 1) <= position), further).otherwise(low)
+
+        powers = F.array(*[F.lit(1 << p) for p in range(LARGEST_SEARCH, -1, -1)])
+        found = F.aggregate(powers, F.lit(0), step)
+        return F.when(F.col(CUTS).isNotNull(), found).otherwise(F.lit(0))
+
+    def lay_out(self, df: DataFrame, prefer: Sequence[str], cuts: DataFrame | None = None) -> DataFrame:
         """The one shuffle: rows placed by (key, slice), one row per key and order value.
 
         Where order values repeat, the largest row by ``prefer`` stays. Copies of one row can only be
         many in a hot key, so a hot key's rows are aggregated first, combining copies before they are
         shuffled; without hot keys that branch is empty and is not run.
         """
-        named = name_rows(df, self.keys)
-        names = hot_names(named, self.hot)
+        cuts = self.cuts(df) if cuts is None else cuts
+        named, names = name_rows(df, self.keys), F.broadcast(cuts.select(NAME))
         hot = keep_last(named.join(names, NAME).drop(NAME), [*self.keys, *self.order], prefer)
         cold = named.join(names, NAME, "left_anti").drop(NAME)
-        rows = cold.withColumn(HOT, F.lit(False)).unionByName(hot.withColumn(HOT, F.lit(True)))
-        return self._drop_ties(self.mark(rows).repartition(*self.place), prefer)
+        return self._drop_ties(self.mark(cold.unionByName(hot), cuts).repartition(*self.place), prefer)
 
     def restore(self, placed: DataFrame) -> DataFrame:
         """Keys back under their names, place columns gone."""

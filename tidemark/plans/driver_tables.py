@@ -618,9 +618,8 @@ SELECT o_custkey, o_orderstatus, o_orderpriority, start_o_orderkey, end_o_orderk
 
 def _tracked(log: DataFrame, deleted: Column) -> DataFrame:
     return history.history_tracked(
-        log, keys=["o_custkey"], sequence=["o_orderkey"], tracked=["o_orderstatus"], excluded=(),
-        deleted=deleted, slice_by=F.floor(F.col("o_orderkey") / 4096),
-    )
+        log, keys=["o_custkey"], sequence=["o_orderkey"], tracked=["o_orderstatus"], excluded=(), deleted=deleted
+    )
 
 
 @query(_tracked_sql("false"))
@@ -646,9 +645,8 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", F.col("o_orderkey").alias("sequence_number"), day.cast("string").alias("effective_at"), "o_orderstatus"
     )
     versions = history.history_tracked(
-        log, ["o_custkey"], tracked=["o_orderstatus"], excluded=(), deleted=F.lit(False),
-        slice_by=F.floor(F.col("sequence_number") / 4096),
-    )
+        log, ["o_custkey"], tracked=["o_orderstatus"], excluded=(), deleted=F.lit(False)
+    )
     return history.publishable_history(versions).select(
         "o_custkey", "o_orderstatus", "sequence_number",
         F.date_format("effective_start_utc", "yyyy-MM-dd").alias("effective_start"), "is_current", "is_current_int",
