@@ -7,7 +7,7 @@ from tidemark.operators import history
 from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.timeline import Timeline
 from tidemark.schemas import BATCH_MASTER, CHANGE_EVENT
-from tidemark.streaming.history import maintain_history, read_history
+from tidemark.streaming.history import maintain_history, read_heads, read_history
 
 LOG = "k STRING, s BIGINT, at STRING, status STRING, site STRING, note STRING, op STRING"
 EVENTS = [
@@ -169,6 +169,64 @@ def test_streamed_history_equals_batch_and_a_repeat_changes_nothing(spark, tmp_p
     assert rows(read_history(spark, str(tmp_path / "history"))) == closed
 
 
+def test_a_micro_batch_reads_its_own_keys_and_carries_the_others(spark, tmp_path):
+    numbers = random.Random(11)
+    events = [
+        (numbers.choice([*"ABCDEFGH", None]), numbers.randrange(90), f"t{numbers.randrange(3)}", numbers.choice("XY"), "p", f"n{n:03d}",
+         numbers.choice(["UPDATE"] * 5 + ["DELETE"]))
+        for n in range(72)
+    ]
+    schema, arrivals, built = spark.createDataFrame([], LOG).schema, str(tmp_path / "arrivals"), []
+    places = [str(tmp_path / name) for name in ("log", "history", "checkpoint")]
+
+    def build(log):
+        built.append({r.k for r in log.select("k").distinct().collect()})
+        return tracked(log)
+
+    def follow(part):
+        spark.createDataFrame(part, LOG).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(schema).parquet(arrivals)
+        maintain_history(stream, ["k"], build, *places, buckets=2, log_versions=3)
+
+    for i in range(0, 72, 12):
+        part = events[i : i + 12] if i < 36 else [e for e in events[i : i + 12] if e[0] in ("A", "B", None)]
+        events[i : i + 12] = part + [part[0]] * (12 - len(part))
+        follow(events[i : i + 12])
+        assert built[-1] == {e[0] for e in events[i : i + 12]}
+        heads = read_heads(spark, places[1])
+        assert max(h.log_versions for h in heads.values()) <= 3
+        assert rows(read_history(spark, places[1])) == brute_force(events[: i + 12])
+    # Of each bucket's log only the versions from the last compaction on are read.
+    live = [p for p in (tmp_path / "log").glob("key_bucket=*/arrival_batch=*") if int(p.name.split("=")[1]) >= heads[int(p.parent.name.split("=")[1])].log_from]
+    assert len(live) <= 6 and len(list((tmp_path / "log").glob("key_bucket=*/arrival_batch=*"))) > 6
+
+
+def test_a_broken_micro_batch_is_repeated_from_the_same_state(spark, tmp_path):
+    schema, arrivals, broken = spark.createDataFrame([], LOG).schema, str(tmp_path / "arrivals"), []
+    places = [str(tmp_path / name) for name in ("log", "history", "checkpoint")]
+
+    def build(log):
+        found = tracked(log)
+        if broken:
+            broken.clear()
+            raise RuntimeError("executor lost")
+        return found
+
+    def follow():
+        maintain_history(spark.readStream.schema(schema).parquet(arrivals), ["k"], build, *places, buckets=2, log_versions=2)
+
+    for i, part in enumerate((EVENTS[6:], EVENTS[2:6], EVENTS[:2])):
+        spark.createDataFrame(part, LOG).coalesce(1).write.mode("append").parquet(arrivals)
+        before = rows(read_history(spark, places[1])) if i else None
+        if i:
+            broken.append(True)
+            with pytest.raises(Exception, match="executor lost"):
+                follow()
+            assert rows(read_history(spark, places[1])) == before
+        follow()
+    assert rows(read_history(spark, places[1])) == EXPECTED
+
+
 def test_a_third_of_all_events_being_copies_of_one(spark):
     events = spark.createDataFrame(EVENTS, LOG)
     copies = spark.range(2000).selectExpr(

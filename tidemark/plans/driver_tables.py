@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1245,7 +1246,8 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
     """Events as JSON lines, one file per event type."""
     place = workdir(spark, "json")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
-    events.withColumn("kind", F.col("event_type")).repartition("kind").write.partitionBy("kind").json(place)
+    # Rebalanced by kind: one file a kind where that is small, several where it is large.
+    events.withColumn("kind", F.col("event_type")).hint("rebalance", "kind").write.partitionBy("kind").json(place)
     return place
 
 
@@ -1352,46 +1354,101 @@ def bounded_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("partition", "offset", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
 
 
+def _sent_events(spark: SparkSession, sf_dir: str, place: str) -> str:
+    """All events as message files, as many as the scan has tasks."""
+    sent = messages.as_messages(_event_lines(spark, sf_dir).withColumn("ordinal", F.col("line")), "telemetry")
+    sent.write.parquet(f"{place}/messages")
+    return f"{place}/messages"
+
+
+def _bytes_per_trigger(spark: SparkSession, path: str, batches: int = 3) -> str:
+    """A rate at which everything sent comes in about this many micro-batches, at every size."""
+    listed = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    return str(max(1, listed // batches))
+
+
 @query("""
 SELECT event_id, user_id, event_type, value, 'telemetry/partition-' || (event_id % 2) AS source_file FROM events
 """)
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = workdir(spark, "stream-bronze")
-    lines = _event_lines(spark, sf_dir)
-    sent = messages.as_messages(lines.withColumn("ordinal", F.col("line")), "telemetry")
-    sent.repartitionByRange(4, "offset").write.parquet(f"{place}/messages")
+    sent = _sent_events(spark, sf_dir, place)
     schema = contract("event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
-    parsed = bronze.bronze_messages(
-        messages.message_file_stream(spark, f"{place}/messages", files_per_trigger=2),
-        "run-1", "telemetry", schema, raw_time="event_type",
-    )
+    stream = messages.message_file_stream(spark, sent, bytes_per_trigger=_bytes_per_trigger(spark, sent))
+    parsed = bronze.bronze_messages(stream, "run-1", "telemetry", schema, raw_time="event_type")
     bronze.append_to_path(parsed, f"{place}/bronze", f"{place}/checkpoint")
     return spark.read.parquet(f"{place}/bronze").select("event_id", "user_id", "event_type", "value", "source_file")
 
 
+def _progress(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
+    place = workdir(spark, purpose)
+    sent = _sent_events(spark, sf_dir, place)
+    stream = messages.message_file_stream(spark, sent, bytes_per_trigger=_bytes_per_trigger(spark, sent))
+    latest = messages.latest_offsets(spark, sent)
+    bronze.append_with_progress(stream, f"{place}/bronze", f"{place}/progress", f"{place}/checkpoint", "run-1", latest)
+    return bronze.read_progress(spark, f"{place}/progress")
+
+
 @query("SELECT 'run-1' AS run_id, CAST(count(*) AS BIGINT) AS input_rows, true AS has_offsets FROM events")
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = workdir(spark, "stream-progress")
-    sent = messages.as_messages(_event_lines(spark, sf_dir).withColumn("ordinal", F.col("line")), "telemetry")
-    sent.repartitionByRange(4, "offset").write.parquet(f"{place}/messages")
-    stream = messages.message_file_stream(spark, f"{place}/messages", files_per_trigger=2)
-    ended = bronze.append_to_path(stream, f"{place}/bronze", f"{place}/checkpoint")
-    progress = bronze.progress_receipt(spark, ended, "run-1")
+    progress = bronze.progress_receipt(_progress(spark, sf_dir, "stream-progress"))
     return progress.groupBy("run_id").agg(
         F.sum("input_rows").alias("input_rows"), (F.max(F.length("end_offsets")) > 2).alias("has_offsets")
     )
 
 
+@query("""
+SELECT CAST(event_id % 2 AS INTEGER) AS partition, count(*) AS input_rows, min(event_id // 2) AS first_offset,
+       max(event_id // 2) + 1 AS end_offset, max(event_id // 2) + 1 AS latest_offset, CAST(0 AS BIGINT) AS least_lag, true AS lag_is_distance
+FROM events GROUP BY 1
+""")
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each partition was behind, from the progress table: nothing is left behind at the end."""
+    distance = F.col("lag") == F.col("latest_offset") - F.col("end_offset")
+    return _progress(spark, sf_dir, "stream-lag").groupBy("partition").agg(
+        F.sum("input_rows").alias("input_rows"), F.min("first_offset").alias("first_offset"),
+        F.max("end_offset").alias("end_offset"), F.max("latest_offset").alias("latest_offset"),
+        F.min("lag").alias("least_lag"), F.bool_and(distance).alias("lag_is_distance"),
+    )
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def table_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read as a stream whose run ends after writing its first micro-batch, uncommitted; the next run repeats it."""
+    place = workdir(spark, "table-stream")
+    layer = place.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_layers(spark, [layer], place)
+    tables.publish(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), f"{layer}.lines")
+
+    def run(stop: bool) -> None:
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            bronze.replace_batch(batch, batch_id, f"{place}/lines")
+            if stop:
+                raise InterruptedError("stopped before the commit")
+
+        stream = tables.read_table_as_stream(spark, f"{layer}.lines")
+        bronze.follow(stream, apply, f"{place}/checkpoint")
+
+    try:
+        run(stop=True)
+    except StreamingQueryException as ended:
+        if "stopped before the commit" not in str(ended):
+            raise
+    run(stop=False)
+    return spark.read.parquet(f"{place}/lines").drop(bronze.ARRIVAL)
+
+
 @query(_tracked_sql("o_orderkey % 13 = 0"))
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = workdir(spark, "stream-scd2")
     changes = _order_changes(spark, sf_dir)
-    # Three arrivals by a hash of the key: every sequence is out of order across them.
+    # Three arrivals by a hash of the key, each followed by a run: every sequence is out of order across them.
     arrival = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
-    changes.repartitionByRange(3, arrival).write.parquet(f"{place}/arrivals")
-    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/arrivals")
-    maintain_history(
-        stream, ["o_custkey"], lambda log: _tracked(log, F.col("o_orderkey") % 13 == 0),
-        f"{place}/log", f"{place}/history", f"{place}/checkpoint", buckets=8,
-    )
+    for number in range(3):
+        changes.filter(arrival == number).write.mode("append").parquet(f"{place}/arrivals")
+        stream = spark.readStream.schema(changes.schema).parquet(f"{place}/arrivals")
+        maintain_history(
+            stream, ["o_custkey"], lambda log: _tracked(log, F.col("o_orderkey") % 13 == 0),
+            f"{place}/log", f"{place}/history", f"{place}/checkpoint", buckets=8, log_versions=2,
+        )
     return read_history(spark, f"{place}/history")

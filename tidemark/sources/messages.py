@@ -11,14 +11,16 @@ from tidemark.schemas import MESSAGE
 MESSAGES_PER_TRIGGER = 5000
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, jaas: str | None = None, **options: str) -> DataFrame:
-    """Subscribe from the earliest offset with a rate cap; SASL where credentials are given."""
+def kafka_stream(
+    spark: SparkSession, servers: str, topic: str, jaas: str | None = None, rate: int = MESSAGES_PER_TRIGGER, **options: str
+) -> DataFrame:
+    """Subscribe from the earliest offset, ``rate`` messages a micro-batch; SASL where credentials are given."""
     settings = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(MESSAGES_PER_TRIGGER),
+        "maxOffsetsPerTrigger": str(rate),
     }
     if jaas:
         settings |= {
@@ -29,9 +31,20 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, jaas: str | None
     return spark.readStream.format("kafka").options(**{**settings, **options}).load()
 
 
-def message_file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same columns from a folder of replayed message files."""
-    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def message_file_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = 1, bytes_per_trigger: str | None = None
+) -> DataFrame:
+    """The same columns from a folder of replayed message files; the rate is a number of files or of bytes."""
+    stream = spark.readStream.schema(MESSAGE)
+    if bytes_per_trigger:
+        return stream.option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
+    return (stream.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else stream).parquet(path)
+
+
+def latest_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """Each partition's next offset over all replayed messages: partition, latest_offset."""
+    sent = spark.read.schema(MESSAGE).parquet(path)
+    return sent.groupBy("partition").agg((F.max("offset") + 1).alias("latest_offset"))
 
 
 def text_lines(spark: SparkSession, paths) -> DataFrame:
