@@ -1,10 +1,17 @@
+import math
+import random
+from decimal import ROUND_HALF_EVEN, Decimal, localcontext
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import nearest_rank
+from tidemark.functions import amounts
 from tidemark.functions.text import redact
 from tidemark.operators import comparison, content, contracts, documents, gold, ledger
+from tidemark.operators.hotkeys import HotKeys, name_rows
 from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.selection import nearest_rank, quantile_cuts
 from tidemark.sources import fixtures
 
 
@@ -231,5 +238,51 @@ def test_large_amounts_keep_their_meaning(spark, budget, cost, reason):
 
 
 def test_nearest_rank_is_exact_beyond_a_million_values(spark):
-    values = spark.range(1_200_003).select((F.col("id") * 11 % 1_200_003).cast("double").alias("v"))
-    assert values.agg(nearest_rank("v", 0.75)).first()[0] == -(-3 * 1_200_003 // 4) - 1
+    values = spark.range(1_200_003).select(F.lit("g").alias("g"), (F.col("id") * 11 % 1_200_003).cast("double").alias("v"))
+    assert nearest_rank(values, "g", "v", 0.75).first().v == -(-3 * 1_200_003 // 4) - 1
+
+
+@pytest.mark.parametrize("quantile", [0.0, 0.1, 0.29, 0.5, 0.75, 1.0])
+def test_nearest_rank_by_ranges_equals_sorting(spark, quantile):
+    """Hot groups with equal values, lopsided values and NULLs; a small range size, so that few values are opened."""
+    numbers = random.Random(6)
+    rows = [("flat", 5.0)] * 400 + [("wide", float(10 ** numbers.randrange(9))) for _ in range(900)] + [(None, float(i)) for i in range(700)]
+    rows += [("half", 1.0)] * 500 + [("half", numbers.random()) for _ in range(500)] + [("one", 3.0), ("none", None), ("none", float("nan"))]
+    numbers.shuffle(rows)
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    wanted = {}
+    for g in ("flat", "wide", None, "half", "one"):
+        own = sorted(v for k, v in rows if k == g)
+        wanted[g] = own[max(1, math.ceil(Fraction(str(quantile)) * len(own))) - 1]
+    for hot in (HotKeys(), HotKeys(rows=300, slice_rows=50), HotKeys(rows=1, slice_rows=1)):
+        assert {r.g: r.v for r in nearest_rank(df, "g", "v", quantile, hot).collect()} == wanted
+    # A range holds about slice_rows different values.
+    cuts = quantile_cuts(name_rows(df.filter("g IS NULL"), ["g"]), ["g"], ["v"], HotKeys(rows=1, slice_rows=50)).first()
+    assert 9 <= len(cuts[1]) <= 20
+
+
+def test_amounts_of_any_length_equal_decimal_arithmetic(spark):
+    numbers = random.Random(9)
+    texts = ["0", "-0", "-0.00", "1e35", "2e35", "1" * 60, "9" * 40 + ".995", "9" * 40 + ".985", "0.005", "0.015", "0.0050000000000000000000000001", ".5", "5.", "+7", " 12 ",
+             "1e-30", "-1e-30", "10.01499999999999999999999", "99999999999999999.995", "1E+3", "-12.345e1", "0e9", "00012.50", "123e-2", "995e-3", "9995e-6", "4e-3"]
+    for _ in range(300):
+        digits = "".join(numbers.choice("0123456789955") for _ in range(numbers.randrange(1, 45)))
+        at = numbers.randrange(len(digits) + 1)
+        exponent = numbers.choice(["", "", f"e{numbers.randrange(-40, 41)}"])
+        texts.append(numbers.choice(["", "-"]) + (f"{digits[:at]}.{digits[at:]}" if numbers.random() < 0.7 else digits) + exponent)
+    bad = ["", " ", ".", "-", "e5", "1e", "NaN", "Infinity", "-inf", "1,5", "0x10", "1e99999", "twelve", "1" * 30 + "x", None]
+    df = spark.createDataFrame([(t,) for t in texts + bad], "t STRING")
+    found = df.select("t", amounts.sign(F.col("t")).alias("s"), amounts.money(F.col("t")).alias("m")).collect()
+    with localcontext() as context:
+        context.prec = 200
+        for r in found[: len(texts)]:
+            number = Decimal(r.t.strip())
+            assert (r.s, r.m) == ((number > 0) - (number < 0), f"{abs(number).quantize(Decimal('0.01'), ROUND_HALF_EVEN):f}"), r
+    assert [(r.s, r.m) for r in found[len(texts) :]] == [(None, None)] * len(bad)
+
+
+def test_a_budget_of_35_zeros(spark):
+    rows = [("1e35", "2e35"), ("1e35", "1" + "0" * 35), ("2e35", "1e35"), ("1e400", "1e399"), ("20", "15.004"), ("1" + "0" * 35, "100000000000000000000000000000000000.01")]
+    rated = ledger.cost_gate(spark.createDataFrame(rows, "b STRING, c STRING"), "b", "c").collect()
+    assert [r.reason for r in rated] == ["BUDGET_EXCEEDED", "BUDGET_REACHED", "RETRY_STOP", "RETRY_STOP", "RETRY_STOP", "BUDGET_EXCEEDED"]
+    assert rated[0].budget_amount == "1" + "0" * 35 + ".00"

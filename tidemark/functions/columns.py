@@ -48,35 +48,6 @@ def expected_value(kind: Column, mapping: dict[str, str]) -> Column:
     return first_match([(kind == k, v) for k, v in mapping.items()], F.lit(None).cast("string"))
 
 
-def money(text: Column) -> Column:
-    """Text to cents, half-even. Unparsable, NaN and infinite input gives NULL.
-
-    Amounts too large for 20 decimals are parsed with fewer; those beyond 36 digits count as the largest amount.
-    """
-    fine = F.bround(exact_number(text), 2).cast("decimal(38,2)")
-    large = F.bround(text.cast("string").try_cast("decimal(38,6)"), 2).cast("decimal(38,2)")
-    huge = text.cast("string").try_cast("double")
-    most = F.lit("9" * 36).cast("decimal(38,2)")
-    beyond = F.when((F.abs(huge) >= 1e31) & (F.abs(huge) < float("inf")), F.signum(huge).cast("decimal(1,0)") * most)
-    return F.coalesce(fine, large, beyond.cast("decimal(38,2)"))
-
-
-def exact_number(text: Column) -> Column:
-    # 20 decimals, so that rounding to cents happens once and not on an already rounded number.
-    return text.cast("string").try_cast("decimal(38,20)")
-
-
-def sign(text: Column) -> Column:
-    """-1, 0 or 1 of a number as text, also where it is too large for ``exact_number``; NULL if it is none."""
-    number = F.coalesce(F.signum(exact_number(text)), F.signum(text.cast("string").try_cast("double")))
-    return F.when(~F.isnan(number) & money(text).isNotNull(), number.cast("int"))
-
-
-def nearest_rank(column: str, quantile: float) -> Column:
-    """The value at rank ceil(q * n), exact at any size: values are counted before they are shuffled."""
-    return F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY {column})")
-
-
 def minutes_between(start: Column, end: Column) -> Column:
     """Whole seconds of both instants, difference in minutes."""
     seconds = end.cast("timestamp").cast("long") - start.cast("timestamp").cast("long")

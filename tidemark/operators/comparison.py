@@ -10,9 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import nearest_rank
 from tidemark.operators.content import fingerprint
+from tidemark.operators.hotkeys import HotKeys
 from tidemark.operators.joins import aggregate_before_join, broadcast_if_small, salted_shuffle_hash_join
+from tidemark.operators.selection import nearest_rank
 
 DIMENSION = ("product_line", "distribution_class")
 MEASURES = ("record_count", "measure_units_total", "first_reporting_date", "last_reporting_date")
@@ -105,12 +106,11 @@ def plan_shape(query: DataFrame) -> str:
     return "BROADCAST" if "BroadcastHashJoin" in text else "SHUFFLE"
 
 
-def duration_statistics(metrics: DataFrame, group: str, duration: str) -> DataFrame:
-    """Maximum and nearest-rank 75th percentile of durations per group, from a bounded sketch."""
-    return metrics.groupBy(group).agg(
-        F.max(duration).alias("maximum_duration"),
-        nearest_rank(duration, 0.75).alias("p75_duration"),
-    )
+def duration_statistics(metrics: DataFrame, group: str, duration: str, hot: HotKeys | None = None) -> DataFrame:
+    """Maximum and nearest-rank 75th percentile of durations per group, both exact."""
+    longest = metrics.groupBy(group).agg(F.max(duration).alias("maximum_duration"))
+    ranked = nearest_rank(metrics, group, duration, 0.75, hot).select(F.col(group).alias("_group"), F.col(duration).alias("p75_duration"))
+    return longest.join(ranked, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def run_medians(runs: DataFrame, mode: str, seconds: str) -> DataFrame:

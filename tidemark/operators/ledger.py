@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import first_match, money, sign
+from tidemark.functions.amounts import money, sign, size
+from tidemark.functions.columns import first_match
 
 # Thresholds in USD and what each reason allows.
 DEFAULT_BUDGET = "20.00"
@@ -29,27 +30,27 @@ ALLOWED = ("ABOVE_TARGET", "TARGET_REACHED", "WITHIN_TARGET")
 def cost_gate(df: DataFrame, budget: str, cost: str, allow_default: bool = False) -> DataFrame:
     """Classify every (budget, cost) pair: parsed amounts, reason, action and whether work may go on.
 
-    Amounts are rounded half-even to cents after their sign is checked. Only a NULL budget may be
-    replaced by the default, never a malformed one.
+    Amounts are rounded half-even to cents after their sign is checked, exactly and of any length; they come out as
+    text with two decimals. Only a NULL budget may be replaced by the default, never a malformed one.
     """
     limit = _amount(F.col(budget), sign(F.col(budget)) > 0)
     if allow_default:
-        limit = F.when(F.col(budget).isNull(), F.lit(DEFAULT_BUDGET).cast("decimal(38,2)")).otherwise(limit)
+        limit = F.when(F.col(budget).isNull(), F.lit(DEFAULT_BUDGET)).otherwise(limit)
     spent = _amount(F.col(cost), sign(F.col(cost)) >= 0)
     rated = df.withColumn("budget_amount", limit).withColumn(
         "cost_amount", F.when(F.col("budget_amount").isNotNull(), spent)
     )
     b, c = F.col("budget_amount"), F.col("cost_amount")
-    stop, target = (F.lit(v).cast("decimal(38,2)") for v in (RETRY_STOP, TARGET_COST))
+    limit, spent, stop, target = size(b), size(c), size(F.lit(RETRY_STOP)), size(F.lit(TARGET_COST))
     reason = first_match(
         [
             (b.isNull(), "INVALID_BUDGET"),
             (c.isNull(), "INVALID_CURRENT_COST"),
-            (c > b, "BUDGET_EXCEEDED"),
+            (spent > limit, "BUDGET_EXCEEDED"),
             (c == b, "BUDGET_REACHED"),
-            (c >= stop, "RETRY_STOP"),
-            (c > target, "ABOVE_TARGET"),
-            (c == target, "TARGET_REACHED"),
+            (spent >= stop, "RETRY_STOP"),
+            (spent > target, "ABOVE_TARGET"),
+            (spent == target, "TARGET_REACHED"),
         ],
         F.lit("WITHIN_TARGET"),
     )

@@ -22,12 +22,9 @@ from pyspark.sql.types import DataType
 
 from tidemark.operators.duplicates import keep_last
 from tidemark.operators.hotkeys import NAME, HotKeys, hot_names, name_rows
+from tidemark.operators.selection import CUTS, quantile_cuts, range_of
 
-SLICE, CUTS = "_slice", "_cuts"
-# Sampled positions per slice: a slice's size is off by about a quarter of itself, twice that at times.
-SAMPLED = 16
-# Up to 2^21 cuts of one key are searched: with a million rows a slice, 2 * 10^12 rows of one key.
-LARGEST_SEARCH = 20
+SLICE = "_slice"
 # Stand-ins that make a nullable key non-null next to its null flag; never visible in results.
 _FILLERS = {
     "string": "", "bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
@@ -68,25 +65,11 @@ class Timeline:
         return Window.partitionBy(*self.place[: 2 * len(self.keys)]).orderBy("_from")
 
     def cuts(self, df: DataFrame) -> DataFrame:
-        """One row per hot key: its hash and the positions at which its slices start, the first slice's left out.
-
-        The sample follows from positions alone and holds each once, so copies of an event and the order of the input
-        don't move a cut, and every evaluation finds the same ones. Per key about rows / slice_rows * SAMPLED
-        positions meet in one task, and rows / slice_rows are kept.
-        """
+        """One row per hot key: its hash and the positions at which its slices start, the first slice's left out."""
         named = name_rows(df, self.keys)
-        names = hot_names(named, self.hot)
         if self.slice_by is not None:
-            return names.withColumn(CUTS, F.array().cast("array<int>"))
-        one_in = max(1, self.hot.slice_rows // SAMPLED)
-        step = max(1, self.hot.slice_rows // one_in)
-        drawn = named.filter(F.pmod(F.xxhash64(*self.keys, *self.order), F.lit(one_in)) == 0)
-        positions = drawn.join(names, NAME).select(NAME, F.struct(*self.order).alias("_at")).distinct()
-        sampled = positions.groupBy(NAME).agg(F.sort_array(F.collect_list("_at")).alias("_all"))
-        last = F.floor((F.size("_all") - 1) / step).cast("int")
-        every = F.transform(F.sequence(F.lit(1), last), lambda i: F.element_at("_all", i * step + 1))
-        sampled = sampled.select(NAME, F.when(last > 0, every).otherwise(F.slice("_all", 1, 0)).alias(CUTS))
-        return names.join(sampled, NAME, "left")
+            return hot_names(named, self.hot).withColumn(CUTS, F.array().cast("array<int>"))
+        return quantile_cuts(named, self.keys, self.order, self.hot)
 
     def mark(self, df: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
         """Replace the keys by non-null place columns, which join and shuffle without null checks."""
@@ -101,16 +84,7 @@ class Timeline:
         if self.slice_by is not None:
             # As text, so that any type will do; slices are ordered by the positions in them.
             return F.when(F.col(CUTS).isNotNull(), F.coalesce(F.concat(F.lit("="), self.slice_by.cast("string")), F.lit(""))).otherwise(F.lit(""))
-        # How many cuts are not after the row: binary search by falling powers of two.
-        position, cuts = F.struct(*self.order), F.col(CUTS)
-
-        def step(low: Column, power: Column) -> Column:
-            further = low + power
-            return F.when((further <= F.size(cuts)) & (F.get(cuts, further - 1) <= position), further).otherwise(low)
-
-        powers = F.array(*[F.lit(1 << p) for p in range(LARGEST_SEARCH, -1, -1)])
-        found = F.aggregate(powers, F.lit(0), step)
-        return F.when(F.col(CUTS).isNotNull(), found).otherwise(F.lit(0))
+        return range_of(self.order)
 
     def lay_out(self, df: DataFrame, prefer: Sequence[str], cuts: DataFrame | None = None) -> DataFrame:
         """The one shuffle: rows placed by (key, slice), one row per key and order value.
