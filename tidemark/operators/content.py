@@ -40,11 +40,11 @@ def content_digest(
     level = copies.select(
         F.substring("h", 1, LEAF_HEX).alias("prefix"), F.concat_ws(":", "h", "n").alias("entry"), "n"
     )
-    level = _fold(level)
+    level = fold(level)
     width = LEAF_HEX
     while width > 0:
         width = max(0, width - FAN_HEX)
-        level = _fold(
+        level = fold(
             level.select(
                 F.substring("prefix", 1, width).alias("prefix"), F.concat_ws(":", "prefix", "entry").alias("entry"), "n"
             )
@@ -55,7 +55,8 @@ def content_digest(
     return total.withColumn("content_sha256", F.coalesce("content_sha256", digest(F.lit(""))))
 
 
-def _fold(level: DataFrame) -> DataFrame:
+def fold(level: DataFrame) -> DataFrame:
+    """One digest per prefix over its entries in order, with their number of rows."""
     entries = F.array_join(F.sort_array(F.collect_list("entry")), "\n")
     return level.groupBy("prefix").agg(digest(entries).alias("entry"), F.sum("n").alias("n"))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import REDACTIONS, contains_all_filters, redact, terms_found
+from tidemark.operators.joins import broadcast_if_small
+from tidemark.session import workdir
 
 
 def redacted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,6 +29,46 @@ def term_hits(df: DataFrame, key: str, text: str, terms: Sequence[str]) -> DataF
     return lowered.select(key, F.explode(terms_found(F.col("_text"), terms)).alias("term"))
 
 
+# Letters of the grams that texts and terms are joined by, and letters of a text that are cut into grams at once.
+GRAM, PIECE = 4, 65_536
+
+
+def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
+    """One row per (document, term) that occurs, case ignored, for any number of terms.
+
+    Each term is filed under its rarest gram of four letters (a shorter term under itself). Texts are cut into grams, which
+    meet the terms by an equi-join, and the text confirms the term: the work grows with the texts and the hits, not with
+    texts times terms. A small list of terms is broadcast, so that grams without a term never leave their task. Texts are
+    taken in overlapping pieces, so a long one needs no more memory. NULL and empty texts and terms match nothing.
+    """
+    wanted = terms.select(F.lower(term).alias("term")).filter(F.length("term") > 0).distinct()
+    grams = wanted.select("term", F.explode(_grams(F.col("term"), gram)).alias("gram"))
+    rarity = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    filed = grams.join(rarity, "gram").groupBy("term").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    place = workdir(df.sparkSession, "terms")
+    filed.withColumn("letters", F.length("gram")).write.parquet(place)
+    filed = df.sparkSession.read.parquet(place)
+    # The lengths of short terms, ``gram`` numbers at most, and the overlap that no term is longer than.
+    widths, overlap = filed.agg(F.collect_set("letters"), F.max(F.length("term"))).first()
+    if not widths:
+        return df.select(key, F.lit(None).cast("string").alias("term")).limit(0)
+    lowered = df.select(key, F.lower(text).alias("_text")).filter(F.length("_text") > 0)
+    starts = F.sequence(F.lit(1), F.length("_text"), F.lit(piece))
+    pieces = lowered.select(key, F.explode(F.transform(starts, lambda at: F.substring("_text", at, F.lit(piece + overlap)))).alias("_text"))
+    cut = F.flatten(F.array(*[_all_grams(F.col("_text"), width) for width in sorted(widths)]))
+    met = pieces.select(key, "_text", F.explode(F.array_distinct(cut)).alias("gram"))
+    hits = met.join(broadcast_if_small(filed.select("gram", "term")), "gram").filter(F.contains("_text", "term"))
+    return hits.select(key, "term").distinct()
+
+
+def _all_grams(text: Column, width: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
+
+
+def _grams(term: Column, width: int) -> Column:
+    return F.when(F.length(term) <= width, F.array(term)).otherwise(F.array_distinct(_all_grams(term, width)))
+
+
 def search(df: DataFrame, status: str, wanted: str, parts: Sequence[str], query: str) -> DataFrame:
     """Rows with the wanted status (or ALL) whose text contains the query."""
     return df.filter(contains_all_filters(F.col(status), wanted, [F.col(p) for p in parts], query))

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import digest, joined_text
 from tidemark.functions.rules import Expectation, differs, flagged, missing, outside, wrong_unit
-from tidemark.operators import comparison, content, contracts, documents, expectations, gold, history, ledger
+from tidemark.operators import (
+    comparison, content, contracts, difference, documents, expectations, gold, history, ledger, lineage, rollups,
+)
 from tidemark.operators.duplicates import mark_duplicates
-from tidemark.operators.joins import aggregate_before_join, broadcast_if_small, salted_shuffle_hash_join
+from tidemark.operators.joins import aggregate_before_join, broadcast_if_small, heavy_hitter_join, salted_shuffle_hash_join
 from tidemark.operators.provenance import change_log, stamp
 from tidemark.operators.routing import (
     KNOWN, PARSED, REASON, REPEATED, Policy, Routed, quality_policy, quality_policy_basic, reason_counts, route,
@@ -799,6 +801,32 @@ def quality_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- contracts and content --------------------------------------------------------------------
 
 
+@query("""
+SELECT date_trunc('week', l_shipdate)::DATE::VARCHAR AS week, l_returnflag, count(DISTINCT l_partkey) AS parts, count(*) AS records,
+       round(avg(CASE WHEN l_quantity >= 10 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate, true AS p95_within_error
+FROM lineitem GROUP BY 1, 2
+""")
+def kpi_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly KPIs merged from stored daily states. The facts are read again only to judge the sketched quantile."""
+    lines, place = table(spark, sf_dir, "lineitem"), workdir(spark, "kpi-states")
+    facts = lines.withColumn("day", F.to_date("l_shipdate"))
+    state = rollups.daily_state(facts, ["day", "l_returnflag"], F.col("l_partkey"), F.col("l_quantity") >= 10, F.col("l_extendedprice"))
+    state.write.parquet(place)
+    week = F.trunc("day", "week").cast("string").alias("week")
+    kpis = rollups.read_kpis(spark.read.parquet(place).withColumn("week", week), ["week", "l_returnflag"])
+    price, found = F.col("l_extendedprice").cast("double"), F.col("quantile")
+    ranks = facts.select(week, "l_returnflag", "l_extendedprice").join(kpis, ["week", "l_returnflag"]).groupBy(*kpis.columns).agg(
+        F.avg((price < found).cast("double")).alias("below"), F.avg((price <= found).cast("double")).alias("upto")
+    )
+    # In a group of few rows one row is more than the error.
+    error = rollups.RANK_ERROR + 1 / F.col("records")
+    within = (F.col("below") <= 0.95 + error) & (F.col("upto") >= 0.95 - error)
+    return ranks.select(
+        "week", "l_returnflag", F.col("entities").alias("parts"), "records",
+        F.round("pass_rate", 6).alias("pass_rate"), within.alias("p95_within_error"),
+    )
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1
 """)
@@ -975,6 +1003,47 @@ def recovery_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, verdicts)
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'lost' ELSE 'changed' END AS change,
+       CAST(1 AS BIGINT) AS left_rows,
+       CAST(CASE WHEN o_orderkey % 97 = 0 THEN 0 WHEN o_orderkey % 89 = 0 THEN 1 ELSE 2 END AS BIGINT) AS right_rows
+FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0
+UNION ALL SELECT -o_orderkey, 'added', 0, 1 FROM orders WHERE o_orderkey % 101 = 0 AND o_orderkey > 0 AND o_orderkey % 97 <> 0
+  AND o_orderkey % 89 <> 0 AND o_orderkey % 83 <> 0
+""")
+def recovery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which orders a damaged copy lost, changed, doubled or made up, from two stored digest trees."""
+    place, orders = workdir(spark, "trees"), table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    dear = F.when(k % 89 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    invented = (k % 101 == 0) & (k > 0) & (k % 89 != 0) & (k % 83 != 0)
+    copies = F.when((k % 83 == 0) & (k % 89 != 0), F.array(k, k)).when(invented, F.array(k, -k)).otherwise(F.array(k))
+    damaged = orders.filter(k % 97 != 0).withColumn("o_totalprice", dear).withColumn("o_orderkey", F.explode(copies))
+    for name, df in (("clean", orders), ("damaged", damaged)):
+        difference.write_tree(df, f"{place}/{name}", ["o_orderkey"], exclude=(), text=_order_text())
+    return difference.row_differences(spark, f"{place}/clean", f"{place}/damaged", ["o_orderkey"])
+
+
+LINEAGE_SQL = """
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT p_partkey AS product, unnest([p_partkey // 2, p_partkey // 3]) AS source FROM part WHERE p_partkey > 0
+), reached AS (
+  SELECT product, source AS ancestor, 1 AS depth FROM edges
+  UNION SELECT r.product, e.source, r.depth + 1 FROM reached r JOIN edges e ON e.product = r.ancestor
+), pairs AS (SELECT product, ancestor, min(depth) AS depth FROM reached GROUP BY 1, 2)
+SELECT product, count(*) AS ancestors, count(*) FILTER (ancestor = 0) AS sources, CAST(max(depth) AS INTEGER) AS depth,
+       bool_or(product = ancestor) AS in_a_circle FROM pairs GROUP BY 1
+"""
+
+
+@query(LINEAGE_SQL)
+def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part numbers stand for products; each is made from those of half and a third of its number."""
+    parts = table(spark, sf_dir, "part").filter("p_partkey > 0")
+    halves = F.explode(F.array(F.floor(F.col("p_partkey") / 2), F.floor(F.col("p_partkey") / 3))).alias("source")
+    return lineage.sources_of(lineage.closure(parts.select("p_partkey", halves), "p_partkey", "source"))
+
+
 @query("""
 SELECT 'whole' AS landing, count(DISTINCT event_type) AS files, count(*) AS rows, true AS matches FROM events
 UNION ALL SELECT 'one kind lost', count(DISTINCT event_type) - 1, count(*) FILTER (event_type <> 'error'), false FROM events
@@ -1119,6 +1188,24 @@ def term_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.term_hits(table(spark, sf_dir, "documents"), "doc_id", "text", TERMS)
 
 
+MANY_TERMS_SQL = """
+SELECT DISTINCT lower(term) AS term FROM (
+  SELECT substr(text, 21, 14) AS term FROM benchmark UNION ALL SELECT substr(text, 60, 9) FROM benchmark
+  UNION ALL SELECT substr(text, 5, 3) FROM benchmark UNION ALL SELECT p_name FROM part UNION ALL SELECT c_name FROM customer)
+WHERE length(term) > 0
+"""
+
+
+@query(f"SELECT doc_id, term FROM documents, ({MANY_TERMS_SQL}) t WHERE contains(lower(text), term)")
+def term_scan_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of terms, cut from benchmark texts and taken from part and customer names, against all documents."""
+    items = table(spark, sf_dir, "benchmark")
+    parts = [F.substring("text", start, length) for start, length in ((21, 14), (60, 9), (5, 3))]
+    terms = items.select(F.explode(F.array(*parts)).alias("term"))
+    terms = terms.union(table(spark, sf_dir, "part").select("p_name")).union(table(spark, sf_dir, "customer").select("c_name"))
+    return documents.term_matches(table(spark, sf_dir, "documents"), "doc_id", "text", terms, "term")
+
+
 @query("""
 SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE o_orderstatus = 'F' AND contains(lower(concat_ws(' ', o_orderpriority, o_orderstatus)), 'urgent')
@@ -1259,6 +1346,28 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(*schema.fieldNames(), has_source)
 
 
+BAD_LINES_SQL = """
+CASE WHEN event_id % 41 = 0 THEN '{"event_id":' || event_id || ',"user_id":' WHEN event_id % 43 = 0 THEN '[' || event_id || ']'
+     WHEN event_id % 47 = 0 THEN '{"event_id":' || event_id || ',"user_id":"none"}'
+     ELSE '{"event_id":' || event_id || ',"user_id":' || user_id || '}' END
+"""
+
+
+@query(f"""
+SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'NOT_A_JSON_OBJECT' WHEN event_id % 47 = 0 THEN 'WRONG_TYPE' END AS line_reason,
+       CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0 THEN {BAD_LINES_SQL} END AS raw_line,
+       CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0 THEN NULL ELSE user_id END AS user_id
+FROM events
+""")
+def json_lines_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut short, arrays and wrong types among good lines: all come out, the bad ones with their text."""
+    place = workdir(spark, "bad-lines")
+    line = F.expr(BAD_LINES_SQL).alias("value")
+    table(spark, sf_dir, "events").select(line).write.text(place)
+    return files.scan_json_lines(spark, place, contract("event_id BIGINT, user_id BIGINT")).drop("source_file")
+
+
 @query("""
 SELECT count(DISTINCT event_type) AS activities, count(*) AS rows_read, count(*) AS rows_copied, true AS reconciled FROM events
 """)
@@ -1310,6 +1419,15 @@ def skew_join_shuffle_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("join_key", "s_name").agg(*_skew_measures())
 
 
+@query(SKEW_SQL)
+def skew_join_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with a thousandth of the rows or more are joined apart: by broadcast, or salted."""
+    facts, suppliers = _skewed(spark, sf_dir)
+    spread = F.struct("l_orderkey", "l_partkey", "l_linenumber")
+    joined = heavy_hitter_join(facts, suppliers, ["join_key"], spread, salts=16)
+    return joined.groupBy("join_key", "s_name").agg(*_skew_measures())
+
+
 @query(SKEW_SQL)
 def skew_join_aggregate_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts, suppliers = _skewed(spark, sf_dir)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.columns import digest
 from tidemark.operators.content import content_digest
@@ -29,6 +29,28 @@ def read_json_lines(
     return scanned.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
+# Why a line did not fit the contract.
+NO_OBJECT, WRONG_TYPE = "NOT_A_JSON_OBJECT", "WRONG_TYPE"
+
+
+def scan_json_lines(spark: SparkSession, paths: str | Sequence[str], schema: StructType) -> DataFrame:
+    """JSON lines by contract with every line that does not fit kept: columns, source_file, line_reason and raw_line.
+
+    The text is kept of lines that are no JSON object (all fields NULL) and of those with a field of the wrong type (that
+    field NULL); others have a NULL reason and text. Rows with a reason are routed, so no line is lost.
+    """
+    raw = "raw_line"
+    wide = StructType([*schema.fields, StructField(raw, StringType())])
+    # Read as text: a scan of JSON files refuses queries on the kept text alone.
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter(F.trim("value") != "")
+    parsed = lines.select(
+        F.from_json("value", wide, {"columnNameOfCorruptRecord": raw}).alias("_line"), F.col("_metadata.file_path").alias("source_file")
+    )
+    reason = F.when(F.col(raw).isNotNull(), F.when(F.json_object_keys(raw).isNull(), NO_OBJECT).otherwise(WRONG_TYPE))
+    rows = parsed.select("_line.*", "source_file")
+    return rows.select(*schema.fieldNames(), "source_file", reason.alias("line_reason"), raw)
+
+
 def with_extra_files(base: DataFrame, *extra: DataFrame) -> DataFrame:
     """Union by name; columns one side lacks are NULL."""
     for df in extra:
