@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +46,29 @@ def sized(df: DataFrame, most_rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
+    """The frame with its columns renamed _0, _1, ... and the new name of the first column of each exact name.
+
+    Further columns can then clash neither with each other nor with what an operator adds. ``toDF(*docs.columns)`` names
+    them back.
+    """
+    names = docs.columns
+
+    def of(name: str) -> str:
+        if name not in names:
+            raise ValueError(f"no column {name!r} in {names}")
+        return f"_{names.index(name)}"
+
+    return docs.toDF(*[f"_{i}" for i in range(len(names))]), of
+
+
 def without(docs: DataFrame, found: DataFrame, purpose: str) -> DataFrame:
     """The documents, all columns, whose (doc_id, xxhash64 of the text) is not among ``found``'s."""
-    bad = found.select(F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
     bad = sized(stored(bad, purpose))
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(bad, here, "left_anti")
+    wide, of = numbered(docs)
+    here = F.col(of("doc_id")).cast("long").eqNullSafe(F.col("bad_id")) & (F.xxhash64(of("text")) == F.col("bad_hash"))
+    return wide.join(bad, here, "left_anti").toDF(*docs.columns)
 
 
 def crc_remainder(id_column: str, modulus: int) -> Column:

@@ -234,5 +234,9 @@ def contaminated(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns, that overlap no benchmark item."""
+    """The documents, all columns, that overlap no benchmark item.
+
+    NULL and empty texts overlap nothing and stay; so does everything where there are no items. Rows equal in id and text
+    share their fate; an empty table gives no rows. Further columns stay, whatever their names.
+    """
     return without(docs, contaminated(docs, benchmark), "benchmark-leaks")

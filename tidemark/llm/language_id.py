@@ -240,5 +240,9 @@ def identify(
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, that are not rejected."""
+    """The documents, all columns, that are not rejected.
+
+    Texts without a letter, NULL and empty ones among them, belong to no language and go, as ``identify`` rejects them. Rows
+    equal in id and text share their fate; an empty table gives no rows. Further columns stay, whatever their names.
+    """
     return without(docs, identify(docs).filter("rejected"), "language-rejected")

@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import sized, slices, stored, take, words
@@ -111,17 +111,15 @@ def signed(docs: DataFrame, columns: Sequence[str], shingle: int, rows: int, ban
     return picked.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """One row per set of shingles: a number (node), its size, band keys, smallest doc_id and a row that has it."""
+def numbered_classes(rows: DataFrame, *more: Column) -> DataFrame:
+    """One row per set of shingles: a number (node), its size, smallest doc_id, a row that has it, and further aggregates."""
     one = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    classes = rows.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.min("doc_id").alias("first"), F.min(one).alias("one")
-    )
+    classes = rows.groupBy("set_id").agg(F.first("n_shingles").alias("n"), *more, F.min("doc_id").alias("first"), F.min(one).alias("one"))
     # Numbers only have to differ, and the written table fixes them.
     return stored(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
 
 
-def _sets(docs: DataFrame, columns: Sequence[str], classes: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+def full_sets(docs: DataFrame, columns: Sequence[str], classes: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """node and its set's sorted hashes as bytes, for the given nodes, from one row that has the set."""
     one = classes.join(nodes, "node", "left_semi").select("node", F.col("one.doc_id").alias("_doc"), F.col("one.text_hash").alias("_hash"))
     one = sized(stored(one, "minhash-rows"))
@@ -145,7 +143,7 @@ def _linked(a: int, b: int, common: int, share: int) -> bool:
     return 100 * common >= share * (a + b - common)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, ok = (None, None), []
@@ -269,7 +267,7 @@ def near_duplicates(
     has no other, and never names one. An empty table gives no rows. Further columns are ignored.
     """
     signatures = stored(signed(docs, columns, shingle, rows, bands), "minhash-signatures")
-    classes = _classes(signatures)
+    classes = numbered_classes(signatures.filter("n_shingles > 0"), F.first("bands").alias("bands"))
     keyed = stored(classes.select("node", "n", F.explode("bands").alias("key")), "minhash-keys")
     groups = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("b")).filter("c > 1"), "minhash-groups")
     pairs = keyed.join(groups, "key").filter("node != b").select(F.col("node").alias("a"), "b", "n").distinct()
@@ -279,8 +277,8 @@ def near_duplicates(
     # Members of large keys may be compared later, so their sets are wanted too.
     large = keyed.join(groups.filter("c > 2").select("key"), "key", "left_semi").select("node")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large).distinct()
-    sets = _sets(docs, columns, classes, wanted, shingle)
-    links = stored(_confirmed(pairs, sets, share), "minhash-links")
+    sets = full_sets(docs, columns, classes, wanted, shingle)
+    links = stored(confirmed(pairs, sets, share), "minhash-links")
     tied = stored(components(links), "minhash-components")
     open_ = _left_over(keyed, groups, tied)
     if not open_.isEmpty():

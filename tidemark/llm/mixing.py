@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, sized, stored, take
+from tidemark.llm.common import WORD, numbered, sized, stored, take
 
 RANGE_ROWS = 50_000
 
@@ -130,7 +130,9 @@ def mixed(
     """The documents, all columns, of which the mix takes words, and how many: ``taken``.
 
     The prefix sums leave one cut per source; documents are held against it where they are, so texts are
-    not shuffled. Copies at the very cut share its words evenly.
+    not shuffled. Copies at the very cut share its words evenly. NULL and empty texts have no words and go. A NULL source
+    is a source of its own. Ties are ordered by id and size, so reruns agree; an empty table gives no rows. Further columns
+    stay, whatever their names, but for one named ``taken``.
     """
     rows = _placed(sizes(docs, seed), weights, share, most, range_rows)
     place = F.struct("key", "doc_id", "size")
@@ -142,12 +144,15 @@ def mixed(
         F.max(F.when(crossing, F.struct(place.alias("at"), F.floor((F.col("_rest") - F.col("_before")) / F.col("copies")).alias("each")))).alias("_cut"),
     )
     cuts = sized(stored(cuts.withColumnRenamed("source", "_source"), "mixing-cuts"))
-    own = docs.withColumns({"_size": _size(F.col("text")), "_place": F.struct(_key(seed, F.col("doc_id")).alias("key"), F.col("doc_id"), _size(F.col("text")).alias("size"))})
-    met = own.join(cuts, F.col("source").eqNullSafe(F.col("_source")))
-    more = F.when(F.col("_place") <= F.col("_whole"), F.col("_size")).when(F.col("_place") == F.col("_cut.at"), F.col("_cut.each")).otherwise(0)
-    taken = (F.col("_epochs") * F.col("_size") + more).cast("long")
-    kept = [c for c in docs.columns if c != "taken"]
-    return met.withColumn("taken", taken).filter("taken > 0").select(*kept, "taken")
+    wide, of = numbered(docs)
+    text, doc_id = F.col(of("text")), F.col(of("doc_id"))
+    own = wide.withColumns({"size": _size(text), "place": F.struct(_key(seed, doc_id).alias("key"), doc_id.alias("doc_id"), _size(text).alias("size"))})
+    met = own.join(cuts, F.col(of("source")).eqNullSafe(F.col("_source")))
+    more = F.when(F.col("place") <= F.col("_whole"), F.col("size")).when(F.col("place") == F.col("_cut.at"), F.col("_cut.each")).otherwise(0)
+    words_taken = (F.col("_epochs") * F.col("size") + more).cast("long")
+    kept = [(i, c) for i, c in enumerate(docs.columns) if c != "taken"]
+    found = met.withColumn("words_taken", words_taken).filter("words_taken > 0")
+    return found.select(*[f"_{i}" for i, _ in kept], "words_taken").toDF(*[c for _, c in kept], "taken")
 
 
 def oracle_sql(seed: str = "mix") -> str:

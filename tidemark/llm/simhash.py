@@ -11,6 +11,9 @@ distance is counted.
 Equal fingerprints are one class from the start. A key that holds many fingerprints is cut into chunks,
 and chunks meet two at a time in tasks of bounded size. From a key only a spanning forest of its links
 leaves the task, never all pairs; the components are the same.
+
+Three bits reach only nearly equal texts. ``one_of_each`` therefore takes fingerprints as proposals: sampled bits are the keys
+of many tables, a wide bit bound thins what meets there, and the exact similarity of full shingle sets confirms.
 """
 
 from __future__ import annotations
@@ -22,16 +25,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, take, without, words
+from tidemark.llm import minhash
+from tidemark.llm.common import numbered, stored, take, without, words
 from tidemark.llm.components import components
 
 SEED, SHINGLE, BITS, DISTANCE = 42, 3, 64, 3
 FAMILIES = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))
 KEYS = tuple(combinations(range(len(FAMILIES)), len(FAMILIES) - DISTANCE))
 CHUNK = 2048
+# The pipeline's stage works on five-word shingles and 80 percent of similarity. Fingerprints of such pairs are some 10
+# bits apart, and more than 20 with a chance of one in two thousand.
+STAGE_SHINGLE, STAGE_SHARE, STAGE_DISTANCE = 5, 80, 20
 ORIGIN = np.uint64(0)
 
 
@@ -205,25 +212,113 @@ def near_duplicates(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")
     return rows.join(named, "mark").select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The documents, all columns, one of each component.
+def sampled_keys(marks: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """Per fingerprint and table a key of ``bits`` of its bits, other ones in each table."""
+    pick = np.random.default_rng(SEED)
+    chosen = np.stack([pick.permutation(BITS)[:bits] for _ in range(tables)]).astype(np.uint64)
+    keys = np.empty((len(marks), tables), dtype=np.int64)
+    for t in range(tables):
+        drawn = (marks[:, None] >> chosen[t][None, :]) & np.uint64(1)
+        keys[:, t] = (drawn << np.arange(bits, dtype=np.uint64)).sum(axis=1).astype(np.int64) * tables + t
+    return keys
+
+
+def tables_for(rows: int, share: int, miss: float) -> tuple[int, int]:
+    """How many tables of how many bits: keys as many as rows, times four, and few misses among pairs at the threshold.
+
+    Of two sets of equal size at Jaccard j the cosine is 2j/(1+j), and a bit differs with the angle's share of pi.
+    """
+    j = share / 100
+    same = 1 - np.arccos(2 * j / (1 + j)) / np.pi
+    bits = min(48, max(14, int(np.ceil(np.log2(max(rows, 1)))) + 2))
+    return int(np.ceil(np.log(1 / miss) / same**bits)), bits
+
+
+def _sets_signed(docs: DataFrame, columns: Sequence[str], shingle: int) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, set_id (128 bits of the set of shingles) and the fingerprint of that set."""
+    picked = take(docs, *columns).toDF("doc_id", "text")
+    picked = picked.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [minhash.shingle_set(x.as_py(), shingle) for x in batch["text"]]
+            marks = np.array([fingerprint_of(s) for s in sets], dtype=np.uint64).view(np.int64)
+            names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], sizes, names, pa.array(marks)], ["doc_id", "text_hash", "n_shingles", "set_id", "mark"])
+
+    return picked.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, mark long")
+
 
-    The smallest doc_id stays (NULL last), then the smallest text hash; of rows equal in both, copies of
-    one document, one stays.
+def similar(docs: DataFrame, columns: Sequence[str], shingle: int, share: int, miss: float, distance: int, first: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Rows with their set's name, and per set its component under exact similarity of at least ``share`` percent.
+
+    Fingerprints only propose: sets meet in tables keyed by some of their fingerprints' bits, there with the smallest set of
+    the key and with the one before them in the key, and pairs more than ``distance`` bits apart are dropped. Full sets
+    confirm. The ``first`` tables go ahead, so that the many members of one group are tied by few comparisons; the
+    others only propose pairs that are not tied yet. Proposals grow with the sets, not with the squares of groups.
+    """
+    rows = stored(_sets_signed(docs, columns, shingle), "similar-rows")
+    classes = minhash.numbered_classes(rows, F.first("mark").alias("mark"))
+    tables, bits = tables_for(classes.count(), share, miss)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                part = batch.slice(at, 4096)
+                found = sampled_keys(part["mark"].to_numpy().view(np.uint64), tables, bits)
+                repeat = [np.repeat(part[c].to_numpy(), tables) for c in ("node", "mark", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "mark", "n"])
+
+    keyed = classes.filter("n > 0").select("node", "mark", "n").mapInArrow(keys, "key long, node long, mark long, n long")
+    order = F.struct(F.xxhash64("node", "key").alias("h"), "node", "mark", "n")
+    along = Window.partitionBy("key").orderBy("h")
+    near = (F.bit_count(F.col("mark").bitwiseXOR(F.col("m"))) <= distance) & (F.least("n", "k") * 100 >= F.greatest("n", "k") * share)
+    # One window over narrow rows: the sort by key serves the first set of a key and the one before.
+    beside = keyed.withColumn("h", order).withColumn("_before", F.lag("h").over(along)).withColumn("_least", F.first("h").over(along))
+    met = beside.select("key", "node", "mark", "n", F.explode(F.array("_least", "_before")).alias("o")).filter(F.col("o").isNotNull() & (F.col("o.node") != F.col("node")))
+    met = met.select("key", "node", "mark", "n", F.col("o.node").alias("b"), F.col("o.mark").alias("m"), F.col("o.n").alias("k")).filter(near)
+    early = F.pmod(F.col("key"), F.lit(tables)) < first
+    pairs = met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"), early.alias("early"))
+    pairs = stored(pairs.groupBy("a", "b").agg(F.bool_or("early").alias("early")), "similar-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = minhash.full_sets(docs, columns, classes, nodes, shingle)
+    links = stored(minhash.confirmed(pairs.filter("early").select("a", "b"), sets, share), "similar-links")
+    tied = stored(components(links), "similar-components")
+    left = pairs.filter("NOT early").select("a", "b")
+    for side in ("a", "b"):
+        own = tied.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+        left = left.join(own, side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+    further = stored(minhash.confirmed(left.filter("ra != rb").select("a", "b"), sets, share), "similar-links")
+    tied = stored(components(links.union(further)), "similar-components")
+    rooted = classes.select("set_id", "node").join(tied, "node", "left")
+    return rows, stored(rooted.select("set_id", F.coalesce("root", "node").alias("root")), "similar-roots")
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = STAGE_SHINGLE, share: int = STAGE_SHARE, miss: float = 0.03, distance: int = STAGE_DISTANCE
+) -> DataFrame:
+    """The documents, all columns, one of each component of sets at least ``share`` percent similar.
+
+    ``miss`` is the share of pairs right at the threshold that no table may propose; more similar ones are missed far more
+    rarely. The smallest doc_id stays (NULL last), then the smallest text hash; of rows equal in both, copies of one
+    document, one stays. Texts without words are one component. An empty table gives no rows. Further columns stay,
+    whatever their names.
     """
-    rows, rooted = _named(docs, ("doc_id", "text"), chunk)
+    rows, rooted = similar(docs, ("doc_id", "text"), shingle, share, miss, distance)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    per_mark = rows.groupBy("mark").agg(F.min(rank).alias("least"))
-    best = rooted.select("mark", "root").join(per_mark, "mark")
-    best = best.join(best.groupBy("root").agg(F.min("least").alias("stays")), "root").select("mark", "stays")
-    placed = rows.join(best, "mark")
+    per_set = rows.groupBy("set_id").agg(F.min(rank).alias("least"))
+    best = rooted.join(per_set, "set_id")
+    best = best.join(best.groupBy("root").agg(F.min("least").alias("stays")), "root").select("set_id", "stays")
+    placed = rows.join(stored(best, "similar-best"), "set_id")
     left = without(docs, placed.filter(rank != F.col("stays")), "simhash-copies")
     copies = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = stored(copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "simhash-repeats")
+    copies = stored(copies.select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")), "simhash-repeats")
     if copies.isEmpty():
         return left
-    keyed = left.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    wide, of = numbered(left)
+    keyed = wide.withColumns({"row_doc": F.col(of("doc_id")).cast("long"), "row_text": F.xxhash64(of("text"))})
+    same = F.col("row_doc").eqNullSafe(F.col("copy_id")) & (F.col("row_text") == F.col("copy_hash"))
     single = keyed.join(copies, same, "left_anti")
-    repeated = keyed.join(copies, same, "left_semi").dropDuplicates(["_doc", "_text"])
-    return single.union(repeated).select(*docs.columns)
+    repeated = keyed.join(copies, same, "left_semi").dropDuplicates(["row_doc", "row_text"])
+    return single.union(repeated).drop("row_doc", "row_text").toDF(*docs.columns)
