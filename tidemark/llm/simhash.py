@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import minhash
@@ -267,20 +267,29 @@ def similar(docs: DataFrame, columns: Sequence[str], shingle: int, share: int, m
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
                 found = sampled_keys(part["mark"].to_numpy().view(np.uint64), tables, bits)
-                repeat = [np.repeat(part[c].to_numpy(), tables) for c in ("node", "mark", "n")]
-                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "mark", "n"])
-
-    keyed = classes.filter("n > 0").select("node", "mark", "n").mapInArrow(keys, "key long, node long, mark long, n long")
-    order = F.struct(F.xxhash64("node", "key").alias("h"), "node", "mark", "n")
-    along = Window.partitionBy("key").orderBy("h")
-    near = (F.bit_count(F.col("mark").bitwiseXOR(F.col("m"))) <= distance) & (F.least("n", "k") * 100 >= F.greatest("n", "k") * share)
-    # One window over narrow rows: the sort by key serves the first set of a key and the one before.
-    beside = keyed.withColumn("h", order).withColumn("_before", F.lag("h").over(along)).withColumn("_least", F.first("h").over(along))
-    met = beside.select("key", "node", "mark", "n", F.explode(F.array("_least", "_before")).alias("o")).filter(F.col("o").isNotNull() & (F.col("o.node") != F.col("node")))
-    met = met.select("key", "node", "mark", "n", F.col("o.node").alias("b"), F.col("o.mark").alias("m"), F.col("o.n").alias("k")).filter(near)
+                repeat = [np.repeat(part[c].to_numpy(), tables) for c in ("node", "mark")]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "mark"])
+
+    # Three numbers a row are all that is shuffled, once per table; sizes join the few pairs that are left.
+    keyed = classes.filter("n > 0").select("node", "mark").mapInArrow(keys, "key long, node long, mark long")
+    along = Window.partitionBy("key").orderBy("mark", "node")
+    beside = keyed.select(
+        "key", "node", "mark", F.first("node").over(along).alias("least"), F.first("mark").over(along).alias("least_mark"),
+        F.lag("node").over(along).alias("before"), F.lag("mark").over(along).alias("before_mark"),
+    )
+
+    def near(other: str) -> Column:
+        return F.bit_count(F.col("mark").bitwiseXOR(F.col(other))) <= distance
+
+    wanted = F.array(F.when(near("least_mark") & (F.col("least") != F.col("node")), F.col("least")), F.when(near("before_mark"), F.col("before")))
+    met = beside.select("key", F.col("node").alias("a"), F.explode(F.array_compact(F.array_distinct(wanted))).alias("b"))
     early = F.pmod(F.col("key"), F.lit(tables)) < first
-    pairs = met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"), early.alias("early"))
-    pairs = stored(pairs.groupBy("a", "b").agg(F.bool_or("early").alias("early")), "similar-pairs")
+    pairs = met.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.bool_or(early).alias("early"))
+    sized_pairs = pairs
+    for side in ("a", "b"):
+        sized_pairs = sized_pairs.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")), side)
+    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * share
+    pairs = stored(sized_pairs.filter(fits).select("a", "b", "early"), "similar-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = minhash.full_sets(docs, columns, classes, nodes, shingle)
     links = stored(minhash.confirmed(pairs.filter("early").select("a", "b"), sets, share), "similar-links")
