@@ -250,7 +250,7 @@ def _sets_signed(docs: DataFrame, columns: Sequence[str], shingle: int) -> DataF
     return picked.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, mark long")
 
 
-def similar(docs: DataFrame, columns: Sequence[str], shingle: int, share: int, miss: float, distance: int, first: int = 8) -> tuple[DataFrame, DataFrame]:
+def similar(docs: DataFrame, columns: Sequence[str], shingle: int, share: int, miss: float, distance: int, first: int = 2) -> tuple[DataFrame, DataFrame]:
     """Rows with their set's name, and per set its component under exact similarity of at least ``share`` percent.
 
     Fingerprints only propose: sets meet in tables keyed by some of their fingerprints' bits, there with the smallest set of
