@@ -7,9 +7,15 @@ pages are its boilerplate: the runs they cover are removed wherever they are, un
 adds to this: navigation, headers, footers, asides, forms, scripts and the like go as a whole, and where
 an article or main element is, what lies outside goes too.
 
-A host's pages are sorted in chunks of bounded size. A substring frequent in a host is as frequent in at
-least one of its chunks, so chunks yield only those; a filter of fixed size picks their occurrences out of
-all pages, and the cluster counts the contents they are on. No list of a host's pages is ever gathered.
+A host's pages are sorted in chunks of about ``CHUNK_TOKENS`` tokens, but of ``CHUNK_CONTENTS`` contents at
+least on average, since in a chunk of few pages every substring is frequent. A host of one chunk has its counts by that. A
+substring frequent in a host of several chunks is as frequent in at least one of them; those are counted
+again over all pages of the host, one row per substring and content. The substrings that stay are looked up
+by every page: in a sorted array that each task holds if they are at most ``HELD_NAMES``, and else by a
+filter of fixed size and a join. No list of a host's pages is ever gathered.
+
+Inside an article a block goes only if all of it is covered; a run inside a block, which may be a
+quotation, only if it is on ``SHARE_INSIDE`` of the host's contents.
 """
 
 from __future__ import annotations
@@ -32,6 +38,11 @@ CHUNK_TOKENS = 200_000
 # Boilerplate is on this share of a host's contents; on two of them at least, and on three to be taken out of
 # articles: two that share a passage may be versions of one text.
 SHARE, LEAST, LEAST_IN_ARTICLES = 0.05, 2, 3
+SHARE_INSIDE = 0.5
+# What a repeated substring may cut: open blocks, whole blocks of articles too, runs inside these too.
+OPEN_BLOCKS, ARTICLE_BLOCKS, INSIDE = 1, 2, 3
+CHUNK_CONTENTS = 60
+HELD_NAMES = 1 << 22
 HELD_WORDS = 200_000
 MIX = np.random.default_rng(5).integers(1, 2**63, LONG, dtype=np.uint64) | np.uint64(1)
 # Elements and names by their role.
@@ -47,9 +58,17 @@ CHROME_NAMES = frozenset((
     "replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget").split())
 # Names that also count with more after a hyphen or underscore; other compound names are left to the suffix array.
 CHROME_PREFIX = re.compile(r"(?:ads?|advert|advertisement|breadcrumbs?|comments?|cookies?|disqus|footer|navbar|newsletter|popup|promo|"
-                           r"share|sharing|sponsor|sponsored|subscribe)[-_]")
+                           r"related|share|sharing|sponsor|sponsored|subscribe)[-_]|(?:reader|user|post|visitor)[-_]comments?$")
 CHROME_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"))
 MAIN_ROLES = frozenset(("main", "article"))
+# Fixed values of HTML: elements whose start ends an open paragraph; start tags that end open elements, and where the search for these stops.
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+                   "header hgroup hr li dt dd main menu nav ol p pre search section summary table ul".split())
+LISTS, CELLS = frozenset("ul ol menu dl table td th article main".split()), frozenset("table td th caption button".split())
+TABLE, SELECT = frozenset(("table",)), frozenset(("select",))
+ENDS = {"li": (("li",), LISTS), "dt": (("dt", "dd"), LISTS), "dd": (("dt", "dd"), LISTS), "option": (("option",), SELECT), "optgroup": (("option", "optgroup"), SELECT),
+        "td": (("td", "th"), TABLE), "th": (("td", "th"), TABLE), "tr": (("td", "th", "tr"), TABLE), "tbody": (("td", "th", "tr", "tbody", "thead", "tfoot"), TABLE),
+        "tfoot": (("td", "th", "tr", "tbody", "thead"), TABLE)}
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>")
 # Any attribute, its value consumed with it.
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -87,7 +106,8 @@ def _role(tag: str, attributes: str, inside: int) -> int | None:
 def blocks(page: str) -> list[tuple[int, str]]:
     """(role, text) of the page's blocks in order; comments, markup and raw elements are gone.
 
-    Unclosed elements end with their parent, an unclosed comment or raw element with the page. Broken
+    Paragraphs, list items, table cells and options end where HTML says that the next one ends them; other
+    unclosed elements end with their parent, an unclosed comment or raw element with the page. Broken
     tags end at the next ``>``. Character references are decoded; white space runs become one space.
     """
     out: list[tuple[int, str]] = []
@@ -146,7 +166,12 @@ def blocks(page: str) -> list[tuple[int, str]]:
         end_block()
         if closing:
             _close(stack, tag)
-        elif tag not in VOID:
+        else:
+            if tag in ENDS_P:
+                _end(stack, ("p",), CELLS)
+            if tag in ENDS:
+                _end(stack, *ENDS[tag])
+        if not closing and tag not in VOID:
             inside = stack[-1][1]
             # Names do not override an article; an article overrides names around it.
             stack.append((tag, BOILER if inside == BOILER else inside if role is None or inside == NAMED and role == NAMED else role))
@@ -154,6 +179,17 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
+def _end(stack: list[tuple[str, int]], names: Sequence[str], stop: frozenset[str]) -> None:
+    """Ends the outermost open element of these names that is inside the innermost of ``stop``."""
+    last = len(stack)
+    for i in range(len(stack) - 1, 0, -1):
+        if stack[i][0] in stop:
+            break
+        if stack[i][0] in names:
+            last = i
+    del stack[last:]
+
+
 def _close(stack: list[tuple[str, int]], tag: str) -> None:
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] == tag:
@@ -172,7 +208,7 @@ class _Ids(dict):
         """The ids of a page's blocks as one stream."""
         if len(self) > HELD_WORDS:
             self.clear()
-        return np.array([self[w] for t in texts for w in t.split()], dtype=np.uint64)
+        return np.fromiter(map(self.__getitem__, "\n".join(texts).split()), dtype=np.uint64)
 
 
 def packed(texts: Sequence[str]) -> bytes:
@@ -226,7 +262,7 @@ def suffix_classes(tokens: np.ndarray, page: np.ndarray, long: int = LONG) -> tu
         ahead = np.where(np.arange(n) + step < n, np.append(rank[step:], lone[:step])[:n], lone[:n])
         other = np.append(page[step:], np.full(step, -1))[:n] != page
         ahead = np.where(other, lone[:n], ahead)
-        order = np.lexsort((ahead, rank))
+        order = np.argsort(rank * (lone[-1] + 1) + ahead)
         fresh = np.append(True, (rank[order][1:] != rank[order][:-1]) | (ahead[order][1:] != ahead[order][:-1]))
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(fresh) - 1
@@ -261,7 +297,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long substrings frequent in their chunk, with the number of their host's contents; rows are sorted by chunk."""
+    """Long substrings frequent in their chunk: on how many contents of it, and of how many of the host; rows are sorted by chunk."""
     ids, key, streams, seen = _Ids(), None, [], set()
 
     def chunk() -> pa.RecordBatch:
@@ -276,10 +312,11 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = page[order]
         fresh = np.append(True, (rank[1:] != rank[:-1]) | (at[1:] != at[:-1]))[: len(rank)].astype(np.int64)
         n = np.add.reduceat(fresh, first) if len(first) else fresh
-        least = max(LEAST, SHARE * contents) if parts == 1 else SHARE * len(streams)
-        names = window_names(tokens, host)[order[first[n >= least]]]
-        one, two = probes(names, FILTER_BITS)
-        return pa.RecordBatch.from_pydict({"name": names.view(np.int64), "contents": np.full(len(names), contents), "one": one, "two": two})
+        found = n >= (max(LEAST, SHARE * contents) if parts == 1 else SHARE * len(streams))
+        names = window_names(tokens, host)[order[first[found]]]
+        return pa.RecordBatch.from_pydict({
+            "name": names.view(np.int64), "n": n[found], "contents": np.full(len(names), contents), "whole": np.full(len(names), parts == 1)
+        })
 
     for batch in batches:
         for *new, content, texts in zip(*[batch[c].to_pylist() for c in ("host", "part", "parts", "contents", "content")], batch["texts"], strict=True):
@@ -299,54 +336,88 @@ def _occurrences(bitmap_of) -> object:
         bitmap, ids = bitmap_of.value, _Ids()
         for batch in batches:
             found = []
-            for host, roles, data in zip(batch["host"].to_pylist(), batch["roles"].to_pylist(), batch["texts"], strict=True):
-                texts = unpacked(data.as_py())
-                names = window_names(ids.of(texts), host)
+            for host, data in zip(batch["host"].to_pylist(), batch["texts"], strict=True):
+                names = window_names(ids.of(unpacked(data.as_py())), host)
                 one, two = probes(names, FILTER_BITS)
                 at = np.flatnonzero((bitmap[one >> 3] >> (one & 7).astype(np.uint8)) & (bitmap[two >> 3] >> (two & 7).astype(np.uint8)) & 1)
-                before = np.cumsum([0, *np.repeat([role == _wanted(roles) for role in roles], [len(t.split()) for t in texts])])
-                found.append((at, names[at].view(np.int64), before[at + LONG] > before[at]))
+                found.append((at, names[at].view(np.int64)))
             if not found:
                 continue
-            n = [len(at) for at, _, _ in found]
+            n = [len(at) for at, _ in found]
             yield pa.RecordBatch.from_pydict({
                 "row": np.repeat(batch["row"].to_numpy(), n), "content": np.repeat(batch["content"].to_numpy(), n),
-                "at": np.concatenate([at for at, _, _ in found]).astype(np.int32), "name": np.concatenate([names for _, names, _ in found]),
-                "kept": np.concatenate([kept for _, _, kept in found]),
+                "at": np.concatenate([at for at, _ in found]).astype(np.int32), "name": np.concatenate([names for _, names in found]),
             })
 
     return run
 
 
-def unrepeated(texts: Sequence[str], kept: Sequence[bool], starts: Sequence[int]) -> list[str]:
+def _passing(parsed: DataFrame, names: DataFrame) -> DataFrame:
+    """(row, content, at, name) where pages hold one of the names, and of a few others that the filter takes for one."""
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = probes(batch["name"].to_numpy().view(np.uint64), FILTER_BITS)
+            yield pa.RecordBatch.from_pydict({"one": one, "two": two})
+
+    bitmap = parsed.sparkSession.sparkContext.broadcast(seed_filter(names.select("name").mapInArrow(marks, "one long, two long")))
+    return parsed.select("row", "host", "content", "texts").mapInArrow(_occurrences(bitmap), "row long, content long, at int, name long")
+
+
+def unrepeated(texts: Sequence[str], kept: Sequence[bool], starts: Sequence[int], inside: Sequence[int] | None = None) -> list[str]:
     """The kept blocks without the runs of tokens covered by the substrings at ``starts``.
 
-    A substring that crosses blocks takes only whole blocks: the words it shares with the next block by
-    chance stay with that block.
+    Only substrings at ``inside`` (all, if None) cut a run out of a block, the others take whole blocks; so
+    does a substring that crosses blocks: the words it shares with the next block by chance stay with that block.
     """
     words = [t.split() for t in texts]
     of = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    inside, covered = np.zeros(len(of), dtype=bool), np.zeros(len(of), dtype=bool)
+    within, covered = np.zeros(len(of), dtype=bool), np.zeros(len(of), dtype=bool)
     for i in starts:
         covered[i : i + LONG] = True
+    for i in starts if inside is None else inside:
         if of[i] == of[i + LONG - 1]:
-            inside[i : i + LONG] = True
+            within[i : i + LONG] = True
     out, end = [], 0
     for t, w, wanted in zip(texts, words, kept, strict=True):
         begin, end = end, end + len(w)
         if wanted and not covered[begin:end].all():
-            gone = inside[begin:end]
+            gone = within[begin:end]
             out.append(" ".join(x for x, g in zip(w, gone, strict=True) if not g) if gone.any() else t)
     return out
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unrepeated(roles: Sequence[int], texts: Sequence[str], at: np.ndarray, cuts: np.ndarray) -> str:
+    """A page's text; substrings that may cut ``cuts`` are at ``at``."""
+    wanted = _wanted(roles)
+    kept = [r == wanted for r in roles]
+    starts, inside = (at[cuts >= ARTICLE_BLOCKS], at[cuts >= INSIDE]) if wanted == TEXT else (at, None)
+    return "\n".join(unrepeated(texts, kept, starts, inside) if len(starts) else [t for t, k in zip(texts, kept, strict=True) if k])
+
+
+def _keep(held_of) -> object:
+    """Pages looked up in the sorted names, which every task holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (held, cuts), ids = held_of.value, _Ids()
+        for batch in batches:
+            out = []
+            for host, roles, data in zip(batch["host"].to_pylist(), batch["roles"].to_pylist(), batch["texts"], strict=True):
+                texts = unpacked(data.as_py())
+                names = window_names(ids.of(texts), host) if len(held) else held
+                place = np.minimum(np.searchsorted(held, names), len(held) - 1)
+                at = np.flatnonzero(held[place] == names) if len(held) else place
+                out.append(_unrepeated(roles, texts, at, cuts[place[at]]))
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
+
+    return run
+
+
+def _keep_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for roles, texts, at, sure in zip(*[batch[c].to_pylist() for c in ("roles", "texts", "at", "sure")], strict=True):
-            texts, wanted = unpacked(texts), _wanted(roles)
-            kept, starts = [r == wanted for r in roles], sure if wanted == TEXT else at
-            out.append("\n".join(unrepeated(texts, kept, starts) if starts else [t for t, k in zip(texts, kept, strict=True) if k]))
+        for roles, texts, at, cuts in zip(*[batch[c].to_pylist() for c in ("roles", "texts", "at", "cuts")], strict=True):
+            out.append(_unrepeated(roles, unpacked(texts), np.array(at or [], dtype=np.int64), np.array(cuts or [], dtype=np.int64)))
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
@@ -356,7 +427,8 @@ def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url", "html"
     A NULL or empty page, and one without text, has the empty text. Pages with an article or main element
     give that element's blocks, other pages their blocks that are no boilerplate by markup; of either the
     runs covered by substrings of ``LONG`` or more tokens are removed that are found on at least ``SHARE``
-    of the host's contents, ``LEAST`` and in articles ``LEAST_IN_ARTICLES`` of them. Pages with the same
+    of the host's contents, ``LEAST`` of them. In articles it takes ``LEAST_IN_ARTICLES`` contents, and inside a
+    block that is not covered whole ``SHARE_INSIDE`` of the host's. Pages with the same
     text by markup are one content. A NULL URL or one without ``://`` belongs to the empty host. Repeated
     pages each get their row; an empty table gives none. Further columns are ignored.
     """
@@ -370,21 +442,32 @@ def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url", "html"
     # One page of each content is sorted; hosts of one content repeat nothing.
     each = parsed.groupBy("host", "content").agg(F.max("size").alias("size"))
     hosts = each.groupBy("host").agg(F.count(F.lit(1)).alias("contents"), F.sum("size").alias("size")).filter(F.col("contents") > 1)
-    hosts = stored(hosts.select("host", "contents", F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK_TOKENS)).alias("parts")), "page-hosts")
+    parts = F.least(F.ceil(F.col("size") / CHUNK_TOKENS), F.floor(F.col("contents") / CHUNK_CONTENTS))
+    hosts = stored(hosts.select("host", "contents", F.greatest(F.lit(1), parts).alias("parts")), "page-hosts")
     once = parsed.select("host", "content", "texts").mapInArrow(_once, "host string, content long, texts binary").join(sized(hosts), "host")
     dealt = once.withColumn("part", F.pmod(F.xxhash64("content"), F.col("parts"))).select("host", "part", "parts", "contents", "content", "texts")
     dealt = dealt.repartition("host", "part").sortWithinPartitions("host", "part")
-    frequent = dealt.mapInArrow(_frequent, "name long, contents long, one long, two long")
-    frequent = stored(frequent.dropDuplicates(["name"]), "page-substrings")
-
-    bitmap = pages.sparkSession.sparkContext.broadcast(seed_filter(frequent))
-    places = parsed.select("row", "host", "content", "roles", "texts").mapInArrow(_occurrences(bitmap), "row long, content long, at int, name long, kept boolean")
-    places = stored(places.join(frequent.select("name", "contents"), "name"), "page-places")
-    on = places.select("name", "contents", "content").distinct().groupBy("name", "contents").agg(F.count(F.lit(1)).alias("n"))
-    repeated = on.filter((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("contents"))).select("name", "n")
-    sure = F.when(F.col("n") >= LEAST_IN_ARTICLES, F.col("at"))
-    # Only what touches a block that markup leaves; written, so that Spark knows its size.
-    starts = places.filter("kept").join(repeated, "name").groupBy("row").agg(F.collect_list("at").alias("at"), F.collect_list(sure).alias("sure"))
-    starts = stored(starts, "page-starts")
-    judged = parsed.select("row", "page_id", "url", "roles", "texts").join(starts, "row", "left")
-    return judged.mapInArrow(_keep, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    frequent = stored(dealt.mapInArrow(_frequent, "name long, n long, contents long, whole boolean"), "page-substrings")
+
+    # Names of hosts of several chunks are counted over all their pages; one row per name on either side of the join.
+    chunked = stored(frequent.filter(~F.col("whole")).groupBy("name").agg(F.first("contents").alias("contents")), "page-candidates")
+    several = parsed.join(sized(hosts.filter(F.col("parts") > 1).select("host")), "host", "left_semi")
+    on = _passing(several, chunked).select("name", "content").distinct().groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    counted = frequent.filter("whole").select("name", "n", "contents").unionByName(chunked.join(on, "name").select("name", "n", "contents"))
+    n, contents = F.col("n"), F.col("contents")
+    cuts = F.when((n >= LEAST_IN_ARTICLES) & (n >= SHARE_INSIDE * contents), INSIDE).when(n >= LEAST_IN_ARTICLES, ARTICLE_BLOCKS).otherwise(OPEN_BLOCKS)
+    repeated = stored(counted.filter((n >= LEAST) & (n >= SHARE * contents)).select("name", cuts.alias("cuts")), "page-repeated")
+
+    result = "page_id long, url string, text string"
+    if repeated.limit(HELD_NAMES + 1).count() <= HELD_NAMES:
+        held = repeated.toArrow()
+        names = held["name"].to_numpy().view(np.uint64)
+        order = np.argsort(names)
+        shared = pages.sparkSession.sparkContext.broadcast((names[order], held["cuts"].to_numpy().astype(np.int8)[order]))
+        judged = parsed.select("page_id", "url", "host", "roles", "texts").mapInArrow(_keep(shared), result)
+    else:
+        places = _passing(parsed, repeated).join(repeated, "name")
+        starts = stored(places.groupBy("row").agg(F.collect_list(F.struct("at", "cuts")).alias("found")), "page-starts")
+        starts = starts.select("row", F.col("found.at").alias("at"), F.col("found.cuts").alias("cuts"))
+        judged = parsed.select("row", "page_id", "url", "roles", "texts").join(starts, "row", "left").mapInArrow(_keep_joined, result)
+    return judged.withColumn("n_chars", F.length("text").cast("long"))
