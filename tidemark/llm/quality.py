@@ -151,7 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dimensions: in
     seen[list(counted)] = list(counted.values())
     weight = np.log((1 + n) / (1 + seen)).astype(np.float32) + 0.1
 
-    first = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # Labels of absent documents must not take places in the sample.
+    present = labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    first = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = docs.join(F.broadcast(first), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample)
     found = chosen.select("label", "text").mapInArrow(_sampled, "label double, term array<int>, n array<float>").toArrow()
     if not found.num_rows:
