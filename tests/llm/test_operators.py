@@ -1,5 +1,6 @@
 """Each operator against brute force or held-out truth, and its defined results on odd input."""
 
+import itertools
 import random
 import re
 import zlib
@@ -166,6 +167,53 @@ def test_leaks_with_changed_words_are_found(spark):
     assert decontamination.contaminated(df.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_every_placement_of_changed_words_has_a_hit():
+    """Whole items of 10 to 12 words, and overlaps of 13 to 25; a longer one holds one of those that counts too."""
+    for n in range(10, 26):
+        for changed in itertools.combinations(range(n), n // 5):
+            bad = sum(1 << c for c in changed)
+            assert any(
+                not bad & int(mask[::-1], 2) << at for mask in decontamination.MASKS for at in range(n - len(mask) + 1)
+            ), (n, changed)
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    """Held against brute force: every item laid at every place of every text."""
+    pick = random.Random(5)
+    kanji = [chr(0x4E00 + i) for i in range(2000)]
+    vocabulary = [f"v{i}" for i in range(2000)]
+    items = [(n, " ".join(pick.choices(vocabulary, k=n))) for n in range(3, 26)]
+    items += [(100 + n, "".join(pick.choices(kanji, k=n))) for n in (6, 9, 10, 13, 20)]
+    docs = []
+    for item, text in items:
+        words, joint, other = (text.split(), " ", vocabulary) if item < 100 else (list(text), "", kanji)
+        for changed in range(0, len(words) // 5 + 2):
+            new = list(words)
+            for at in pick.sample(range(len(words)), changed):
+                new[at] = "x" if item < 100 else "\u3042"
+            docs.append((len(docs), joint.join([*pick.choices(other, k=50), *new, *pick.choices(other, k=50)])))
+
+    def tokens(text):
+        return re.findall("[\u3040-\u30ff\u4e00-\u9fff]|[a-z0-9]+", text)
+
+    expected = set()
+    for doc, text in docs:
+        d = tokens(text)
+        for item, w in ((i, tokens(t)) for i, t in items):
+            if len(w) < (5 if item < 100 else 10):
+                continue
+            for shift in range(-len(w) + 1, len(d)):
+                same = [0 <= shift + k < len(d) and d[shift + k] == w[k] for k in range(len(w))]
+                least = min(13, len(w))
+                share = 0.8 if len(w) >= 10 else 1
+                spans = ((a, b) for a in range(len(w)) for b in range(a + least, len(w) + 1))
+                if sum(same) >= share * least - 1e-9 and any(sum(same[a:b]) >= share * (b - a) - 1e-9 for a, b in spans):
+                    expected.add((doc, item))
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+    assert len(expected) > 60
+
+
 @given(st.lists(st.booleans(), max_size=30))
 def test_longest_overlap(same):
     same = np.array(same, dtype=bool)
@@ -241,6 +289,13 @@ def test_quality_on_held_out(spark):
     assert all(r.predicted == 1 for r in both if r.quality == 1)
 
 
+def test_labels_of_absent_documents_take_no_place(spark, docs):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    absent = spark.range(10**6, 10**6 + 20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    whole = quality.judge(docs, labels.unionByName(absent.select("doc_id", F.col("quality").cast(labels.schema["quality"].dataType))))
+    assert plain(whole) == plain(quality.judge(docs, labels))
+
+
 def test_language_on_held_out_and_rejection(spark, docs):
     strange = spark.createDataFrame([(9001, "これは日本語の文章です " * 200, None, None, 0)], DOCS)
     found = language_id.identify(docs.union(strange)).join(docs.select("doc_id", "lang"), "doc_id", "left").collect()

@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask picks some positions of a run of ten words and ignores the others, so a run hits although words
-at ignored positions were changed. Seeds of documents meet seeds of benchmark items in an equi-join;
+A mask picks six positions of a run of words and ignores the others, so a run hits although words
+at ignored positions were changed. The masks are chosen so that wherever the changed words lie, each overlap that counts, and each
+whole item of ten to twelve words with two changed, has a hit (``tests/llm`` goes through all placements). An
+item of five to nine words is its own mask: it is found verbatim. Seeds of documents meet seeds of benchmark items in an equi-join;
 around each hit the document's words are laid against the item's, and the overlap counts if at least
 ``share`` of its words agree.
 
@@ -23,12 +25,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, stored, take, without
 
-MASKS = ("1110010111", "1101011011", "1011110101")
+MASKS = ("1101111", "111010011", "1110001011", "10111011", "1100011101", "10111101")
 SPAN = 10
+# Items of these numbers of words are found only verbatim; shorter ones are no evidence.
+SHORT = range(5, SPAN)
 FILTER_BITS = 25
 CONTEXT = 64
 WORDS, SHARE = 13, 0.8
-TOKEN = re.compile(r"\w+")
+# Scripts without spaces between words (Thai to Burmese, Khmer, kana, Chinese characters): each character is a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+CHARACTER, TOKEN, MIXED_TOKEN = re.compile(f"[{UNSPACED}]"), re.compile(r"\w+"), re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 MIX = np.random.default_rng(3).integers(1, 2**63, SPAN, dtype=np.uint64) | np.uint64(1)
 HELD_IDS = 500_000
 
@@ -43,22 +49,28 @@ class TokenIds(dict):
     def of(self, text: str) -> np.ndarray:
         if len(self) > HELD_IDS:
             self.clear()
-        return np.array([self[w] for w in TOKEN.findall(text.lower())], dtype=np.uint64)
+        token = TOKEN if text.isascii() or not CHARACTER.search(text) else MIXED_TOKEN
+        return np.fromiter(map(self.__getitem__, token.findall(text.lower())), dtype=np.uint64)
 
 
-def seeds(ids: np.ndarray) -> list[np.ndarray]:
+def whole(words: int) -> str:
+    """The mask of an item that is found as a whole."""
+    return "1" * words
+
+
+def seeds(ids: np.ndarray, masks: Sequence[str] = MASKS) -> list[np.ndarray]:
     """For each mask the seed of every start; runs of one repeated seed keep their two ends.
 
     Dropped starts are marked 0. A repetitive text against a repetitive item would else hit at every
     pair of positions; aligning ends with ends already gives the longest overlap.
     """
     out = []
-    n = len(ids) - SPAN + 1
-    for number, mask in enumerate(MASKS):
+    for mask in masks:
+        n = len(ids) - len(mask) + 1
         if n <= 0:
             out.append(np.empty(0, dtype=np.uint64))
             continue
-        seed = np.full(n, number + 1, dtype=np.uint64)
+        seed = np.full(n, int("1" + mask, 2), dtype=np.uint64)
         for k, kept in enumerate(mask):
             if kept == "1":
                 seed += ids[k : k + n] * MIX[k]
@@ -81,13 +93,16 @@ def _item_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ids = TokenIds()
     for batch in batches:
         tokens = [ids.of(t or "").view(np.int64) for t in batch["text"]]
-        yield pd.DataFrame({"item_id": batch["item_id"].to_numpy(), "item_tokens": tokens})
+        # A few characters of a script without spaces are a word or two, not an item.
+        short = [len(w) in SHORT and not CHARACTER.search(t) for w, t in zip(tokens, batch["text"], strict=True)]
+        yield pd.DataFrame({"item_id": batch["item_id"].to_numpy(), "item_tokens": tokens, "short": short})
 
 
 def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for item, tokens in zip(batch["item_id"], batch["item_tokens"], strict=True):
-            for found in seeds(np.asarray(tokens, dtype=np.int64).view(np.uint64)):
+        for item, tokens, short in zip(batch["item_id"], batch["item_tokens"], batch["short"], strict=True):
+            masks = [whole(len(tokens))] if short else MASKS if len(tokens) >= SPAN else []
+            for found in seeds(np.asarray(tokens, dtype=np.int64).view(np.uint64), masks):
                 at = np.flatnonzero(found)
                 one, two = probes(found[at], FILTER_BITS)
                 yield pd.DataFrame({"item_id": item, "q": at, "seed": found[at].view(np.int64), "one": one, "two": two})
@@ -105,21 +120,21 @@ def seed_filter(item_seeds: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _passing(ids: np.ndarray, same: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and seeds that the filter lets through; ``same``: start and end lie in one document."""
+def _passing(ids: np.ndarray, doc: np.ndarray, bitmap: np.ndarray, masks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and seeds that the filter lets through; ``doc`` numbers each word's document."""
     starts, found = [], []
-    for seed in seeds(ids):
+    for mask, seed in zip(masks, seeds(ids, masks), strict=True):
         one, two = probes(seed, FILTER_BITS)
         at = np.flatnonzero((bitmap[one >> 3] >> (one & 7).astype(np.uint8)) & 1)
         two = two[at]
         at = at[((bitmap[two >> 3] >> (two & 7).astype(np.uint8)) & 1).astype(bool)]
-        at = at[same[at] & (seed[at] != 0)]
+        at = at[(doc[at] == doc[at + len(mask) - 1]) & (seed[at] != 0)]
         starts.append(at)
         found.append(seed[at])
     return np.concatenate(starts), np.concatenate(found)
 
 
-def _scan(bitmap_of) -> object:
+def _scan(bitmap_of, masks: Sequence[str]) -> object:
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("segment", pa.int64()),
                         ("tokens", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())), ("seeds", pa.list_(pa.int64()))])
 
@@ -132,8 +147,7 @@ def _scan(bitmap_of) -> object:
                 sizes = np.array([len(x) for x in each])
                 flat = np.concatenate(each)
                 doc = np.repeat(np.arange(len(each)), sizes)
-                n = max(0, len(flat) - SPAN + 1)
-                at, found = _passing(flat, doc[:n] == doc[SPAN - 1 : SPAN - 1 + n], bitmap)
+                at, found = _passing(flat, doc, bitmap, masks)
                 order = np.argsort(at, kind="stable")
                 at, found = at[order], found[order]
                 if not len(at):
@@ -195,17 +209,22 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, text_hash, item_id, overlap, matched.
 
-    Words are runs of letters, digits and underscores, compared in lower case. An overlap has at least
+    Words are runs of letters, digits and underscores, compared in lower case, and single characters in scripts
+    without spaces. An overlap has at least
     ``least`` words (the whole item if that is shorter) of which at least ``share`` agree. Items of equal
-    words are one class, named by the smallest item_id. Items under ten words are no evidence and never
+    words are one class, named by the smallest item_id. Items of five to nine words are found only verbatim;
+    items under five words, or under ten characters of a script without spaces, are no evidence and never
     found; NULL and empty texts hold none. Repeated documents and documents with a NULL id are found by
     id and text together. Empty tables give no rows; further columns are ignored.
     """
     doc_id, text = columns
     spark = docs.sparkSession
     items = take(benchmark, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = items.mapInPandas(_item_tokens, "item_id long, item_tokens array<long>")
-    items = stored(items.groupBy("item_tokens").agg(F.min("item_id").alias("item_id")).select("item_id", "item_tokens"), "benchmark-items")
+    items = items.mapInPandas(_item_tokens, "item_id long, item_tokens array<long>, short boolean")
+    items = items.groupBy("item_tokens").agg(F.min("item_id").alias("item_id"), F.max("short").alias("short"))
+    items = stored(items.select("item_id", "item_tokens", "short"), "benchmark-items")
+    lengths = items.filter("short").select(F.size("item_tokens").alias("n")).distinct().orderBy("n").collect()  # at most len(SHORT)
+    masks = [*MASKS, *[whole(r.n) for r in lengths]]
     item_seeds = stored(items.mapInPandas(_item_seeds, "item_id long, q int, seed long, one long, two long"), "benchmark-seeds")
     bitmap = spark.sparkContext.broadcast(seed_filter(item_seeds))
 
@@ -214,7 +233,7 @@ def contaminated(
     )
     segments = stored(
         picked.mapInArrow(
-            _scan(bitmap), "doc_id long, text_hash long, segment long, tokens array<long>, at array<int>, seeds array<long>"
+            _scan(bitmap, masks), "doc_id long, text_hash long, segment long, tokens array<long>, at array<int>, seeds array<long>"
         ),
         "benchmark-segments",
     )
@@ -226,7 +245,7 @@ def contaminated(
         .select("segment", "item_id", (F.col("at") - F.col("q")).alias("shift"))
         .distinct()
     )
-    laid = shifts.join(segments.drop("at", "seeds").dropDuplicates(["segment"]), "segment").join(items, "item_id")
+    laid = shifts.join(segments.drop("at", "seeds").dropDuplicates(["segment"]), "segment").join(items.drop("short"), "item_id")
     found = laid.select("doc_id", "text_hash", "tokens", "item_id", "item_tokens", "shift").mapInPandas(
         _verify(share, least), "doc_id long, text_hash long, item_id long, overlap int, matched int"
     )
