@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import GateFailed
+from tidemark.operators.hotkeys import HotKeys
 from tidemark.schemas import QUALITY_SOURCE, TELEMETRY_SOURCE
 from tidemark.sources import files, fixtures, messages, tables
 from tidemark.streaming import bronze
@@ -47,6 +48,11 @@ def test_manifest_has_one_formula_for_all_sizes(spark, tmp_path):
         lines(place / "a" / "one.jsonl", 3)
         lines(place / "two.jsonl", 200)
         (place / "none.jsonl").write_text("")
+        (place / "a" / "none.jsonl").write_text("")
+        (place / "a" / "_none.jsonl").write_text("")
+        (place / "_hidden").mkdir()
+        (place / "_hidden" / "none.jsonl").write_text("")
+        (place / "other.txt").write_text("")
 
     def manifest(place):
         found = files.file_manifest(spark, str(place), "*.jsonl", block_bytes=1000)
@@ -58,15 +64,20 @@ def test_manifest_has_one_formula_for_all_sizes(spark, tmp_path):
         blocks = [content[i : i + 1000] for i in range(0, len(content), 1000)]
         written = "\n".join(hashlib.sha256(b).hexdigest() for b in blocks)
         assert (row.bytes, row.blocks_sha256) == (len(content), hashlib.sha256(written.encode()).hexdigest())
-    assert set(rows) == {"a/one.jsonl", "two.jsonl"} and rows["two.jsonl"].bytes > 3000
+    assert set(rows) == {"a/one.jsonl", "two.jsonl", "none.jsonl", "a/none.jsonl"} and rows["two.jsonl"].bytes > 3000
     # Equal files in two folders do not differ, at any size; reordered lines do.
     assert files.manifest_differences(manifest(root), manifest(other)).count() == 0
     assert files.dataset_digest(manifest(root), str(root)).first() == files.dataset_digest(manifest(other), str(other)).first()
     text = (other / "two.jsonl").read_text().splitlines(keepends=True)
     (other / "two.jsonl").write_text("".join(reversed(text)))
     lines(other / "three.jsonl", 1)
+    # A lost empty file and an emptied file are differences.
+    (other / "a" / "none.jsonl").unlink()
+    (other / "a" / "one.jsonl").write_text("")
     changed = files.manifest_differences(manifest(root), manifest(other)).orderBy("path").collect()
-    assert [(r.path, r.expected_digest is None) for r in changed] == [("three.jsonl", True), ("two.jsonl", False)]
+    assert [(r.path, r.expected_digest is None, r.found_digest is None) for r in changed] == [
+        ("a/none.jsonl", False, True), ("a/one.jsonl", False, False), ("three.jsonl", True, False), ("two.jsonl", False, False),
+    ]
 
 
 def test_replay_emits_exactly_the_first_messages_in_order(spark, tmp_path):
@@ -78,6 +89,31 @@ def test_replay_emits_exactly_the_first_messages_in_order(spark, tmp_path):
     assert [json.loads(r.value)["event_id"] for r in sent] == [f"E{i:03d}" for i in range(7)]
 
 
+@pytest.mark.parametrize("limit", [1, 3_000, 7_450, 9_000])
+def test_replay_cuts_large_blocks_and_counts_on(spark, limit):
+    """A day with most of the lines is ranked in many ranges; ordinals are those of one global sort."""
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") < 1000, 1).when(F.col("id") < 8000, 2).otherwise(3).alias("day"),
+        (F.col("id") * F.col("id")).alias("line"), F.col("id").alias("nth"),
+    ).repartition(7, "nth")
+    found = messages.first_messages(rows, limit, ["day"], "line", HotKeys(rows=2_000, slice_rows=200))
+    assert found.columns == ["day", "line", "nth", "ordinal"]
+    assert sorted((r.nth, r.ordinal) for r in found.collect()) == [(i, i) for i in range(limit)]
+
+
+def test_jobs_name_brokers_topic_and_rate(spark, tmp_path, monkeypatch):
+    from tidemark.plans import jobs, lakehouse
+
+    asked = []
+    monkeypatch.setattr(messages, "kafka_stream", lambda spark, *given: asked.append(given) or "stream")
+    monkeypatch.setattr(lakehouse, "bronze_stream", lambda run, stream, origin: asked.append((stream, origin)))
+    (tmp_path / "jaas").write_text("login required;\n")
+    jobs.main(["bronze-stream", "--servers", "b1:9093", "--topic", "t", "--rate", "70", "--jaas-file", str(tmp_path / "jaas")])
+    assert asked == [("b1:9093", "t", "login required;", 70), ("stream", "eventhubs://t")]
+    jobs.main(["bronze-stream", "--servers", "b1:9093"])
+    assert asked[2] == ("b1:9093", "quality-telemetry", None, messages.MESSAGES_PER_TRIGGER)
+
+
 def test_replay_refuses_too_few_or_malformed_messages(spark, tmp_path):
     source = messages.text_lines(spark, lines(tmp_path / "a.jsonl", 4))
     with pytest.raises(GateFailed, match="4 messages but 5"):

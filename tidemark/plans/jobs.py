@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 from datetime import UTC, datetime
+from pathlib import Path
 
 from tidemark import schemas
 from tidemark.operators import comparison, content, contracts
@@ -22,6 +23,10 @@ def parser() -> argparse.ArgumentParser:
     arguments.add_argument("--format", default="parquet")
     arguments.add_argument("--incident-mode", choices=("true", "false"), default="false")
     arguments.add_argument("--messages", type=int, default=20_000)
+    arguments.add_argument("--servers", default="", help="Kafka brokers; without them messages are files below --state")
+    arguments.add_argument("--topic", default="quality-telemetry")
+    arguments.add_argument("--jaas-file", default="", help="file with the SASL JAAS configuration of the brokers")
+    arguments.add_argument("--rate", type=int, default=None, help="messages (of a broker) or files of a micro-batch")
     arguments.add_argument("--expected-files", type=int, default=6)
     arguments.add_argument("--expected-rows", type=int, default=30_000)
     arguments.add_argument("--row-count", type=int, default=5_000_000)
@@ -46,6 +51,17 @@ def _verify(run, args):
     print(json.dumps(files.verify_landing(landed, args.expected_files, args.expected_rows)))
 
 
+def _replay(run, args):
+    receipt = lakehouse.replay_messages(run, args.messages, args.topic, args.servers or None)
+    print(json.dumps(receipt.first().asDict()))
+
+
+def _stream(run, args):
+    jaas = Path(args.jaas_file).read_text().strip() if args.jaas_file else None
+    stream = lakehouse.message_stream(run, args.topic, args.servers or None, jaas, args.rate)
+    lakehouse.bronze_stream(run, stream, f"eventhubs://{args.topic}")
+
+
 def _gate(run, args):
     for row in lakehouse.quality_gate(run).collect():  # one row per expectation
         print(json.dumps(row.asDict()))
@@ -74,8 +90,8 @@ STAGES = {
     "preflight": _preflight,
     "verify-landing": _verify,
     "bronze-batch": lambda run, args: lakehouse.bronze_batch(run, args.incident_mode == "true"),
-    "replay-messages": lambda run, args: lakehouse.replay_messages(run, args.messages),
-    "bronze-stream": lambda run, args: lakehouse.bronze_stream(run),
+    "replay-messages": _replay,
+    "bronze-stream": _stream,
     "silver": lambda run, args: lakehouse.silver_batches(run),
     "quality-gate": _gate,
     "gold": lambda run, args: lakehouse.publish_gold(run),

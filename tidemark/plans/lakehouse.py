@@ -78,15 +78,24 @@ def bronze_batch(run: Run, incident: bool = False) -> None:
     run.publish(log, "bronze.batch_change_events")
 
 
-def replay_messages(run: Run, limit: int) -> DataFrame:
-    """Exactly ``limit`` messages from the source into the run's message folder."""
+def replay_messages(run: Run, limit: int, topic: str = "quality-telemetry", servers: str | None = None) -> DataFrame:
+    """Exactly ``limit`` messages from the source to the brokers, or into the run's message folder if none are named."""
     lines = messages.text_lines(run.spark, f"{run.source}/messages/sensor_messages")
-    return messages.replay(lines, limit, "quality-telemetry", f"{run.state}/messages")
+    return messages.replay(lines, limit, topic, f"{run.state}/messages", servers=servers)
+
+
+def message_stream(
+    run: Run, topic: str = "quality-telemetry", servers: str | None = None, jaas: str | None = None, rate: int | None = None
+) -> DataFrame:
+    """The topic at the brokers, ``rate`` messages a micro-batch; without brokers the run's message folder, ``rate`` files each."""
+    if servers:
+        return messages.kafka_stream(run.spark, servers, topic, jaas, rate or messages.MESSAGES_PER_TRIGGER)
+    return messages.message_file_stream(run.spark, f"{run.state}/messages", rate or 1)
 
 
 def bronze_stream(run: Run, stream: DataFrame | None = None, origin: str = "eventhubs://quality-telemetry"):
-    """Append all available messages to telemetry Bronze; give a Kafka stream to read a broker."""
-    source = stream if stream is not None else messages.message_file_stream(run.spark, f"{run.state}/messages")
+    """Append all available messages to telemetry Bronze; ``message_stream`` reads a broker too."""
+    source = stream if stream is not None else message_stream(run)
     parsed = bronze.bronze_messages(source, run.run_id, origin)
     return bronze.append_to_table(
         parsed, "bronze.sensor_telemetry_raw", f"{run.state}/checkpoints/bronze-telemetry", run.table_format

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 from collections.abc import Iterator, Sequence
 
@@ -118,8 +119,9 @@ def file_manifest(
     """Every file under ``root``: path, bytes and ``blocks_sha256``.
 
     That is the SHA-256 of the SHA-256 digests of the file's blocks, in order, one a line: the same formula
-    for every size. Blocks, not files, are the unit of work, so a large file is read by many tasks and no
-    task holds more than a block. Empty files are not listed: Spark's scans skip them.
+    for every size; an empty file has no blocks. Blocks, not files, are the unit of work, so a large file is read by
+    many tasks and no task holds more than a block. Files and folders whose names start with ``_`` or ``.`` are left
+    out, as in all of Spark's scans.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
     # Without the content column the scan only lists.
@@ -136,14 +138,52 @@ def file_manifest(
 
     found = blocks.mapInPandas(hashed, "path STRING, bytes BIGINT, start BIGINT, digest STRING")
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("start", "digest"))), lambda block: block["digest"])
-    return found.groupBy("path", "bytes").agg(digest(F.array_join(in_order, "\n")).alias("blocks_sha256"))
+    full = found.groupBy("path", "bytes").agg(digest(F.array_join(in_order, "\n")).alias("blocks_sha256"))
+    empty = empty_files(spark, root, pattern).select("path", F.lit(0).cast("bigint").alias("bytes"), digest(F.lit("")).alias("blocks_sha256"))
+    return full.unionByName(empty)
 
 
-def _block_sha256(path: str, start: int, size: int) -> str:
+def empty_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Paths of the files without bytes under ``root``, which Spark's scans skip.
+
+    The driver lists the root folder only; each folder in it is listed by a task. ``pattern`` is matched against the
+    file's name as in a shell.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
+    system, place = _opened(base)
+
+    def paths(system: fs.FileSystem, place: str, below: str, deep: bool) -> list[str]:
+        listed = system.get_file_info(fs.FileSelector(f"{place}{below}", recursive=deep))
+        names = [info.path[len(place.rstrip("/")) :] for info in listed if info.type == fs.FileType.File and not info.size]
+        return [base + n for n in names if _shown(n) and fnmatch.fnmatchcase(n.rsplit("/", 1)[-1], pattern)]
+
+    folders = [i.base_name for i in system.get_file_info(fs.FileSelector(place)) if i.type == fs.FileType.Directory and _shown(i.base_name)]
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, place = _opened(base)
+        for rows in batches:
+            yield pd.DataFrame({"path": [p for folder in rows["folder"] for p in paths(system, place, f"/{folder}", True)]}, dtype=object)
+
+    below = spark.createDataFrame([(f,) for f in folders], "folder STRING")
+    below = below.repartition(max(1, min(len(folders), 4 * spark.sparkContext.defaultParallelism)), "folder")
+    here = spark.createDataFrame([(p,) for p in paths(system, place, "", False)], "path STRING")
+    return here.unionByName(below.mapInPandas(listed, "path STRING"))
+
+
+def _shown(path: str) -> bool:
+    """Spark's scans leave out names that start with _ or . (but partition folders such as _a=1)."""
+    return not any(n.startswith(".") or n.startswith("_") and "=" not in n for n in path.split("/") if n)
+
+
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
-        system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        system, place = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def _block_sha256(path: str, start: int, size: int) -> str:
+    system, place = _opened(path)
     with system.open_input_file(place) as file:
         return hashlib.sha256(file.read_at(size, start)).hexdigest()
 

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import GateFailed
+from tidemark.operators.hotkeys import NAME, HotKeys, name_rows
+from tidemark.operators.selection import CUTS, quantile_cuts, range_of
 from tidemark.schemas import MESSAGE
 
 MESSAGES_PER_TRIGGER = 5000
+MESSAGES_PER_FILE, LEAST_FILES = 1_000_000, 4
 
 
 def kafka_stream(
@@ -64,20 +67,26 @@ def is_message(value: Column, required: str = "event_id") -> Column:
     return F.coalesce(F.array_contains(members, required), F.lit(False))
 
 
-def first_messages(lines: DataFrame, limit: int, block: list[str], within: str) -> DataFrame:
-    """The first ``limit`` lines in (block, within) order with their ordinal from 0.
+def first_messages(lines: DataFrame, limit: int, block: list[str], within: str, hot: HotKeys | None = None) -> DataFrame:
+    """The first ``limit`` lines in (block, within) order with their ordinal from 0; ``within`` is unique in a block.
 
-    Blocks are numbered by a running count over one row per block; rows are ranked inside their
-    block only. Nothing but the block summary is ordered globally.
+    Large blocks are cut into ranges of about ``hot.slice_rows`` lines by sampled quantiles of ``within``. Ranges are numbered
+    by a running count over one row per range; lines are ranked inside their range only, and only in ranges
+    that start before the limit. Nothing but the summary of ranges is ordered globally.
     """
-    sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per file block: the summary of 100 TB in 128 MB blocks is under a million rows.
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    hot = hot or HotKeys()
+    named = name_rows(lines, block)
+    cuts = quantile_cuts(named, block, [within], hot)
+    ranged = named.join(F.broadcast(cuts), NAME, "left").withColumn("_range", range_of([within])).drop(NAME, CUTS)
+    place = [*block, "_range"]
+    sizes = ranged.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per file block or million lines: the summary of 100 TB in 128 MB blocks is under a million rows.
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     wanted = starts.filter(F.col("_start") < limit)
-    inside = F.row_number().over(Window.partitionBy(*block).orderBy(within)) - 1
-    placed = lines.join(wanted, block).withColumn("ordinal", F.col("_start") + inside)
-    return placed.filter(F.col("ordinal") < limit).drop("_start")
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy(within)) - 1
+    placed = ranged.join(wanted, place).withColumn("ordinal", F.col("_start") + inside)
+    return placed.filter(F.col("ordinal") < limit).drop("_start", "_range")
 
 
 def check_replay(messages: DataFrame, limit: int, required: str = "event_id") -> None:
@@ -110,20 +119,22 @@ def replay(
     target: str,
     block: list[str] | None = None,
     within: str = "line",
-    files: int = 4,
+    files: int | None = None,
     partitions: int = 2,
     servers: str | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Emit exactly ``limit`` messages in source order to Kafka or to message files; returns a receipt row.
 
     All lines are checked before the first is emitted. A file holds a range of ordinals, so reading
-    files in order replays the source order.
+    files in order replays the source order. Without a number of files there is one per ``MESSAGES_PER_FILE``.
     """
     if limit <= 0:
         raise ValueError("message limit must be positive")
     if not topic.strip():
         raise ValueError("topic is required")
-    chosen = first_messages(lines, limit, block or ["file", "block"], within)
+    chosen = first_messages(lines, limit, block or ["file", "block"], within, hot)
+    files = files or max(LEAST_FILES, -(-limit // MESSAGES_PER_FILE))
     check_replay(chosen, limit)
     messages = as_messages(chosen, topic, partitions)
     spark = lines.sparkSession
