@@ -303,6 +303,67 @@ def test_language_on_held_out_and_rejection(spark, docs):
     assert {r.doc_id for r in found if r.rejected} == {9001}
 
 
+SCRIPTS = {
+    "a": "The cat and the hat that sat on a mat", "b": "\U00020000\U00021000\U00020000 \U00022000\U00021000", "c": "これは日本語の文章です それは何ですか",
+    "d": "кот и шляпа на коврике кот", "e": "the\u0301 ünïcode ca\u0142y tekst",
+}
+
+
+def kneser_ney(texts):
+    """Interpolated Kneser-Ney of characters as a function (context of three, character) by plain dictionaries, and its alphabet."""
+    counts = {k: {} for k in range(1, 5)}
+    for text in texts:
+        for word in language_id.LETTERS.findall(text.lower()):
+            w = "\x02\x02\x02" + word + "\x03"
+            for i in range(3, len(w)):
+                counts[4][w[i - 3 : i + 1]] = counts[4].get(w[i - 3 : i + 1], 0) + 1
+    for k in (3, 2, 1):
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] = counts[k].get(gram[1:], 0) + 1
+
+    def p(context, char, floor):
+        value = floor
+        for k in range(1, 5):
+            have, before = counts[k], context[4 - k :]
+            ones, twos = (sum(n == m for n in have.values()) for m in (1, 2))
+            off = ones / (ones + 2 * twos) if ones and twos else 0.75
+            follow = {g: n for g, n in have.items() if g[:-1] == before}
+            if follow:
+                value = (max(follow.get(before + char, 0) - off, 0) + off * len(follow) * value) / sum(follow.values())
+        return value
+
+    return p, set(counts[1])
+
+
+def test_language_entropies_match_plain_kneser_ney(spark):
+    rows = [(lang, text) for lang, text in SCRIPTS.items() for _ in range(2)]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    plain_models = {lang: kneser_ney([text, text]) for lang, text in SCRIPTS.items()}
+    alphabet = set().union(*(own for _, own in plain_models.values()))
+    assert model.langs == sorted(SCRIPTS) and model.floor == pytest.approx(1 / (len(alphabet) + 1))
+    words = sorted({w for t in SCRIPTS.values() for w in language_id.LETTERS.findall(t.lower())} | {"hat", "\U00021000\U00021000", "кошка", "語", "zzz"})
+    total, chars = model.entropies(words)
+    for i, word in enumerate(words):
+        w = "\x02\x02\x02" + word + "\x03"
+        assert chars[i] == len(word) + 1
+        for j, lang in enumerate(model.langs):
+            cost = -sum(np.log(plain_models[lang][0](w[k - 3 : k], w[k], model.floor)) for k in range(3, len(w)))
+            assert total[i, j] == pytest.approx(cost, rel=1e-5)
+    # No distribution exceeds one: known contexts, foreign ones, and characters beyond 16 bits.
+    for context in ("\x02\x02\x02", "\x02\x02t", "\x02\U00020000\U00021000", "これは"):
+        for p, _ in plain_models.values():
+            assert sum(p(context, c, model.floor) for c in alphabet) <= 1 + 1e-9
+
+
+@pytest.mark.parametrize("entries", [0, 300])
+def test_language_is_the_same_whatever_is_broadcast(spark, entries):
+    extra = spark.createDataFrame([(100 + i, t, lang, None, 0) for i, (lang, t) in enumerate(SCRIPTS.items())] * 2, DOCS)
+    rows = extra.union(spark.createDataFrame(ODD, DOCS))
+    assert plain(language_id.identify(rows, entries=entries)) == plain(language_id.identify(rows))
+    fitted = language_id.fit(rows.filter("lang IS NOT NULL").select("lang", "text"), entries)
+    assert fitted.rest is not None and sum(len(g.values) for g in fitted.held.values()) <= entries
+
+
 def test_language_model_base_is_exact_and_model_normalised(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)), None] for i, t in rows}

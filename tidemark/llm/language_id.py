@@ -2,9 +2,16 @@
 
 Each language has its own 4-gram model over the characters of words, counted over all its training
 texts; lower orders count the different characters that precede them. Probabilities lie in sorted
-arrays of gram hashes of bounded size, one column per language. A text gets the language of the lowest
-cross-entropy per character, and is rejected if that entropy is beyond what training texts of the
-language show.
+arrays of 64-bit gram hashes, each with the languages that know the gram. Grams are counted and joined as
+themselves (21 bits a character); two of a hundred million different ones share a hash in one corpus of some
+four thousand.
+
+The most frequent grams, ``HELD_ENTRIES`` entries at most, are broadcast. If there are more, the rest stays a
+table: documents are cut into slices of bounded size, each slice asks for the grams it misses by an equi-join, and is
+judged with what came back. The result is the same, whatever the bound.
+
+A text gets the language of the lowest cross-entropy per character, and is rejected if that entropy is beyond what
+training texts of the language show.
 """
 
 from __future__ import annotations
@@ -17,37 +24,55 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_remainder, slices, stored, take, without
+from tidemark.llm.common import SLICE_CHARS, crc_remainder, slices, stored, take, without
 
 ORDER = 4
-# A prime; grams are stored under their remainder, so arrays stay bounded whatever the corpus holds.
-SLOTS = 1_048_573
+CHAR_BITS = 21
+ONE_CHAR = (1 << CHAR_BITS) - 1
 LETTERS = re.compile(r"[^\W\d_]+")
 START, END = "\x02", "\x03"
 HELD_WORDS = 200_000
+# A gram's probability under one language takes 6 bytes, a gram 16 more: some 100 MB in every Python worker.
+HELD_ENTRIES = 1 << 23
+CELLS = 2_000_000
 CERTAIN_CHARS = 30
 FAR = 8.0
 UNDETERMINED = "und"
+# Kinds of model rows: 1 to ORDER are a gram's discounted share, ORDER + k the weight that a context of order k gives to the lower order.
+MISSING = {kind: 0.0 if kind <= ORDER else 1.0 for kind in range(1, 2 * ORDER + 1)}
 
 
-def _grams(words: Sequence[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """16-bit characters of every gram (grams x order), and each gram's word."""
-    text = "".join(START * (order - 1) + w + END for w in words)
+def _grams(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of every gram of full order (grams x order), and each gram's word."""
+    text = "".join(START * (ORDER - 1) + w + END for w in words)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    codes = np.where(codes > 0xFFFF, 0xF000 | (codes & 0xFFF), codes)
     at = np.flatnonzero(codes != ord(START))
     word = np.concatenate([[0], np.cumsum(codes == ord(END))])[at]
-    return np.stack([codes[at - k] for k in range(order - 1, -1, -1)], axis=1), word
+    return np.stack([codes[at - k] for k in range(ORDER - 1, -1, -1)], axis=1), word
 
 
-def _pack(chars: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(chars), dtype=np.int64)
+def _packed(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most four characters as two numbers: all but the last two, and the last two."""
+    halves = [np.zeros(len(chars), dtype=np.int64), np.zeros(len(chars), dtype=np.int64)]
     for k in range(chars.shape[1]):
-        out = (out << 16) | chars[:, k]
-    return out
+        half = int(chars.shape[1] - k <= 2)
+        halves[half] = (halves[half] << CHAR_BITS) | chars[:, k]
+    return halves[0], halves[1]
+
+
+def _hashed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """64 bits of a gram; of grams that differ in their last two characters only, always different ones."""
+
+    def mix(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+    return mix(mix(high.astype(np.uint64) + np.uint64(1)) + low.astype(np.uint64))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,9 +81,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush(lang: str, words: Counter) -> pa.RecordBatch:
         listed = list(words)
         chars, word = _grams(listed)
-        grams, place = np.unique(_pack(chars), return_inverse=True)
-        n = np.bincount(place, np.array([words[w] for w in listed], dtype=float)[word], len(grams)).astype(np.int64)
-        return pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(grams), pa.string()), "gram": grams, "n": n})
+        high, low = _packed(chars)
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(high) != 0) | (np.diff(low) != 0)]))
+        n = np.add.reduceat(np.array([words[w] for w in listed], dtype=np.int64)[word[order]], first)
+        return pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(first), pa.string()), "high": high[first], "low": low[first], "n": n})
 
     for batch in batches:
         held: dict[str, Counter] = {}
@@ -73,88 +101,169 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class Model:
-    """Per order sorted slots with a row per slot and a column per language.
+class Grams:
+    """Sorted gram hashes; the languages that know gram i, and their values, lie from start[i] to start[i + 1]."""
+
+    keys: np.ndarray
+    start: np.ndarray
+    langs: np.ndarray
+    values: np.ndarray
+
+    def fill(self, out: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Writes the values of known grams (rows) under their languages (columns); says which grams are known."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        known = self.keys[at] == hashes
+        rows = np.flatnonzero(known)
+        begin = self.start[at[rows]]
+        many = self.start[at[rows] + 1] - begin
+        entry = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        out[np.repeat(rows, many), self.langs[entry]] = self.values[entry]
+        return known
+
+
+def _tables(rows: pa.Table) -> dict[int, Grams]:
+    """Model rows (kind, high, low, langs, values) as arrays, per kind."""
+    out = {}
+    kinds = rows["kind"].to_numpy()
+    for kind in np.unique(kinds):
+        part = rows.filter(pa.array(kinds == kind)).combine_chunks()
+        hashes = _hashed(part["high"].to_numpy(), part["low"].to_numpy())
+        order = np.argsort(hashes)
+        part = part.take(pa.array(order))
+        langs, values = part["langs"].combine_chunks(), part["values"].combine_chunks()
+        start = np.concatenate([[0], np.cumsum(langs.value_lengths().to_numpy())])
+        out[int(kind)] = Grams(hashes[order], start, langs.flatten().to_numpy().astype(np.uint16), values.flatten().to_numpy().astype(np.float32))
+    return out
 
-    direct: discounted share of a gram; passed: the weight its context gives to the lower order.
-    """
+
+@dataclass
+class Model:
+    """Languages, the probability of any character, and the grams at hand; ``rest`` are the others, as a table (None: there are none)."""
 
     langs: list[str]
     floor: float
-    direct: list[tuple[np.ndarray, np.ndarray]]
-    passed: list[tuple[np.ndarray, np.ndarray]]
-
-    @staticmethod
-    def _look(table: tuple[np.ndarray, np.ndarray], slots: np.ndarray, missing: float) -> np.ndarray:
-        keys, values = table
-        if not len(keys):
-            return np.full((len(slots), values.shape[1]), missing)
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        return np.where((keys[at] == slots)[:, None], values[at], missing)
-
-    def entropies(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    held: dict[int, Grams]
+    rest: DataFrame | None = None
+
+    def shipped(self) -> Model:
+        return Model(self.langs, self.floor, self.held)
+
+    def _wanted(self, words: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        chars, _ = _grams(words)
+        for k in range(1, ORDER + 1):
+            yield k, *_packed(chars[:, ORDER - k :])
+            yield ORDER + k, *_packed(chars[:, ORDER - k : ORDER - 1])
+
+    def missed(self, words: Sequence[str]) -> pd.DataFrame:
+        """Different (kind, high, low) of the words that are not at hand."""
+        out = []
+        for kind, high, low in self._wanted(words):
+            table = self.held.get(kind)
+            found = np.isin(_hashed(high, low), table.keys) if table else np.zeros(len(high), dtype=bool)
+            out.append(pd.DataFrame({"kind": np.int32(kind), "high": high[~found], "low": low[~found]}).drop_duplicates())
+        return pd.concat(out)
+
+    def entropies(self, words: Sequence[str], further: dict[int, Grams] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Per word its negative log-probability under each language, and its number of characters."""
         n = len(self.langs)
         total, chars_of = np.zeros((len(words), n)), np.zeros(len(words))
-        for at in range(0, len(words), 20_000):
-            chars, word = _grams(words[at : at + 20_000])
-            p = np.full((len(chars), n), self.floor)
-            for k in range(1, ORDER + 1):
-                gram, context = _pack(chars[:, ORDER - k :]), _pack(chars[:, ORDER - k : ORDER - 1])
-                p = self._look(self.direct[k - 1], gram % SLOTS, 0.0) + self._look(self.passed[k - 1], context % SLOTS, 1.0) * p
+        for at, end in _runs(words, CELLS // n):
+            part = words[at:end]
+            _, word = _grams(part)
+            p = np.full((len(word), n), self.floor)
+            values = {}
+            for kind, high, low in self._wanted(part):
+                values[kind] = out = np.full((len(word), n), MISSING[kind])
+                hashes = _hashed(high, low)
+                for tables in (self.held, further or {}):
+                    if kind in tables:
+                        tables[kind].fill(out, hashes)
+                if kind > ORDER:
+                    p = values.pop(kind - ORDER) + values.pop(kind) * p
             cost = -np.log(np.maximum(p, 1e-12))
             for j in range(n):
-                total[at : at + 20_000, j] = np.bincount(word, cost[:, j], len(words[at : at + 20_000]))
-            chars_of[at : at + 20_000] = np.bincount(word, minlength=len(words[at : at + 20_000]))
+                total[at:end, j] = np.bincount(word, cost[:, j], end - at)
+            chars_of[at:end] = np.bincount(word, minlength=end - at)
         return total, chars_of
 
 
-def fit(docs: DataFrame) -> Model | None:
-    """Count and smooth on the cluster; only the bounded slot tables come to the driver.
+def _runs(words: Sequence[str], chars: int) -> Iterator[tuple[int, int]]:
+    """Stretches of words of about so many characters."""
+    start, held = 0, 0
+    for i, w in enumerate(words):
+        held += len(w) + 1
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(words):
+        yield start, len(words)
+
+
+def _level(weight: str) -> Column:
+    """Binary digits of a count."""
+    return F.length(F.bin(weight))
+
+
+def fit(docs: DataFrame, held: int = HELD_ENTRIES) -> Model | None:
+    """Count and smooth on the cluster; at most ``held`` probabilities, those of the most frequent grams, come to the driver.
 
     docs: lang (not NULL) and text. None if there is nothing to learn from.
     """
-    counts = docs.mapInArrow(_count, "lang string, gram long, n long")
-    table = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "char-grams")
-    direct, passed = [], []
-    tables = {ORDER: table}
+    counts = docs.mapInArrow(_count, "lang string, high long, low long, n long")
+    tables = {ORDER: stored(counts.groupBy("lang", "high", "low").agg(F.sum("n").alias("n")), "char-grams")}
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: how many different characters precede the shorter gram.
-        shorter = F.col("gram").bitwiseAND((1 << (16 * order)) - 1)
-        tables[order] = stored(tables[order + 1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "char-grams")
+        high = F.col("high").bitwiseAND(ONE_CHAR) if order == 3 else F.lit(0).cast("long")
+        low = F.col("low").bitwiseAND(ONE_CHAR) if order == 1 else F.col("low")
+        shorter = tables[order + 1].groupBy("lang", high.alias("high"), low.alias("low"))
+        tables[order] = stored(shorter.agg(F.count(F.lit(1)).alias("n")), "char-grams")
     langs = sorted(r["lang"] for r in tables[1].select("lang").distinct().collect())
     if not langs:
         return None
-    column = {lang: i for i, lang in enumerate(langs)}
-    alphabet = tables[1].select("gram").distinct().count()
-    for order in range(1, ORDER + 1):
-        grams = tables[order]
-        ones = grams.groupBy("lang").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"))
-        off = F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.75))
-        ones = ones.select("lang", off.alias("off"))
-        context = F.shiftright("gram", 16) if order > 1 else F.lit(0).cast("long")
-        mask = (1 << (16 * (order - 1))) - 1
-        grams = grams.withColumn("context", context.bitwiseAND(mask))
-        contexts = grams.groupBy("lang", "context").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
-        # One row per language and one per context: small and medium sides that Spark places by size.
-        contexts = contexts.join(ones, "lang")
-        share = (F.col("n") - F.col("off")) / F.col("all")
-        shares = grams.join(contexts, ["lang", "context"]).groupBy("lang", F.pmod("gram", F.lit(SLOTS)).alias("slot"))
-        direct.append(_slots(shares.agg(F.sum(share).alias("value")), column))
-        weights = contexts.groupBy("lang", F.pmod("context", F.lit(SLOTS)).alias("slot"))
-        passed.append(_slots(weights.agg(F.max(F.col("off") * F.col("kinds") / F.col("all")).alias("value")), column, 1.0))
-    return Model(langs, 1.0 / (alphabet + 1), direct, passed)
-
-
-def _slots(rows: DataFrame, column: dict[str, int], missing: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """At most SLOTS rows per language, as sorted slots and a float matrix."""
-    found = rows.select("lang", "slot", "value").toArrow()
-    slot = found["slot"].to_numpy()
-    keys = np.unique(slot)
-    values = np.full((len(keys), len(column)), missing, dtype=np.float32)
-    lang = np.array([column[x] for x in found["lang"].to_pylist()], dtype=np.int64)
-    values[np.searchsorted(keys, slot), lang] = found["value"].to_numpy()
-    return keys, values
+    alphabet = tables[1].select("low").distinct().count()
+    rows = [_smoothed(grams, order) for order, grams in tables.items()]
+    rows = [part for pair in rows for part in pair]
+    entries = rows[0]
+    for part in rows[1:]:
+        entries = entries.union(part)
+    # One row per language.
+    column = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(langs)), "at int, lang string"))
+    per_gram = entries.join(column, "lang").groupBy("kind", "high", "low")
+    per_gram = per_gram.agg(F.collect_list(F.struct("at", "value")).alias("known"), F.max("weight").alias("weight"))
+    picked = ["kind", "high", "low", F.col("known.at").alias("langs"), F.col("known.value").alias("values"), "weight"]
+    model = stored(per_gram.select(*picked), "char-model")
+    sizes = model.groupBy(_level("weight").alias("level")).agg(F.sum(F.size("langs")).alias("n")).orderBy(F.desc("level")).collect()
+    least, room = 1 + sizes[0]["level"], held
+    for r in sizes:
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["level"]
+    narrow = model.select("kind", "high", "low", "langs", "values")
+    frequent = _level("weight") >= least
+    rest = None if room >= 0 else model.filter(~frequent).select(*narrow.columns)
+    return Model(langs, 1.0 / (alphabet + 1), _tables(narrow.filter(frequent).toArrow()), rest)
+
+
+def _smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """Model rows of an order: lang, kind, high, low, value, weight, of its grams and of its contexts."""
+    ones = grams.groupBy("lang").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"))
+    off = F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.75))
+    ones = ones.select("lang", off.alias("off"))
+    above = F.shiftright("high", CHAR_BITS)
+    below = F.shiftleft(F.col("high").bitwiseAND(ONE_CHAR), CHAR_BITS).bitwiseOR(F.shiftright("low", CHAR_BITS))
+    grams = grams.withColumns({"above": above, "below": below})
+    contexts = grams.groupBy("lang", "above", "below").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    # One row per language and one per context: small and medium sides that Spark places by size.
+    contexts = contexts.join(ones, "lang")
+    share = ((F.col("n") - F.col("off")) / F.col("all")).cast("float").alias("value")
+    passed = (F.col("off") * F.col("kinds") / F.col("all")).cast("float").alias("value")
+    direct = grams.join(contexts, ["lang", "above", "below"]).select("lang", F.lit(order).alias("kind"), "high", "low", share, F.col("n").alias("weight"))
+    return direct, contexts.select(
+        "lang", F.lit(ORDER + order).alias("kind"), F.col("above").alias("high"), F.col("below").alias("low"), passed, F.col("all").alias("weight")
+    )
 
 
 class _Words(dict):
@@ -163,42 +272,98 @@ class _Words(dict):
         return n
 
 
+def _judged(model: Model, texts: Sequence[str], further: dict[int, Grams] | None = None) -> pd.DataFrame:
+    """Language, score, entropy and number of characters of each text."""
+    words = _Words()
+    each = [np.array([words[w] for w in LETTERS.findall(t.lower())], dtype=np.int64) for t in texts]
+    listed = list(words)
+    lettered = np.array([any(c.isalpha() for c in w) for w in listed], dtype=bool)
+    total, chars = model.entropies(listed, further)
+    flat = np.concatenate(each) if each else np.empty(0, dtype=np.int64)
+    doc = np.repeat(np.arange(len(each)), [len(x) for x in each])
+    length = np.bincount(doc, chars[flat], len(each))
+    some = np.bincount(doc, lettered[flat], len(each)) > 0
+    mean = np.stack([np.bincount(doc, total[flat, j], len(each)) for j in range(total.shape[1])], axis=1)
+    mean = mean / np.maximum(length, 1)[:, None]
+    best = mean.argmin(axis=1)
+    low = mean[np.arange(len(each)), best]
+    odds = np.exp(-(mean - low[:, None]) * np.minimum(length, CERTAIN_CHARS)[:, None])
+    named = np.where(some, np.array(model.langs, dtype=object)[best], UNDETERMINED)
+    found = {"lang_pred": named, "score": np.where(some, 1 / odds.sum(axis=1), 0.0), "entropy": np.where(some, low, np.nan), "chars": length.astype(np.int64)}
+    return pd.DataFrame(found)
+
+
+JUDGED = "lang_pred string, score double, entropy double, chars long"
+
+
+def _beside(kept: Sequence[pa.Array], names: Sequence[str], found: Sequence[pd.DataFrame]) -> pa.Table:
+    """The kept columns with what was found."""
+    table = pd.concat(found) if found else pd.DataFrame({"lang_pred": [], "score": [], "entropy": [], "chars": []})
+    new = [
+        pa.array(table["lang_pred"], pa.string()), pa.array(table["score"], pa.float64()), pa.array(table["entropy"], pa.float64(), from_pandas=True),
+        pa.array(table["chars"].to_numpy().astype(np.int64)),
+    ]
+    return pa.Table.from_arrays([*kept, *new], [*names, *table.columns])
+
+
 def _judge(shared) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            out = []
-            for _, texts in slices(x.as_py() for x in batch["text"]):
-                words = _Words()
-                each = [np.array([words[w] for w in LETTERS.findall(t.lower())], dtype=np.int64) for t in texts]
-                listed = list(words)
-                lettered = np.array([any(c.isalpha() for c in w) for w in listed], dtype=bool)
-                total, chars = model.entropies(listed)
-                flat = np.concatenate(each) if each else np.empty(0, dtype=np.int64)
-                doc = np.repeat(np.arange(len(each)), [len(x) for x in each])
-                length = np.bincount(doc, chars[flat], len(each))
-                some = np.bincount(doc, lettered[flat], len(each)) > 0
-                mean = np.stack([np.bincount(doc, total[flat, j], len(each)) for j in range(total.shape[1])], axis=1)
-                mean = mean / np.maximum(length, 1)[:, None]
-                best = mean.argmin(axis=1)
-                low = mean[np.arange(len(each)), best]
-                odds = np.exp(-(mean - low[:, None]) * np.minimum(length, CERTAIN_CHARS)[:, None])
-                score = 1 / odds.sum(axis=1)
-                out.append(pd.DataFrame({"lang_pred": np.where(some, np.array(model.langs, dtype=object)[best], UNDETERMINED), "score": np.where(some, score, 0.0), "entropy": np.where(some, low, np.nan), "chars": length}))
-            table = pd.concat(out) if out else pd.DataFrame({"lang_pred": [], "score": [], "entropy": [], "chars": []})
-            kept = [batch[c] for c in batch.schema.names if c != "text"]
+            found = [_judged(shared.value, texts) for _, texts in slices(x.as_py() for x in batch["text"])]
             names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(table["lang_pred"], pa.string()), pa.array(table["score"], pa.float64()), pa.array(table["entropy"], pa.float64(), from_pandas=True),
-                 pa.array(table["chars"].to_numpy().astype(np.int64))],
-                [*names, "lang_pred", "score", "entropy", "chars"],
-            )
+            yield from _beside([batch[c] for c in names], names, found).to_batches()
+
+    return run
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers slices of about the same number of characters; a number names its task too."""
+    task, n, chars = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        numbers = []
+        for text in batch["text"]:
+            numbers.append((task << 32) | n)
+            chars += len(text.as_py() or "")
+            if chars >= SLICE_CHARS:
+                n, chars = n + 1, 0
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "slice"])
+
+
+def _misses(shared) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch["slice"].to_numpy()
+            for number in np.unique(at):
+                texts = batch["text"].filter(pa.array(at == number))
+                words = list({w for x in texts for w in LETTERS.findall((x.as_py() or "").lower())})
+                wanted = [shared.value.missed(words[start:end]) for start, end in _runs(words, CELLS)]
+                if wanted:
+                    out = pd.concat(wanted).drop_duplicates()
+                    yield pa.RecordBatch.from_pandas(out.assign(slice=number)[["slice", "kind", "high", "low"]], preserve_index=False)
 
     return run
 
 
+def _scores(rows: DataFrame, model: Model, kept: str) -> DataFrame:
+    """rows (with text) judged; grams that are not at hand come to the slices that need them."""
+    shared = rows.sparkSession.sparkContext.broadcast(model.shipped())
+    if model.rest is None:
+        return rows.mapInArrow(_judge(shared), f"{kept}, {JUDGED}")
+    cut = stored(rows.mapInArrow(_sliced, f"{kept}, text string, slice long"), "language-slices")
+    asked = cut.select("slice", "text").mapInArrow(_misses(shared), "slice long, kind int, high long, low long").distinct()
+    brought = asked.join(model.rest, ["kind", "high", "low"])
+    names = [c for c in rows.columns if c != "text"]
+
+    def judge(docs: pa.Table, grams: pa.Table) -> pa.Table:
+        further = _tables(grams) if len(grams) else None
+        texts = [t or "" for t in docs["text"].to_pylist()]
+        return _beside([docs[c] for c in names], names, [_judged(shared.value, texts, further)] if texts else [])
+
+    return cut.groupBy("slice").cogroup(brought.groupBy("slice")).applyInArrow(judge, f"{kept}, {JUDGED}")
+
+
 def identify(
-    docs: DataFrame, modulus: int = 4, held: int = 2, far: float = FAR, columns: Sequence[str] = ("doc_id", "text", "lang")
+    docs: DataFrame, modulus: int = 4, held: int = 2, far: float = FAR, columns: Sequence[str] = ("doc_id", "text", "lang"), entries: int = HELD_ENTRIES
 ) -> DataFrame:
     """Per row: doc_id, text_hash, held_out, lang_pred, score, entropy, chars, rejected.
 
@@ -207,13 +372,14 @@ def identify(
     learned. Other rows are rejected if their entropy exceeds the mean of the training rows given the
     same language by more than ``far`` deviations; a deviation joins the spread between texts and the
     spread that a text of so few characters shows by chance, both taken from the training rows. Equal entropies go to the language first in
-    code-point order. An empty table gives no rows; further columns are ignored.
+    code-point order. An empty table gives no rows; further columns are ignored. ``entries`` bounds what is broadcast and
+    changes no result.
     """
     doc_id, text, lang = columns
     picked = take(docs, doc_id, text, lang).toDF("doc_id", "text", "lang")
     picked = picked.withColumn("doc_id", F.col("doc_id").cast("long"))
     rest = crc_remainder("doc_id", modulus)
-    model = fit(picked.filter((rest != held) & F.col("lang").isNotNull()).select("lang", "text"))
+    model = fit(picked.filter((rest != held) & F.col("lang").isNotNull()).select("lang", "text"), entries)
     rows = picked.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), (rest == held).alias("held_out"), F.col("lang").isNotNull().alias("labelled"), "text"
     )
@@ -223,8 +389,7 @@ def identify(
             {"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "entropy": F.lit(None).cast("double"), "chars": F.lit(0).cast("long")}
         )
         return found.withColumn("rejected", F.lit(True)).drop("labelled")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = stored(rows.mapInArrow(_judge(shared), f"{kept}, lang_pred string, score double, entropy double, chars long"), "language-scores")
+    scored = stored(_scores(rows, model, kept), "language-scores")
     trained = scored.filter(~F.col("held_out") & F.col("labelled") & F.col("entropy").isNotNull())
     # One row per language: written, so its size is known to the join.
     means = trained.groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.var_pop("entropy").alias("spread"))
