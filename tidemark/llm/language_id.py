@@ -75,6 +75,13 @@ def _hashed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return mix(mix(high.astype(np.uint64) + np.uint64(1)) + low.astype(np.uint64))
 
 
+def _different(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different grams of the words; per gram of the words its place among them, and its word."""
+    chars, word = _grams(words)
+    _, first, place = np.unique(_hashed(*_packed(chars)), return_index=True, return_inverse=True)
+    return chars[first], place, word
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams of the words of each language, added up for a bounded number of words at a time."""
 
@@ -150,8 +157,8 @@ class Model:
     def shipped(self) -> Model:
         return Model(self.langs, self.floor, self.held)
 
-    def _wanted(self, words: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        chars, _ = _grams(words)
+    @staticmethod
+    def _wanted(chars: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for k in range(1, ORDER + 1):
             yield k, *_packed(chars[:, ORDER - k :])
             yield ORDER + k, *_packed(chars[:, ORDER - k : ORDER - 1])
@@ -159,32 +166,37 @@ class Model:
     def missed(self, words: Sequence[str]) -> pd.DataFrame:
         """Different (kind, high, low) of the words that are not at hand."""
         out = []
-        for kind, high, low in self._wanted(words):
+        chars, _, _ = _different(words)
+        for kind, high, low in self._wanted(chars):
             table = self.held.get(kind)
             found = np.isin(_hashed(high, low), table.keys) if table else np.zeros(len(high), dtype=bool)
             out.append(pd.DataFrame({"kind": np.int32(kind), "high": high[~found], "low": low[~found]}).drop_duplicates())
         return pd.concat(out)
 
+    def probabilities(self, chars: np.ndarray, further: dict[int, Grams] | None = None) -> np.ndarray:
+        """Of the last character of every gram (rows) after the others, under each language (columns)."""
+        shape = (len(chars), len(self.langs))
+        p = np.full(shape, self.floor)
+        values = {}
+        for kind, high, low in self._wanted(chars):
+            values[kind] = np.full(shape, MISSING[kind])
+            hashes = _hashed(high, low)
+            for tables in (self.held, further or {}):
+                if kind in tables:
+                    tables[kind].fill(values[kind], hashes)
+            if kind > ORDER:
+                p = values.pop(kind - ORDER) + values.pop(kind) * p
+        return p
+
     def entropies(self, words: Sequence[str], further: dict[int, Grams] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Per word its negative log-probability under each language, and its number of characters."""
         n = len(self.langs)
         total, chars_of = np.zeros((len(words), n)), np.zeros(len(words))
         for at, end in _runs(words, CELLS // n):
-            part = words[at:end]
-            _, word = _grams(part)
-            p = np.full((len(word), n), self.floor)
-            values = {}
-            for kind, high, low in self._wanted(part):
-                values[kind] = out = np.full((len(word), n), MISSING[kind])
-                hashes = _hashed(high, low)
-                for tables in (self.held, further or {}):
-                    if kind in tables:
-                        tables[kind].fill(out, hashes)
-                if kind > ORDER:
-                    p = values.pop(kind - ORDER) + values.pop(kind) * p
-            cost = -np.log(np.maximum(p, 1e-12))
+            chars, place, word = _different(words[at:end])
+            cost = -np.log(np.maximum(self.probabilities(chars, further), 1e-12))
             for j in range(n):
-                total[at:end, j] = np.bincount(word, cost[:, j], end - at)
+                total[at:end, j] = np.bincount(word, cost[place, j], end - at)
             chars_of[at:end] = np.bincount(word, minlength=end - at)
         return total, chars_of
 
