@@ -132,3 +132,17 @@ def test_heavy_join_equals_the_other_plans(spark):
         dimension = facts.select("a", "b").distinct().withColumn("w", F.col("b") + 1)
         joined = joins.heavy_hitter_join(facts, dimension, ["a", "b"], F.col("v"), salts=3, max_rows=1)
         assert joined.exceptAll(facts.join(dimension, ["a", "b"])).count() == 0 and joined.count() == 5000
+
+
+def test_many_terms_are_never_broadcast(spark, tmp_path):
+    # 300,000 names in a file far below Spark's broadcast threshold, against texts with some of them; the file is read as it is.
+    spark.range(300_000).selectExpr("concat('Name#', lpad(id, 9, '0')) AS term").write.parquet(f"{tmp_path}/terms")
+    terms = spark.read.parquet(f"{tmp_path}/terms")
+    docs = spark.createDataFrame([(1, "x name#000000017 name#00000001"), (2, "NAME#000299999name#000300000"), (3, "💥name#000123456💥"), (4, "000123456")], "id INT, text STRING")
+    found = documents.term_matches(docs, "id", "text", terms, "term")
+    assert sorted(map(tuple, found.collect())) == [(1, "name#000000017"), (2, "name#000299999"), (3, "name#000123456")]
+    assert joins.broadcast_if_small(terms)._jdf.queryExecution().logical().toString().lower().count("merge") == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [term" not in plan
+    # The same whatever is broadcast at a time.
+    assert sorted(map(tuple, documents.term_matches(docs, "id", "text", terms, "term", most=30_000).collect())) == sorted(map(tuple, found.collect()))

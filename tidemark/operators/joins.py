@@ -23,10 +23,10 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after counting rows and bytes of a stored dimension.
 
-    Beyond a limit the frame comes back without a hint and Spark joins it by shuffle. Meant for
-    stored tables, where the count is a cheap job; derived frames are left to AQE.
+    Beyond a limit the frame is joined by sort and merge: left to its estimates, Spark would still broadcast many rows
+    that compress to a small file. Meant for stored tables, where the count is a cheap job; derived frames are left to AQE.
     """
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df.hint("merge")
 
 
 def heavy_hitters(facts: DataFrame, on: Sequence[str], share: float = 0.001) -> list[int]:
