@@ -58,3 +58,20 @@ def test_near_copies_at_eighty_percent_are_found(spark):
     assert all(group_of[a] == group_of[b] for a, b in itertools.combinations(sets, 2) if root[a] == root[b])
     kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
     assert kept == {min(i for i in root if root[i] == r) for r in set(root.values())}
+
+
+def test_every_partner_of_a_key_is_met(spark, monkeypatch):
+    """All sets in one key of one table, cut into chunks or not: each pair at 80 percent is found, whatever stands between."""
+    pick = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    rows = [(i, " ".join(pick.choices(vocabulary, k=200))) for i in range(60)]
+    for i in range(60):
+        words = rows[i][1].split()
+        words[pick.randrange(len(words))] = f"new{i}"
+        rows.append((100 + i, " ".join(words)))
+    monkeypatch.setattr(simhash, "tables_for", lambda rows, share, miss: (1, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for chunk in ({}, {"chunk": 16}):
+        found, roots = simhash.similar(docs, ("doc_id", "text"), 5, 80, 0.03, 64, **chunk)
+        root = {r.doc_id: r.root for r in found.join(roots, "set_id").select("doc_id", "root").collect()}
+        assert all(root[i] == root[100 + i] for i in range(60)) and len(set(root.values())) == 60

@@ -13,7 +13,7 @@ and chunks meet two at a time in tasks of bounded size. From a key only a spanni
 leaves the task, never all pairs; the components are the same.
 
 Three bits reach only nearly equal texts. ``one_of_each`` therefore takes fingerprints as proposals: sampled bits are the keys
-of many tables, a wide bit bound thins what meets there, and the exact similarity of full shingle sets confirms.
+of many tables, all pairs of a key are compared by 256 bits, and the exact similarity of full shingle sets confirms.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import minhash
@@ -39,6 +39,8 @@ CHUNK = 2048
 # The pipeline's stage works on five-word shingles and 80 percent of similarity. Fingerprints of such pairs are some 10
 # bits apart, and more than 20 with a chance of one in two thousand.
 STAGE_SHINGLE, STAGE_SHARE, STAGE_DISTANCE = 5, 80, 20
+# Words of 64 bits of a wide fingerprint and the bits that two may differ in: some 39 of 256 at 80 percent, 128 of unlike sets.
+WIDE, WIDE_DISTANCE = 4, 64
 ORIGIN = np.uint64(0)
 
 
@@ -150,14 +152,9 @@ def _forest(keys: np.ndarray, side: np.ndarray, marks: np.ndarray) -> pd.DataFra
     return pd.DataFrame({"a": marks[tied].view(np.int64), "b": marks[forest.root[tied]].view(np.int64)})
 
 
-def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _whole_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs of equal (key, meeting) of a sorted partition; a run that a batch cuts waits for the next."""
     held = None
-
-    def whole(part: pd.DataFrame) -> pd.DataFrame:
-        runs = part["key"].ne(part["key"].shift()) | part["meeting"].ne(part["meeting"].shift())
-        return _forest(runs.cumsum().to_numpy(), part["side"].to_numpy(), part["mark"].to_numpy().view(np.uint64))
-
     for batch in batches:
         part = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(part):
@@ -166,28 +163,41 @@ def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cut = len(part) - int(((part["key"] == last["key"]) & (part["meeting"] == last["meeting"])).sum())
         held = part.iloc[cut:].reset_index(drop=True)
         if cut:
-            yield whole(part.iloc[:cut])
+            yield part.iloc[:cut]
     if held is not None:
-        yield whole(held)
+        yield held
+
+
+def _run_numbers(part: pd.DataFrame) -> np.ndarray:
+    return (part["key"].ne(part["key"].shift()) | part["meeting"].ne(part["meeting"].shift())).cumsum().to_numpy()
+
+
+def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in _whole_runs(batches):
+        yield _forest(_run_numbers(part), part["side"].to_numpy(), part["mark"].to_numpy().view(np.uint64))
 
 
 def links(marks: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of distinct marks at most three bits apart."""
     keyed = stored(marks.mapInPandas(_keyed, "key long, mark long"), "simhash-keys")
+    return dealt(keyed, "mark", chunk).mapInPandas(_linked, "a long, b long")
+
+
+def dealt(keyed: DataFrame, member: str, chunk: int) -> DataFrame:
+    """Rows dealt to tasks and sorted by (key, meeting, member); a large key's chunks meet two at a time, pairs of one chunk once."""
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # Written, so that Spark knows the size of this list and broadcasts it only if it is small.
     large = stored(sizes.filter(F.col("n") > 2 * chunk).select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "simhash-large")
-    one = F.lit(0).cast("long")
-    small = keyed.join(large, "key", "left_anti").select("key", one.alias("meeting"), F.lit(-1).alias("side"), "mark")
-    cut = keyed.join(large, "key").withColumn("side", F.pmod(F.xxhash64("mark"), F.col("chunks")).cast("int"))
+    own = [c for c in keyed.columns if c != "key"]
+    small = keyed.join(large, "key", "left_anti").select("key", F.lit(0).cast("long").alias("meeting"), F.lit(-1).alias("side"), *own)
+    cut = keyed.join(large, "key").withColumn("side", F.pmod(F.xxhash64(member), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     cut = cut.withColumn("_other", other)
     # A chunk's own pairs are compared in its meeting with itself.
     meeting = F.least("side", "_other").cast("long") * F.lit(1 << 20) + F.greatest("side", "_other") + 1
-    own = F.when(F.col("side") == F.col("_other"), F.lit(-1)).otherwise(F.col("side"))
-    cut = cut.select("key", meeting.alias("meeting"), own.alias("side"), "mark")
-    dealt = small.union(cut).repartition("key", "meeting").sortWithinPartitions("key", "meeting", "mark")
-    return dealt.mapInPandas(_linked, "a long, b long")
+    side = F.when(F.col("side") == F.col("_other"), F.lit(-1)).otherwise(F.col("side"))
+    cut = cut.select("key", meeting.alias("meeting"), side.alias("side"), *own)
+    return small.union(cut).repartition("key", "meeting").sortWithinPartitions("key", "meeting", member)
 
 
 def _named(docs: DataFrame, columns: Sequence[str], chunk: int) -> tuple[DataFrame, DataFrame]:
@@ -224,82 +234,117 @@ def sampled_keys(marks: np.ndarray, tables: int, bits: int) -> np.ndarray:
 
 
 def tables_for(rows: int, share: int, miss: float) -> tuple[int, int]:
-    """How many tables of how many bits: keys as many as rows, times four, and few misses among pairs at the threshold.
+    """How many tables of how many bits: some 256 rows a key, all of which are compared, and few misses among pairs at the threshold.
 
     Of two sets of equal size at Jaccard j the cosine is 2j/(1+j), and a bit differs with the angle's share of pi.
     """
     j = share / 100
     same = 1 - np.arccos(2 * j / (1 + j)) / np.pi
-    bits = min(48, max(14, int(np.ceil(np.log2(max(rows, 1)))) + 2))
+    bits = min(48, max(4, int(np.ceil(np.log2(max(rows, 1)))) - 8))
     return int(np.ceil(np.log(1 / miss) / same**bits)), bits
 
 
+def wide_fingerprint(hashes: np.ndarray) -> list[int]:
+    """The fingerprint of the hashes and of further hashes made from them."""
+    return [fingerprint_of(hashes if not i else minhash._mix(hashes + np.uint64(i * minhash.GOLDEN % 2**64))) for i in range(WIDE)]
+
+
+MARKS = [f"m{i}" for i in range(WIDE)]
+
+
 def _sets_signed(docs: DataFrame, columns: Sequence[str], shingle: int) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, set_id (128 bits of the set of shingles) and the fingerprint of that set."""
+    """Per row: doc_id, text_hash, n_shingles, set_id (128 bits of the set of shingles) and the wide fingerprint of that set."""
     picked = take(docs, *columns).toDF("doc_id", "text")
     picked = picked.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [minhash.shingle_set(x.as_py(), shingle) for x in batch["text"]]
-            marks = np.array([fingerprint_of(s) for s in sets], dtype=np.uint64).view(np.int64)
+            marks = np.array([wide_fingerprint(s) for s in sets], dtype=np.uint64).reshape(-1, WIDE).view(np.int64)
             names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], sizes, names, pa.array(marks)], ["doc_id", "text_hash", "n_shingles", "set_id", "mark"])
+            found = [batch["doc_id"], batch["text_hash"], sizes, names, *[pa.array(marks[:, i]) for i in range(WIDE)]]
+            yield pa.RecordBatch.from_arrays(found, ["doc_id", "text_hash", "n_shingles", "set_id", *MARKS])
 
-    return picked.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, mark long")
+    return picked.mapInArrow(run, f"doc_id long, text_hash long, n_shingles long, set_id binary, {', '.join(f'{m} long' for m in MARKS)}")
 
 
-def similar(docs: DataFrame, columns: Sequence[str], shingle: int, share: int, miss: float, distance: int, first: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Rows with their set's name, and per set its component under exact similarity of at least ``share`` percent.
+def close_pairs(marks: np.ndarray, roots: np.ndarray, sides: np.ndarray, distance: int, hubs: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (later, earlier) of rows of different roots that are close in one word's bits and in all; with ``hubs`` each row's first."""
+    later, earlier = [], []
+    for at in range(0, len(marks), 256):
+        end = min(at + 256, len(marks))
+        near = np.bitwise_count(marks[at:end, None, 0] ^ marks[None, :end, 0]) <= distance
+        i, j = np.nonzero(near)
+        i += at
+        # Two chunks of a large key: pairs inside a chunk are met elsewhere.
+        fresh = (j < i) & (roots[i] != roots[j]) & ((sides[i] < 0) | (sides[i] != sides[j]))
+        i, j = i[fresh], j[fresh]
+        close = np.bitwise_count(marks[i] ^ marks[j]).sum(axis=1, dtype=np.int64) <= WIDE_DISTANCE
+        i, j = i[close], j[close]
+        if hubs:
+            i, first = np.unique(i, return_index=True)
+            j = j[first]
+        later.append(i)
+        earlier.append(j)
+    return np.concatenate([*later, np.empty(0, np.int64)]).astype(np.int64), np.concatenate([*earlier, np.empty(0, np.int64)]).astype(np.int64)
 
-    Fingerprints only propose: sets meet in tables keyed by some of their fingerprints' bits, there with the smallest set of
-    the key and with the one before them in the key, and pairs more than ``distance`` bits apart are dropped. Full sets
-    confirm. The ``first`` tables go ahead, so that the many members of one group are tied by few comparisons; the
-    others only propose pairs that are not tied yet. Proposals grow with the sets, not with the squares of groups.
-    """
-    rows = stored(_sets_signed(docs, columns, shingle), "similar-rows")
-    classes = minhash.numbered_classes(rows, F.first("mark").alias("mark"))
-    tables, bits = tables_for(classes.count(), share, miss)
+
+def _proposed(classes: DataFrame, tables: int, bits: int, used: int, distance: int, hubs: bool, chunk: int, share: int) -> DataFrame:
+    """Pairs (a, b) of classes (node, root, n, marks) of different roots that are close and share a key of the first ``used`` tables."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
-                found = sampled_keys(part["mark"].to_numpy().view(np.uint64), tables, bits)
-                repeat = [np.repeat(part[c].to_numpy(), tables) for c in ("node", "mark")]
-                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "mark"])
-
-    # Three numbers a row are all that is shuffled, once per table; sizes join the few pairs that are left.
-    keyed = classes.filter("n > 0").select("node", "mark").mapInArrow(keys, "key long, node long, mark long")
-    along = Window.partitionBy("key").orderBy("mark", "node")
-    beside = keyed.select(
-        "key", "node", "mark", F.first("node").over(along).alias("least"), F.first("mark").over(along).alias("least_mark"),
-        F.lag("node").over(along).alias("before"), F.lag("mark").over(along).alias("before_mark"),
-    )
-
-    def near(other: str) -> Column:
-        return F.bit_count(F.col("mark").bitwiseXOR(F.col(other))) <= distance
-
-    wanted = F.array(F.when(near("least_mark") & (F.col("least") != F.col("node")), F.col("least")), F.when(near("before_mark"), F.col("before")))
-    met = beside.select("key", F.col("node").alias("a"), F.explode(F.array_compact(F.array_distinct(wanted))).alias("b"))
-    early = F.pmod(F.col("key"), F.lit(tables)) < first
-    pairs = met.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.bool_or(early).alias("early"))
-    sized_pairs = pairs
+                found = sampled_keys(part["m0"].to_numpy().view(np.uint64), tables, bits)[:, :used]
+                repeat = [np.repeat(part[c].to_numpy(), used) for c in ("node", "root", *MARKS)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "root", *MARKS])
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _whole_runs(batches):
+            marks = np.ascontiguousarray(part[MARKS].to_numpy()).view(np.uint64)
+            node, root, side = (part[c].to_numpy() for c in ("node", "root", "side"))
+            starts = np.flatnonzero(np.diff(_run_numbers(part), prepend=-1, append=-1))
+            for low, high in zip(starts, starts[1:], strict=False):
+                if high - low > 1:
+                    i, j = close_pairs(marks[low:high], root[low:high], side[low:high], distance, hubs)
+                    yield pd.DataFrame({"a": node[low:high][i], "b": node[low:high][j]})
+
+    numbers = ", ".join(f"{c} long" for c in ("key", "node", "root", *MARKS))
+    keyed = classes.select("node", "root", *MARKS).mapInArrow(keys, numbers)
+    met = dealt(keyed, "node", chunk).mapInPandas(compared, "a long, b long")
+    pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     for side in ("a", "b"):
-        sized_pairs = sized_pairs.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")), side)
+        pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")), side)
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * share
-    pairs = stored(sized_pairs.filter(fits).select("a", "b", "early"), "similar-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = minhash.full_sets(docs, columns, classes, nodes, shingle)
-    links = stored(minhash.confirmed(pairs.filter("early").select("a", "b"), sets, share), "similar-links")
-    tied = stored(components(links), "similar-components")
-    left = pairs.filter("NOT early").select("a", "b")
-    for side in ("a", "b"):
-        own = tied.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
-        left = left.join(own, side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
-    further = stored(minhash.confirmed(left.filter("ra != rb").select("a", "b"), sets, share), "similar-links")
-    tied = stored(components(links.union(further)), "similar-components")
+    return stored(pairs.filter(fits).select("a", "b"), "similar-pairs")
+
+
+def similar(
+    docs: DataFrame, columns: Sequence[str], shingle: int, share: int, miss: float, distance: int, first: int = 8, chunk: int = CHUNK
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their set's name, and per set its component under exact similarity of at least ``share`` percent.
+
+    Fingerprints only propose: sets meet in tables keyed by some of their fingerprints' bits, pairs more than ``distance``
+    bits apart or far apart in the wide fingerprint are dropped, and full sets confirm. In the ``first`` tables each set
+    meets the smallest close set of its key, so that the many members of one group are tied by few comparisons. After
+    that all pairs of every key that are close and not tied yet are confirmed: no partner is left out. Large keys are
+    met in chunks, so that no task holds a whole one.
+    """
+    rows = stored(_sets_signed(docs, columns, shingle), "similar-rows")
+    classes = minhash.numbered_classes(rows, *[F.first(m).alias(m) for m in MARKS])
+    tables, bits = tables_for(classes.count(), share, miss)
+    whole = classes.filter("n > 0")
+    links = None
+    tied = None
+    for used, hubs in ((min(first, tables), True), (tables, False)):
+        rooted = whole.withColumn("root", F.col("node")) if tied is None else whole.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = _proposed(rooted, tables, bits, used, distance, hubs, chunk, share)
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        found = stored(minhash.confirmed(pairs, minhash.full_sets(docs, columns, classes, nodes, shingle), share), "similar-links")
+        links = found if links is None else links.union(found)
+        tied = stored(components(links), "similar-components")
     rooted = classes.select("set_id", "node").join(tied, "node", "left")
     return rows, stored(rooted.select("set_id", F.coalesce("root", "node").alias("root")), "similar-roots")
 
