@@ -146,3 +146,9 @@ def test_many_terms_are_never_broadcast(spark, tmp_path):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin [term" not in plan
     # The same whatever is broadcast at a time.
     assert sorted(map(tuple, documents.term_matches(docs, "id", "text", terms, "term", most=30_000).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_a_tree_stores_few_bytes_a_row(spark, tmp_path):
+    # Digests as bytes, and nodes as sums, not text of 64 digits at every level.
+    difference.write_tree(spark.range(50_000).selectExpr("id AS k", "id % 7 AS v"), f"{tmp_path}/tree", ["k"])
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file()) < 50_000 * 130
