@@ -152,3 +152,25 @@ def test_a_tree_stores_few_bytes_a_row(spark, tmp_path):
     # Digests as bytes, and nodes as sums, not text of 64 digits at every level.
     difference.write_tree(spark.range(50_000).selectExpr("id AS k", "id % 7 AS v"), f"{tmp_path}/tree", ["k"])
     assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file()) < 50_000 * 130
+
+
+def test_lineage_looks_back_seldom(spark, tmp_path, monkeypatch):
+    # Each look back reads all pairs so far, and once in a while is enough; a circle behind it ends too.
+    kind = type(spark.range(1))
+    looks, join = [], kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, how=None: looks.append(how) or join(self, other, on, how))
+    edges = spark.createDataFrame([(i, i // 2) for i in range(1, 300)] + [(i, i // 3) for i in range(1, 300)], "p LONG, s LONG")
+    pairs = lineage.closure(edges, "p", "s")
+    wanted = {}
+    for p in range(1, 300):
+        front, depth = {p}, 0
+        while front := {s for x in front if x for s in (x // 2, x // 3)}:
+            depth += 1
+            wanted |= {(p, s): depth for s in front if (p, s) not in wanted}
+    rows = [tuple(r) for r in pairs.collect()]
+    assert len(rows) == len(wanted) and {(p, a): d for p, a, d in rows} == wanted
+    assert 0 < looks.count("left_anti") < max(wanted.values()) - 1
+    circle = spark.createDataFrame([(i, (i + 1) % 12) for i in range(12)], "p LONG, s LONG")
+    found = {(r[0], r[1]): r[2] for r in lineage.closure(circle, "p", "s").collect()}
+    assert found == {(i, (i + d) % 12): d for i in range(12) for d in range(1, 13)}
+    assert lineage.closure(circle, "p", "s", most_depth=13).count() == 144
