@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.check_queries import compare, connect
 from tidemark.llm import (
-    decontamination, html_extraction, language_id, language_model, mixing, nearest, pii, quality, simhash, url_filters,
+    boosting, decontamination, html_extraction, language_id, language_model, mixing, nearest, pii, quality, simhash, url_filters,
 )
 from tidemark.llm.components import components
 
@@ -259,6 +259,42 @@ def test_pii_adds_planted_loose_forms_and_no_look_alikes(spark):
     assert not any(found[2000 + i] for i in range(len(plain)))
 
 
+def test_pii_learns_from_all_examples(spark):
+    pick = random.Random(3)
+    at = lambda: ".".join(str(pick.randint(1, 254)) for _ in range(4))
+    texts = [" ".join(f"name{pick.randint(0, 10**9)}@m{j % 7}.example.com then {at()}" for j in range(70)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:5], None, ""])], "doc_id long, text string")
+    wanted = {}
+    for told, span, label, source in (e for t in texts for e in pii.examples(t)):
+        body = told[max(0, span[1] - 24) : span[2] + 2] + pii.KINDS[span[0]]
+        wanted[tuple(pii.features(told, span)), label, body, pii._digest(source) % 2] = None
+    assert sum(label for _, label, _, _ in wanted) > 20_000
+    assert pii.learned(docs).count() == len(wanted)
+    rows = [(x, label) for x, label, _, odd in wanted if not odd]
+    x, y = np.array([x for x, _ in rows]), np.array([label for _, label in rows], dtype=np.int64)
+    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, boosting.BINS + 1)[1:-1])) for f in range(x.shape[1])]
+    trees, found = boosting.fit(boosting.Held(boosting.binned(x, cuts), y, 1 - y), cuts, y.mean()), pii.fit(docs)
+    assert np.allclose(trees.probability(x), found.trees.probability(x), atol=1e-9)
+
+
+def test_boosting_held_and_spread_agree(spark):
+    pick = np.random.default_rng(4)
+    x = pick.integers(0, 9, (400, 3)).astype(float)
+    yes = (x[:, 0] + x[:, 1] > pick.uniform(0, 16, 400)).astype(np.int64)
+    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, boosting.BINS + 1)[1:-1])) for f in range(3)]
+    bins, times = boosting.binned(x, cuts), pick.integers(1, 4, 400)
+    rows = [(bytearray(b.tobytes()), int(a), int(c)) for b, a, c in zip(bins, yes * times, (1 - yes) * times, strict=True)]
+    spread = boosting.Spread(spark.createDataFrame(rows, "bins binary, yes long, no long").repartition(5), 3)
+    held, share = boosting.Held(bins, yes * times, (1 - yes) * times), (yes * times).sum() / times.sum()
+    a, b = (boosting.fit(s, cuts, share, rounds=4) for s in (held, spread))
+    assert a.leaf.tobytes() == b.leaf.tobytes() and (a.bin == b.bin).all()
+    assert (a.probability(x) == a.probability(bins, binned=True)).all()
+    p = np.repeat(a.probability(x), times), np.repeat(yes, times)
+    base = times @ yes / times.sum()
+    loss = [-(p[1] * np.log(q) + (1 - p[1]) * np.log(1 - q)).mean() for q in (p[0], base)]
+    assert loss[0] < 0.95 * loss[1]
+
+
 def test_nearest_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(900, 24)) * rng.uniform(0.5, 2, size=(900, 1))

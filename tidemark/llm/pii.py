@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boosting
-from tidemark.llm.common import numbered, take
+from tidemark.llm.common import numbered, stored, take
 
 # The kinds in their order and the formats of strict matches.
 KINDS = ("email", "ip", "card", "phone")
@@ -41,8 +42,9 @@ LOOSE = (
 MARKER = re.compile(r"\(at\)|\[at\]|\{at\}|＠", re.IGNORECASE)
 DIGITS = re.compile(r"[0-9][0-9 .,()-]{5}")
 CUES = tuple(re.compile(c) for c in (r"mail|e-mail|contact", r"\bip\b|addr|host|server", r"card|visa|credit|karte|carte|tarjeta", r"tel|phone|call|mobil|fax"))
-SAMPLE = 20_000
 PRECISION, CERTAIN = 0.999, 0.98
+# Different rows of bins that are added up on the driver (24 bytes each and some doubles), and steps of the threshold.
+HELD, STEPS = 2**18, 2**20
 Span = tuple[int, int, int]
 
 
@@ -210,47 +212,74 @@ class Detector:
         return strict, sorted([*strict, *kept])
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, columns: Sequence[str] = ("doc_id", "text")) -> Detector:
-    """Train on at most ``sample`` examples of each label, those with the smallest hashes of all documents'.
+def learned(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """All different examples of all texts: features x, label y, and whether they belong to the half that fits the trees.
 
-    Half of them fit the trees, all forms of one match in the same half; the other half give the threshold,
-    the smallest probability from which on at least ``precision`` of the examples are personal data, and no
-    less than ``CERTAIN``. Without both labels nothing is added.
+    Copies of a document propose the same, so that one of each is enough. All forms of one match are in the same half.
     """
     picked = take(docs, *columns).toDF("doc_id", "text").select("text")
-    width = len(features("0", (0, 0, 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, labels, marks = [], [], []
-            for text in batch["text"]:
-                text = text.as_py() or ""
-                for told, span, label, source in examples(text):
-                    rows.append(features(told, span))
-                    labels.append(label)
-                    body = told[max(0, span[1] - 24) : span[2] + 2] + KINDS[span[0]]
-                    marks.append(_digest(body) & ~1 | _digest(source) & 1)
-            yield pa.RecordBatch.from_pydict(
-                {"x": pa.array(rows, pa.list_(pa.float64())), "y": pa.array(labels, pa.bool_()), "mark": pa.array(marks, pa.int64())}
-            )
-
-    # Copies of a document propose the same; one of each is enough. Ordering and limit keep a bounded heap.
-    found = picked.mapInArrow(run, "x array<double>, y boolean, mark long")
-    parts = [found.filter(F.col("y") == label).orderBy("mark").limit(sample) for label in (True, False)]
-    table = parts[0].union(parts[1]).toArrow()
-    y = np.array(table["y"].to_pylist(), dtype=float)
-    if len(set(y)) < 2:
-        return Detector(None, 1.0)
-    x = np.array(table["x"].to_pylist(), dtype=float).reshape(-1, width)
-    even = np.array(table["mark"].to_pylist()) % 2 == 0
-    if len(set(y[even])) < 2 or not (~even).any():
+            every = (example for text in batch["text"] for example in examples(text.as_py() or ""))
+            while part := list(islice(every, 4096)):
+                marks = [_digest(told[max(0, span[1] - 24) : span[2] + 2] + KINDS[span[0]]) for told, span, _, _ in part]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "x": pa.array([features(told, span) for told, span, _, _ in part], pa.list_(pa.float64())),
+                        "y": pa.array([label for _, _, label, _ in part], pa.bool_()),
+                        "mark": pa.array(marks, pa.int64()),
+                        "fits": pa.array([_digest(source) % 2 == 0 for _, _, _, source in part], pa.bool_()),
+                    }
+                )
+
+    return picked.mapInArrow(run, "x array<double>, y boolean, mark long, fits boolean").distinct()
+
+
+def fit(docs: DataFrame, precision: float = PRECISION, columns: Sequence[str] = ("doc_id", "text"), held: int = HELD) -> Detector:
+    """Train on all different examples of all documents.
+
+    Half of them fit the trees; the other half give the threshold, the smallest probability (in steps of 1 / ``STEPS``), no
+    less than ``CERTAIN``, from which on at least ``precision`` of the examples are personal data. Without both labels
+    nothing is added. Examples whose features fall into the same bins are counted; up to ``held`` different ones are
+    added up on the driver, more of them by Spark for every level of every tree, which gives the same trees.
+    """
+    rows = stored(learned(docs, columns), "pii-examples")
+    counts = {(r["fits"], r["y"]): r["n"] for r in rows.groupBy("fits", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    yes, no = counts.get((True, True), 0), counts.get((True, False), 0)
+    if not yes or not no or yes + no == sum(counts.values()):
         return Detector(None, 1.0)
-    trees = boosting.fit(x[even], y[even])
-    p, truth = trees.probability(x[~even]), y[~even]
-    order = np.argsort(-p, kind="stable")
-    good = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
-    enough = np.flatnonzero(good >= precision)
-    return Detector(trees, max(CERTAIN, float(p[order[enough[-1]]])) if len(enough) else 2.0)
+    width = len(features("0", (0, 0, 1)))
+    at = F.array(*[F.lit(i / boosting.BINS) for i in range(1, boosting.BINS)])
+    # Lengths and counts of a loose form are bounded, so a feature has a bounded number of values, and these are counted.
+    cuts = rows.filter("fits").agg(*[F.percentile(F.col("x")[f], at).alias(f"f{f}") for f in range(width)]).first()
+    cuts = [np.unique(c) for c in cuts]
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x = batch["x"].flatten().to_numpy().reshape(-1, width)
+                packed = [b.tobytes() for b in boosting.binned(x, cuts)]
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch["y"], batch["fits"]], ["bins", "y", "fits"])
+
+    alike = rows.select("x", "y", "fits").mapInArrow(bins, "bins binary, y boolean, fits boolean").groupBy("bins", "fits")
+    alike = stored(alike.agg(F.count_if("y").alias("yes"), F.count_if(~F.col("y")).alias("no")), "pii-counted")
+    fits, tests = alike.filter("fits"), alike.filter("not fits").select("bins", "yes", "no")
+    few = fits.count() <= held
+    sums = boosting.Held(*boosting.unpacked(fits.select("bins", "yes", "no").toArrow().combine_chunks().to_batches()[0])) if few else boosting.Spread(fits, width)
+    trees = boosting.fit(sums, cuts, yes / (yes + no))
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                step = np.floor(trees.probability(boosting.unpacked(batch)[0], binned=True) * STEPS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(step), batch["yes"], batch["no"]], ["step", "yes", "no"])
+
+    certain = tests.mapInArrow(steps, "step long, yes long, no long").filter(F.col("step") >= int(np.ceil(CERTAIN * STEPS)))
+    by_step = certain.groupBy("step").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).toPandas().sort_values("step", ascending=False)
+    right, wrong = by_step["yes"].cumsum().to_numpy(), by_step["no"].cumsum().to_numpy()
+    enough = np.flatnonzero(right >= precision * (right + wrong))
+    return Detector(trees, float(by_step["step"].iloc[enough[-1]] / STEPS) if len(enough) else 2.0)
 
 
 def joined(spans: Sequence[Span]) -> str:
