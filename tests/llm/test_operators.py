@@ -295,6 +295,32 @@ def test_boosting_held_and_spread_agree(spark):
     assert loss[0] < 0.95 * loss[1]
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+def test_survivors_are_those_of_plain_widening_from_any_guess(scaled, monkeypatch):
+    pick = np.random.default_rng(6)
+    values = pick.normal(size=(500, 20)) * (pick.uniform(0.3, 2, (500, 1)) if scaled else 1)
+    order = np.argsort(values, axis=0, kind="stable")
+    arrays, places = np.take_along_axis(values, order, axis=0).T.copy(), np.argsort(order, axis=0).T.astype(np.uint16)
+    around = pick.normal(size=(30, 20)) * np.linspace(0.1, 3, 30)[:, None]
+    wanted, stops = np.zeros((30, 500), dtype=bool), []
+    for q, at in enumerate(around):
+        half, step = nearest.FIRST * 0.1, 0
+        while wanted[q].sum() < 100:
+            wanted[q] = ((values >= at - half) & (values <= at + half)).sum(axis=1) >= 16
+            half, step = half * nearest.WIDER, step + 1
+        stops.append(step - 1)
+    counted, search = [], np.searchsorted
+    monkeypatch.setattr(nearest.np, "searchsorted", lambda a, v, **b: counted.append(len(v)) or search(a, v, **b))
+    for guess in (0, 3, int(np.median(stops)), 60):
+        found, step = nearest.survivors(places, arrays, around, 0.1, 21, guess)
+        assert (found == wanted).all() and step == int(np.median(stops))
+    # Queries that stop at the guessed step open two windows, not one for every step up to there.
+    counted.clear()
+    same = np.flatnonzero(np.array(stops) == stops[0])
+    nearest.survivors(places, arrays, around[same], 0.1, 21, stops[0])
+    assert stops[0] > 4 and sum(counted) == 2 * 2 * 20 * len(same)
+
+
 def test_nearest_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(900, 24)) * rng.uniform(0.5, 2, size=(900, 1))

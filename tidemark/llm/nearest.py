@@ -86,26 +86,40 @@ def lifted(vectors: np.ndarray, longest: float, queries: bool) -> np.ndarray:
     return np.hstack([vectors, np.sqrt(np.maximum(longest**2 - length**2, 0))[:, None]])
 
 
-def survivors(places: np.ndarray, arrays: np.ndarray, around: np.ndarray, unit: float, k: int) -> np.ndarray:
-    """Queries x vectors: who reached the threshold when its query stopped widening.
+def survivors(places: np.ndarray, arrays: np.ndarray, around: np.ndarray, unit: float, k: int, guess: int = 0) -> tuple[np.ndarray, int]:
+    """Queries x vectors: who reached the threshold when its query stopped widening; and the step at which most stopped.
 
-    places: vector's place in each sorted array; arrays: the sorted values; around: queries' values.
+    places: per projection the vectors' places in the sorted array; arrays: the sorted values; around: queries' values.
+    Windows nest, so a query's stop is looked for from step ``guess`` on, wider or narrower, and is the same for any guess.
     """
-    n, m = places.shape
+    m, n = places.shape
     need, enough = int(np.ceil(COLLISIONS * m)), min(n, max(k, int(np.ceil(SHARE * n))))
     out = np.zeros((len(around), n), dtype=bool)
-    open_, half = np.arange(len(around)), FIRST * unit
+    halves = [FIRST * unit]
+    # Steps below ``low`` are too narrow, step ``high`` is wide enough (-1: not known yet).
+    low, high = np.zeros(len(around), dtype=np.int64), np.full(len(around), -1)
+    step, open_ = np.full(len(around), guess), np.arange(len(around))
     while len(open_):
+        while len(halves) <= step[open_].max():
+            halves.append(halves[-1] * WIDER)
+        half = np.array(halves)[step[open_]]
         count = np.zeros((len(open_), n), dtype=np.uint8 if m < 256 else np.uint16)
+        off, inside = np.empty(count.shape, dtype=np.uint16), np.empty(count.shape, dtype=bool)
         for j in range(m):
-            low = np.searchsorted(arrays[j], around[open_, j] - half).astype(np.uint16)
-            high = np.searchsorted(arrays[j], around[open_, j] + half, side="right").astype(np.uint16)
-            # In the window low <= place < high; below low the difference wraps round to a large number.
-            count += (places[None, :, j] - low[:, None]) < (high - low)[:, None]
-        out[open_] = count >= need
-        open_ = open_[out[open_].sum(axis=1) < enough]
-        half *= WIDER
-    return out
+            first = np.searchsorted(arrays[j], around[open_, j] - half).astype(np.uint16)
+            last = np.searchsorted(arrays[j], around[open_, j] + half, side="right").astype(np.uint16)
+            # In the window first <= place < last; below first the difference wraps round to a large number.
+            np.subtract(places[j][None, :], first[:, None], out=off)
+            np.less(off, (last - first)[:, None], out=inside)
+            np.add(count, inside.view(np.uint8), out=count)
+        reached = count >= need
+        wide = reached.sum(axis=1) >= enough
+        out[open_[wide]] = reached[wide]
+        high[open_[wide]] = step[open_[wide]]
+        low[open_[~wide]] = step[open_[~wide]] + 1
+        step[open_] += np.where(wide, -1, 1)
+        open_ = open_[low[open_] != high[open_]]
+    return out, int(np.median(high)) if len(high) else guess
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -124,16 +138,23 @@ def _search(dim: int, longest: float, k: int):
         values = lifted(vectors, longest, queries=False) @ base
         order = np.argsort(values, axis=0, kind="stable")
         arrays = np.ascontiguousarray(np.take_along_axis(values, order, axis=0).T)
-        places = np.empty(values.shape, dtype=np.uint16)
-        np.put_along_axis(places, order, np.arange(len(values), dtype=np.uint16)[:, None], axis=0)
+        places = np.empty(values.shape[::-1], dtype=np.uint16)
+        np.put_along_axis(places, np.ascontiguousarray(order.T), np.arange(len(values), dtype=np.uint16)[None, :], axis=1)
         around = lifted(queries, longest, queries=True) @ base
         found = np.full((len(queries), k), -1, dtype=np.int64)
         scores = np.full((len(queries), k), -np.inf)
+        # A few queries tell where most stop.
+        _, step = survivors(places, arrays, around[:4], unit, k + 1)
         for at in range(0, len(queries), SUB):
-            reached = survivors(places, arrays, around[at : at + SUB], unit, k + 1)
+            reached, step = survivors(places, arrays, around[at : at + SUB], unit, k + 1, step)
             for i, row in enumerate(reached, start=at):
                 near = np.flatnonzero(row)
                 near = near[ids[near] != query_ids[i]]
+                if len(near) > 2 * k:
+                    # Products within rounding of the k-th largest, whose exact scores decide.
+                    rough = vectors[near] @ queries[i]
+                    slack = 1e-13 * dim * longest * np.sqrt((queries[i] ** 2).sum())
+                    near = near[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
                 exact = (vectors[near] * queries[i]).sum(axis=1)
                 top = best_of(exact, ids[near], k)
                 found[i, : len(top)], scores[i, : len(top)] = ids[near[top]], exact[top]
