@@ -170,6 +170,54 @@ def test_signatures_estimate_similarity_and_miss_few():
     assert minhash.superminhash([np.empty(0, dtype=np.uint64)], 8).min() == 2**64 - 1
 
 
+def test_sketches_tell_unlike_classes_apart_and_lose_no_pair():
+    least = minhash.least_agreeing(120, 85)
+    assert 72 <= least <= 80 and minhash.least_agreeing(120, 100) == 120
+    pick = np.random.default_rng(8)
+    for common, own in ((6, 1), (17, 3), (340, 60)):
+        agree = []
+        for _ in range(150):
+            values = pick.integers(0, 2**63, common + own, dtype=np.uint64)
+            a, b = minhash.sketches(minhash.superminhash([values[:common], values], 120))
+            agree.append(int((a == b).sum()))
+        assert min(agree) >= least
+    unlike = [pick.integers(0, 2**63, 300, dtype=np.uint64) for _ in range(2)]
+    unlike[1][:200] = unlike[0][:200]
+    a, b = minhash.sketches(minhash.superminhash(unlike, 120))
+    assert (a == b).sum() < least
+
+
+@pytest.mark.parametrize("sketched", [3, 4096])
+def test_open_keys_send_likely_pairs_or_members(spark, sketched):
+    pick = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        w = base[:]
+        for _ in range(pick.choice([0, 1, 2])):
+            w[pick.randrange(60)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    # Equal rows do not double a set.
+    rows += [rows[7], rows[7], (50, "other words altogether")]
+    sets = {i: set(minhash.shingle_set(t).tolist()) for i, t in rows}
+    wanted = classes_of_links(list(sets), [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs, sketched=sketched).collect()
+    assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == wanted
+    # One key with all classes, each a component of its own: few likely pairs go as pairs, many as members.
+    signatures = minhash.signed(docs, ("doc_id", "text"), 3, 5, 24).dropDuplicates(["doc_id"])
+    some = signatures.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch")
+    likely = {(b, a) for a, b in itertools.combinations(sorted(sets), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    for ids, as_pairs in ((list(range(40)), False), ([max(likely)[0], max(likely)[1], 50], True)):
+        open_ = spark.createDataFrame([(1, i, len(sets[i]), i, 1) for i in ids], "key long, node long, n long, root long, weight long")
+        pairs, left = minhash._partnered(open_, some, 85, minhash.least_agreeing(120, 85), 4096)
+        pairs, members = {tuple(r) for r in pairs.collect()}, {r.node for r in left.collect()}
+        if as_pairs:
+            assert max(likely) in pairs and not members
+        else:
+            assert not pairs and members >= {i for p in likely for i in p if i < 40}
+
+
 def test_minhash_of_odd_rows(spark, odd):
     found = minhash.near_duplicates(odd).collect()
     assert sorted(map(repr, (r.doc_id for r in found))) == sorted(map(repr, (r[0] for r in ODD)))
