@@ -17,14 +17,17 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SLICE_CHARS = 2_000_000
 # Texts reach Python in batches of this size, by bytes and not by rows: rows may be very long. Spark's default is 16 times larger.
 BATCH_BYTES = 4 * 1024 * 1024
+# Rows that a scan decodes at a time: a few MB of texts, where Spark's default of 4096 rows takes some 12 MB, and twice that as its buffers double.
+SCAN_ROWS = 512
 
 
 def take(df: DataFrame, *names: str) -> DataFrame:
     """The first column of each exact name, and nothing else.
 
     Further columns are ignored, also those whose names clash with these or differ in case only. Sets the session's
-    Arrow batches to ``BATCH_BYTES``, since what is taken mostly goes to Python.
+    Arrow batches to ``BATCH_BYTES``, since what is taken mostly goes to Python, and its scans to ``SCAN_ROWS``.
     """
+    df.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     have = df.columns
     lacking = [n for n in names if n not in have]

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 
+# Links of a file, unless that gives fewer files than twice the cores.
+FILE_LINKS = 100_000
+
+
+def _in_few_files(links: DataFrame, rows: int) -> DataFrame:
+    """Rounds write small tables again and again: not a file for each shuffle partition, which holds a few links then."""
+    return links.coalesce(max(2 * links.sparkSession.sparkContext.defaultParallelism, rows // FILE_LINKS))
+
+
 def _star(links: DataFrame, smaller: bool) -> DataFrame:
     """Tie every node's neighbours to its smallest neighbour: the larger ones, or itself and the smaller ones.
 
@@ -33,12 +42,12 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     pairs = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter(F.col("a") > F.col("b"))
     pairs = stored(pairs.distinct(), "links")
-    seen = None
+    rows, seen = pairs.count(), None
     while True:
-        pairs = stored(_star(_star(pairs, smaller=False), smaller=True), "links")
+        pairs = stored(_in_few_files(_star(_star(pairs, smaller=False), smaller=True), rows), "links")
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+                _in_few_files(pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct(), state[0])
             )
-        seen = tuple(state)
+        rows, seen = state[0], tuple(state)

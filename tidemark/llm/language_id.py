@@ -38,7 +38,8 @@ START, END = "\x02", "\x03"
 HELD_WORDS = 200_000
 # A gram's probability under one language takes 6 bytes, a gram 16 more: some 100 MB in every Python worker.
 HELD_ENTRIES = 1 << 23
-CELLS = 2_000_000
+# Characters of words, times languages, that are scored at a time: some 20 MB in a Python worker, at a tenth more time than with four times as many.
+CELLS = 500_000
 CERTAIN_CHARS = 30
 FAR = 8.0
 UNDETERMINED = "und"
@@ -224,25 +225,27 @@ def fit(docs: DataFrame, held: int = HELD_ENTRIES) -> Model | None:
     docs: lang (not NULL) and text. None if there is nothing to learn from.
     """
     counts = docs.mapInArrow(_count, "lang string, high long, low long, n long")
-    tables = {ORDER: stored(counts.groupBy("lang", "high", "low").agg(F.sum("n").alias("n")), "char-grams")}
+    named = stored(counts.groupBy("lang", "high", "low").agg(F.sum("n").alias("n")), "char-grams")
+    langs = sorted(r["lang"] for r in named.select("lang").distinct().collect())
+    if not langs:
+        return None
+    # One row per language. From here on languages are numbers: a broadcast keyed by text takes a whole memory page of every
+    # executor, however few its rows, and there is one for each join with something per language.
+    column = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(langs)), "at int, lang string"))
+    tables = {ORDER: named.join(column, "lang").select("at", "high", "low", "n")}
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: how many different characters precede the shorter gram.
         high = F.col("high").bitwiseAND(ONE_CHAR) if order == 3 else F.lit(0).cast("long")
         low = F.col("low").bitwiseAND(ONE_CHAR) if order == 1 else F.col("low")
-        shorter = tables[order + 1].groupBy("lang", high.alias("high"), low.alias("low"))
+        shorter = tables[order + 1].groupBy("at", high.alias("high"), low.alias("low"))
         tables[order] = stored(shorter.agg(F.count(F.lit(1)).alias("n")), "char-grams")
-    langs = sorted(r["lang"] for r in tables[1].select("lang").distinct().collect())
-    if not langs:
-        return None
     alphabet = tables[1].select("low").distinct().count()
     rows = [_smoothed(grams, order) for order, grams in tables.items()]
     rows = [part for pair in rows for part in pair]
     entries = rows[0]
     for part in rows[1:]:
         entries = entries.union(part)
-    # One row per language.
-    column = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(langs)), "at int, lang string"))
-    per_gram = entries.join(column, "lang").groupBy("kind", "high", "low")
+    per_gram = entries.groupBy("kind", "high", "low")
     per_gram = per_gram.agg(F.collect_list(F.struct("at", "value")).alias("known"), F.max("weight").alias("weight"))
     picked = ["kind", "high", "low", F.col("known.at").alias("langs"), F.col("known.value").alias("values"), "weight"]
     model = stored(per_gram.select(*picked), "char-model")
@@ -260,21 +263,27 @@ def fit(docs: DataFrame, held: int = HELD_ENTRIES) -> Model | None:
 
 
 def _smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """Model rows of an order: lang, kind, high, low, value, weight, of its grams and of its contexts."""
-    ones = grams.groupBy("lang").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"))
+    """Model rows of an order: at (the language), kind, high, low, value, weight, of its grams and of its contexts."""
+    ones = grams.groupBy("at").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2"))
     off = F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.75))
-    ones = ones.select("lang", off.alias("off"))
+    ones = ones.select("at", off.alias("off"))
     above = F.shiftright("high", CHAR_BITS)
     below = F.shiftleft(F.col("high").bitwiseAND(ONE_CHAR), CHAR_BITS).bitwiseOR(F.shiftright("low", CHAR_BITS))
     grams = grams.withColumns({"above": above, "below": below})
-    contexts = grams.groupBy("lang", "above", "below").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    contexts = grams.groupBy("at", "above", "below").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
     # One row per language and one per context: small and medium sides that Spark places by size.
-    contexts = contexts.join(ones, "lang")
+    contexts = contexts.join(ones, "at")
     share = ((F.col("n") - F.col("off")) / F.col("all")).cast("float").alias("value")
     passed = (F.col("off") * F.col("kinds") / F.col("all")).cast("float").alias("value")
-    direct = grams.join(contexts, ["lang", "above", "below"]).select("lang", F.lit(order).alias("kind"), "high", "low", share, F.col("n").alias("weight"))
+    if order < ORDER:
+        # At most two characters and the language's number fit one number, and few of these contexts are broadcast.
+        one = (F.shiftleft(F.col("at").cast("long"), 2 * CHAR_BITS) + F.col("below")).alias("context")
+        met = grams.select("at", "high", "low", "n", one).join(contexts.select(one, "off", "all", "kinds"), "context")
+    else:
+        met = grams.join(contexts, ["at", "above", "below"])
+    direct = met.select("at", F.lit(order).alias("kind"), "high", "low", share, F.col("n").alias("weight"))
     return direct, contexts.select(
-        "lang", F.lit(ORDER + order).alias("kind"), F.col("above").alias("high"), F.col("below").alias("low"), passed, F.col("all").alias("weight")
+        "at", F.lit(ORDER + order).alias("kind"), F.col("above").alias("high"), F.col("below").alias("low"), passed, F.col("all").alias("weight")
     )
 
 

@@ -41,6 +41,8 @@ CHUNK = 2048
 STAGE_SHINGLE, STAGE_SHARE, STAGE_DISTANCE = 5, 80, 20
 # Words of 64 bits of a wide fingerprint and the bits that two may differ in: some 39 of 256 at 80 percent, 128 of unlike sets.
 WIDE, WIDE_DISTANCE = 4, 64
+# Pairs compared at a time, and rows of keys that leave Python at once: a few MB each.
+PAIRS, KEY_ROWS = 65_536, 16_384
 ORIGIN = np.uint64(0)
 
 
@@ -272,8 +274,9 @@ def _sets_signed(docs: DataFrame, columns: Sequence[str], shingle: int) -> DataF
 def close_pairs(marks: np.ndarray, roots: np.ndarray, sides: np.ndarray, distance: int, hubs: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (later, earlier) of rows of different roots that are close in one word's bits and in all; with ``hubs`` each row's first."""
     later, earlier = [], []
-    for at in range(0, len(marks), 256):
-        end = min(at + 256, len(marks))
+    step = max(1, PAIRS // max(len(marks), 1))
+    for at in range(0, len(marks), step):
+        end = min(at + step, len(marks))
         near = np.bitwise_count(marks[at:end, None, 0] ^ marks[None, :end, 0]) <= distance
         i, j = np.nonzero(near)
         i += at
@@ -295,8 +298,9 @@ def _proposed(classes: DataFrame, tables: int, bits: int, used: int, distance: i
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 4096):
-                part = batch.slice(at, 4096)
+            step = max(1, KEY_ROWS // used)
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
                 found = sampled_keys(part["m0"].to_numpy().view(np.uint64), tables, bits)[:, :used]
                 repeat = [np.repeat(part[c].to_numpy(), used) for c in ("node", "root", *MARKS)]
                 yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), *map(pa.array, repeat)], ["key", "node", "root", *MARKS])
