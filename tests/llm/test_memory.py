@@ -1,12 +1,14 @@
 """Memory of Python workers and of broadcasts, which the pipeline's stages share with an executor's heap."""
 
+import os
 import random
 import re
 import tracemalloc
+from urllib.parse import urlparse
 
 import numpy as np
 
-from tidemark.llm import components, language_id, simhash
+from tidemark.llm import common, components, language_id, simhash
 
 
 def peak_mb(work):
@@ -71,3 +73,29 @@ def test_rounds_of_components_write_few_files(spark, monkeypatch):
             spark.conf.set(k, v)
     assert {(r.node, r.root) for r in found} == {(i, (i - 1) // 30 * 30 + 1) for i in range(1, 3001)}
     assert len(written) > 2 and max(written[1:]) <= 2 * spark.sparkContext.defaultParallelism < written[0]
+
+
+def test_models_of_languages_are_made_order_by_order(spark, monkeypatch):
+    """Stages and broadcasts that one query starts at once are what the driver's heap grows by."""
+    exchanges = []
+
+    def noted(df, purpose):
+        if purpose == "char-model":
+            exchanges.append(len(re.findall(r"\bExchange ", df._jdf.queryExecution().executedPlan().toString())))
+        return stored(df, purpose)
+
+    stored = language_id.stored
+    monkeypatch.setattr(language_id, "stored", noted)
+    docs = spark.createDataFrame([("de", "der hund und die katze"), ("en", "the dog and the cat"), ("en", "a dog")], "lang string, text string")
+    model = language_id.fit(docs)
+    assert len(exchanges) == language_id.ORDER and max(exchanges) <= 12, exchanges
+    assert model.langs == ["de", "en"] and sorted(model.held) == list(range(1, 2 * language_id.ORDER + 1)) and model.rest is None
+    parts = language_id.fit(docs, held=0)
+    assert not parts.held and parts.rest.count() == sum(len(g.keys) for g in model.held.values())
+
+
+def test_work_tables_hold_rows_only(spark):
+    """A marker of success costs the driver a process in a local folder, which counts its memory a second time for a moment."""
+    made = common.stored(spark.range(10), "marked")
+    names = os.listdir(os.path.dirname(urlparse(made.inputFiles()[0]).path))
+    assert made.count() == 10 and names and not [n for n in names if "SUCCESS" in n], names

@@ -38,9 +38,12 @@ def take(df: DataFrame, *names: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared work folder and read back: cuts the lineage, survives lost executors."""
+    """Write to the shared work folder and read back: cuts the lineage, survives lost executors.
+
+    Nobody waits for a work table's marker of success, which would cost the driver a process in a local folder.
+    """
     path = workdir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -240,15 +240,12 @@ def fit(docs: DataFrame, held: int = HELD_ENTRIES) -> Model | None:
         shorter = tables[order + 1].groupBy("at", high.alias("high"), low.alias("low"))
         tables[order] = stored(shorter.agg(F.count(F.lit(1)).alias("n")), "char-grams")
     alphabet = tables[1].select("low").distinct().count()
-    rows = [_smoothed(grams, order) for order, grams in tables.items()]
-    rows = [part for pair in rows for part in pair]
-    entries = rows[0]
-    for part in rows[1:]:
-        entries = entries.union(part)
-    per_gram = entries.groupBy("kind", "high", "low")
-    per_gram = per_gram.agg(F.collect_list(F.struct("at", "value")).alias("known"), F.max("weight").alias("weight"))
-    picked = ["kind", "high", "low", F.col("known.at").alias("langs"), F.col("known.value").alias("values"), "weight"]
-    model = stored(per_gram.select(*picked), "char-model")
+    # Order by order, as no gram has rows of two: a query of all orders starts dozens of stages and broadcasts at once, whose
+    # buffers are what the driver's heap grows by.
+    parts = [_known(*_smoothed(grams, order)) for order, grams in tables.items()]
+    model = stored(parts[0], "char-model")
+    for part in parts[1:]:
+        model = model.union(stored(part, "char-model"))
     sizes = model.groupBy(_level("weight").alias("level")).agg(F.sum(F.size("langs")).alias("n")).orderBy(F.desc("level")).collect()
     least, room = 1 + sizes[0]["level"], held
     for r in sizes:
@@ -287,6 +284,13 @@ def _smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _known(direct: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Per kind and gram the languages that know it and their values."""
+    per_gram = direct.union(contexts).groupBy("kind", "high", "low")
+    per_gram = per_gram.agg(F.collect_list(F.struct("at", "value")).alias("known"), F.max("weight").alias("weight"))
+    return per_gram.select("kind", "high", "low", F.col("known.at").alias("langs"), F.col("known.value").alias("values"), "weight")
+
+
 class _Words(dict):
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
